@@ -13,6 +13,10 @@ from tripmill.functions.keys import TRIP_KEY
 # Copies of the statistics, and parts a group of submissions is cut into.
 SALTS = 8
 
+# What submissions of one trip differ in. Few columns on purpose: the optimizer
+# rewrites the salt for every combination of equal columns it finds.
+SALT_COLUMNS = ("dropoff_datetime", "total_amount", "trip_distance", "ingestion_ts")
+
 
 def submission_statistics(staged: DataFrame, keys: Sequence[str] = TRIP_KEY) -> DataFrame:
     """Counts and ranges of each group with more than one submission."""
@@ -43,13 +47,15 @@ def duplicate_report(
 
     A key with a NULL part matches nothing. The statistics are aggregated
     before their shuffle, and are few. The trips meet them by key and salt: the
-    salt, a hash of the whole row, spreads one group over several tasks, and the
-    shuffle on both sides lets AQE split further what hashes alike.
+    salt, a hash of what submissions differ in, spreads one group over several
+    tasks, and the shuffle on both sides lets AQE split further what hashes
+    alike. A hash gives the same salt when a lost task is run again.
     """
     salted_statistics = submission_statistics(staged, keys).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    salted_trips = staged.withColumn("_salt", F.pmod(F.xxhash64(*staged.columns), F.lit(salts)).cast("int"))
+    salt = F.pmod(F.xxhash64(*SALT_COLUMNS), F.lit(salts)).cast("int")
+    salted_trips = staged.withColumn("_salt", salt)
     flagged = salted_trips.join(salted_statistics, [*keys, "_salt"], "inner")
     return flagged.select(
         *staged.columns,

@@ -168,10 +168,12 @@ def reconcile(ledger: DataFrame, landed_days: DataFrame) -> DataFrame:
     )
 
 
+def volume_class(size: int, threshold_bytes: int = HIGH_VOLUME_BYTES) -> str:
+    return "high" if size > threshold_bytes else "low" if size > 0 else "empty"
+
+
 def classify_volume(volumes: DataFrame, threshold_bytes: int = HIGH_VOLUME_BYTES) -> DataFrame:
     """Volume class of each slice, from its bytes."""
     size = F.coalesce(F.col("bytes"), F.lit(0))
-    volume_class = (
-        F.when(size > threshold_bytes, "high").when(size > 0, "low").otherwise("empty")
-    )
-    return volumes.withColumn("volume_class", volume_class)
+    label = F.when(size > threshold_bytes, "high").when(size > 0, "low").otherwise("empty")
+    return volumes.withColumn("volume_class", label)

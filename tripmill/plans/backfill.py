@@ -17,11 +17,11 @@ from tripmill.operators.ledger import (
     HIGH_VOLUME_BYTES,
     LANDED,
     append_ledger,
-    classify_volume,
     expand_slices,
     ledger_rows,
     pending_slices,
     read_ledger,
+    volume_class,
 )
 from tripmill.plans.trip_build import BY_DAY
 from tripmill.schemas import CAB_TYPES, SLICE_REQUESTS
@@ -99,8 +99,9 @@ def backfill(
     """Land the days of a slice that are not landed yet.
 
     Only pending days are read. The ledger is written after the data; a failure
-    is recorded as such and raised. Rows outside the pending days go to
-    ``rejects``, by batch.
+    is recorded as such and raised. A day without source files stays pending, so
+    that it can land later. Rows outside the processed days go to ``rejects``,
+    by batch.
     """
     if cab_type not in CAB_TYPES:
         raise ValueError(f"unknown cab type {cab_type!r}")
@@ -108,15 +109,18 @@ def backfill(
     request = spark.createDataFrame([(cab_type, year, month, day)], SLICE_REQUESTS)
     pending = pending_slices(expand_slices(request), read_ledger(spark, ledger))
     # a request is at most one year of one cab type: 366 days
-    days = sorted(row["day"] for row in pending.collect())
-    if not days:
+    wanted = sorted(row["day"] for row in pending.collect())
+    if not wanted:
         return BackfillReport("nothing_pending", batch_id)
 
-    in_days = (F.col("cab_type") == cab_type) & _folder_day().isin(*days)
-    volumes = slice_volume(spark, source, by=["cab_type"], where=in_days)
-    volume = classify_volume(volumes, threshold_bytes).first()
-    if volume is None or volume["volume_class"] == "empty":
+    folders = ("cab_type", "year", "month", "day")
+    in_days = (F.col("cab_type") == cab_type) & _folder_day().isin(*wanted)
+    volumes = slice_volume(spark, source, folders, in_days).where("bytes > 0").collect()
+    days = sorted(date(int(v["year"]), int(v["month"]), int(v["day"])) for v in volumes)
+    if not days:
         return BackfillReport("empty", batch_id)
+    size = sum(v["bytes"] for v in volumes)
+    files = sum(v["files"] for v in volumes)
 
     lineage = Lineage(
         batch_id=batch_id,
@@ -131,13 +135,14 @@ def backfill(
     try:
         raw = read_slices(spark, source, [cab_type], year, month, day).where(in_days)
         inside, outside = split_window(align(raw, lineage, cab_type), days)
-        size = volume["bytes"]
-        rows = land(BY_DAY.add_to(inside), table, BY_DAY.columns, plan_write(size))
-        rejected = land(outside, rejects, ["batch_id"], plan_write(size))
+        # source folders are days, as the table's partitions are
+        plan = plan_write(size, files)
+        rows = land(BY_DAY.add_to(inside), table, BY_DAY.columns, plan)
+        rejected = land(outside, rejects, ["batch_id"])
     except Exception:
         append_ledger(ledger_rows(pending_keys, FAILED, batch_id, engine, now), ledger)
         raise
     append_ledger(ledger_rows(pending_keys, LANDED, batch_id, engine, now), ledger)
     return BackfillReport(
-        "landed", batch_id, len(days), rows, rejected, size, volume["volume_class"]
+        "landed", batch_id, len(days), rows, rejected, size, volume_class(size, threshold_bytes)
     )

@@ -21,6 +21,7 @@ from tripmill.operators.enrich import (
 )
 from tripmill.operators.history import history_schema, scd2_check
 from tripmill.operators.slicing import new_since
+from tripmill.schemas import struct
 from tripmill.sinks import land, upsert
 from tripmill.sources import path_exists, read_table
 
@@ -56,6 +57,10 @@ FACT_ORDER = tuple(
 )
 
 
+# All a refresh needs to know about what it has stored: when that arrived.
+ARRIVALS = struct(ingestion_ts="timestamp_ntz")
+
+
 def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     return read_table(spark, path, schema) if path_exists(spark, path) else None
 
@@ -75,8 +80,7 @@ def refresh_core(
     """
     spark = staged.sparkSession
     lookup = checked_lookup(zones, "location_id")
-    schema = grain.add_to(core_trips(staged, lookup)).schema
-    arrived = new_since(staged, _existing(spark, path, schema), inclusive=inclusive)
+    arrived = new_since(staged, _existing(spark, path, ARRIVALS), inclusive=inclusive)
     rows = grain.add_to(core_trips(arrived, lookup))
     return upsert(spark, path, rows, "trip_id", grain.columns, resolve, CORE_ORDER)
 
@@ -86,8 +90,7 @@ def refresh_fact(
 ) -> int:
     """Add the core rows that arrived since the last refresh to the fact table."""
     spark = core.sparkSession
-    schema = grain.add_to(fact_trips(core)).schema
-    arrived = new_since(core, _existing(spark, path, schema), inclusive=inclusive)
+    arrived = new_since(core, _existing(spark, path, ARRIVALS), inclusive=inclusive)
     rows = grain.add_to(fact_trips(arrived))
     return upsert(spark, path, rows, "trip_id", grain.columns)
 

@@ -47,10 +47,10 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(l_suppkey % 2 + 1 AS INT) AS vendorid",
         "CASE l_returnflag WHEN 'A' THEN 'yellow' WHEN 'N' THEN 'green' ELSE 'fhv' END"
         " AS cab_type",
-        "o_orderdate + make_dt_interval(0, 0, CAST(l_orderkey % 1440 AS INT), 0)"
-        " AS pickup_datetime",
-        "o_orderdate + make_dt_interval(0, 0, CAST(l_orderkey % 1440 + l_partkey % 97 - 2 AS INT),"
-        " l_suppkey % 60) AS dropoff_datetime",
+        "o_orderdate + INTERVAL '1' MINUTE * (l_orderkey % 1440) AS pickup_datetime",
+        "o_orderdate + INTERVAL '1' SECOND"
+        " * ((l_orderkey % 1440 + l_partkey % 97 - 2) * 60 + l_suppkey % 60)"
+        " AS dropoff_datetime",
         "IF(l_linestatus = 'O', ' N ', 'Y') AS store_and_fwd_flag",
         "CAST(l_linenumber % 6 + 1 AS BIGINT) AS ratecodeid",
         "c_nationkey * 6 AS pulocationid",
@@ -66,8 +66,8 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "0.3D AS improvement_surcharge",
         "l_extendedprice * (1 + abs(l_tax)) - 1000 AS total_amount",
         "l_partkey % 4 + 1 AS payment_type",
-        "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
-        " + make_dt_interval(CAST(l_partkey % 3 AS INT), 0, 0, 0) AS ingestion_ts",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' + INTERVAL '1' DAY * (l_partkey % 3)"
+        " AS ingestion_ts",
         "concat('batch_', CAST(l_partkey % 3 AS STRING)) AS batch_id",
         "'lineitem' AS source_file",
         "'first_load' AS migration_batch_id",

@@ -19,23 +19,35 @@ TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 @dataclass(frozen=True)
 class LandingPlan:
-    """How a write is spread: first number of tasks and bytes wanted per file."""
+    """How a write is spread over tasks and files.
+
+    ``clustered`` means that the source keeps the rows of a partition together
+    in files that are big enough already: then the write needs no shuffle.
+    """
 
     tasks: int | None
     file_bytes: int
     max_records_per_file: int = 0
+    clustered: bool = False
 
 
 def plan_write(
     expected_bytes: int | None = None,
+    source_files: int | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
     max_records_per_file: int = 0,
 ) -> LandingPlan:
-    """Parallelism from the volume to be written instead of a fixed number."""
-    tasks = None
+    """Parallelism from the volume to be written instead of a fixed number.
+
+    Give ``source_files`` only if every source file belongs to one partition of
+    the target, as in a slice that is already stored by day.
+    """
+    tasks, clustered = None, False
     if expected_bytes is not None:
         tasks = max(1, math.ceil(expected_bytes / target_file_bytes))
-    return LandingPlan(tasks, target_file_bytes, max_records_per_file)
+        if source_files:
+            clustered = expected_bytes / source_files >= target_file_bytes / 2
+    return LandingPlan(tasks, target_file_bytes, max_records_per_file, clustered)
 
 
 def spread(df: DataFrame, partition_by: Sequence[str], plan: LandingPlan) -> DataFrame:
@@ -45,6 +57,8 @@ def spread(df: DataFrame, partition_by: Sequence[str], plan: LandingPlan) -> Dat
     holds a third of all rows) into several tasks; a plain repartition by the
     same columns would give it all to one task.
     """
+    if plan.clustered:
+        return df
     columns = [F.col(c) for c in partition_by]
     if plan.tasks is None:
         return df.hint("rebalance", *columns)
@@ -53,9 +67,11 @@ def spread(df: DataFrame, partition_by: Sequence[str], plan: LandingPlan) -> Dat
 
 
 def _write_settings(plan: LandingPlan) -> dict[str, str]:
-    """File size bounds the split of big partitions. Small ones stay in many
-    tasks: rows of a folder meet in one task anyway, so merging tasks would not
-    save a file."""
+    """The file size bounds the split of big partitions, or the scan's splits
+    where there is no shuffle. Small partitions stay in many tasks: rows of a
+    folder meet in one task anyway, so merging tasks would not save a file."""
+    if plan.clustered:
+        return {"spark.sql.files.maxPartitionBytes": str(plan.file_bytes)}
     return {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(plan.file_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
