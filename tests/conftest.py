@@ -31,6 +31,9 @@ def spark(tmp_path_factory) -> Iterator[SparkSession]:
             "spark.driver.memory": "4g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # plans are read by the tests, so they must not be shortened
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "200",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
         },
     )

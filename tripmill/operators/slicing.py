@@ -58,8 +58,9 @@ def new_since(
     """Rows that arrived after everything in the target; all rows if it is empty.
 
     The high-water mark is a scalar subquery, which Spark runs first and pushes
-    into the Parquet scan. ``inclusive`` takes rows at the mark again, which is
-    safe before a keyed upsert and misses no batch that shares a timestamp.
+    into the Parquet scan. ``inclusive`` takes rows at the mark again, so that no
+    batch with the same timestamp is missed; an upsert that keeps the latest
+    submission then gives the same table again.
     """
     if target is None:
         return df

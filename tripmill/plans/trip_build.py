@@ -76,7 +76,8 @@ def refresh_core(
     """Add newly arrived trips to the core table; everything on the first run.
 
     ``resolve="incoming"`` replaces a stored trip by a later submission even if
-    that one has the older dropoff; ``"latest"`` compares the two.
+    that one has the older dropoff; ``"latest"`` compares the two, and should go
+    with ``inclusive``, which reads the newest batch again.
     """
     spark = staged.sparkSession
     lookup = checked_lookup(zones, "location_id")
