@@ -17,6 +17,16 @@ TRIP_KEY = (
     "dropoff_location_id",
 )
 
+# The same columns with the most distinct values first: sorting by them compares
+# mostly the first.
+TRIP_KEY_SELECTIVE_FIRST = (
+    "pickup_datetime",
+    "pickup_location_id",
+    "dropoff_location_id",
+    "vendor_id",
+    "cab_type",
+)
+
 
 def surrogate_key(*parts: str) -> Column:
     """md5 over the ``-``-joined text of the parts.

@@ -12,7 +12,7 @@ from tripmill.functions import (
     time_of_day,
     tip_pct,
 )
-from tripmill.functions.keys import TRIP_KEY
+from tripmill.functions.keys import TRIP_KEY, TRIP_KEY_SELECTIVE_FIRST
 from tripmill.operators.dedup import keep_latest, latest_first
 from tripmill.operators.quality import quality_filter
 
@@ -112,16 +112,18 @@ LATEST_FIRST = ("dropoff_datetime", "ingestion_ts")
 def core_trips(staged: DataFrame, zones: DataFrame) -> DataFrame:
     """Clean, keyed trips, one per key, with zone names and duration.
 
-    Zone names depend on key columns only, so they are looked up after the
-    deduplication: the shuffle by key carries narrower rows.
+    Rows are deduplicated by the key columns themselves, so a filter on pickup
+    time or cab type reaches the scan through this step. The hashed key and the
+    zone names depend on those columns only and are added afterwards: the
+    shuffle carries narrower rows and no row is hashed in vain.
     """
-    keyed = quality_filter(staged).withColumn("trip_id", surrogate_key(*TRIP_KEY))
-    order = latest_first(keyed, ["trip_id", *TRIP_KEY], LATEST_FIRST)
-    latest = keep_latest(keyed, ["trip_id"], order)
+    clean = quality_filter(staged)
+    key = TRIP_KEY_SELECTIVE_FIRST
+    latest = keep_latest(clean, key, latest_first(clean, key, LATEST_FIRST))
     duration = minute_boundaries(F.col("pickup_datetime"), F.col("dropoff_datetime"))
     return (
         enrich_zones(latest, zones)
-        .withColumn("trip_duration_minutes", duration)
+        .withColumns({"trip_id": surrogate_key(*TRIP_KEY), "trip_duration_minutes": duration})
         .select(*CORE_COLUMNS)
     )
 
