@@ -119,7 +119,8 @@ def main() -> None:
 
 def _lake_copy(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "bench-source")
-    fx.lake_trips(spark, sf_dir).write.parquet(path)
+    # a lake table has many files; the test tables have one
+    fx.lake_trips(spark, sf_dir).repartition(16).write.parquet(path)
     return path
 
 
