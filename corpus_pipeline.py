@@ -22,6 +22,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.common import ship
+
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")

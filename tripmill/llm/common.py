@@ -39,3 +39,25 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever the driver was started.
+
+    ``spark-submit --py-files`` does the same; a session that was started without it gets the
+    package's source files as a zip, once an application.
+    """
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    name = f"{package.name}-package.zip"
+    if any(str(f).endswith(name) for f in context.listFiles):
+        return
+    path = Path(tempfile.mkdtemp(prefix="package-")) / name
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))

@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm.common import documents
+from tripmill.llm.common import documents, ship
 from tripmill.session import scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    REGISTRY[query.__name__] = query
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    REGISTRY[query.__name__] = run
     return query
 
 
@@ -38,3 +42,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.packing import pack
 
     return pack(documents(spark, sf_dir), vocabulary(), end_id=1)
+
+
+@register
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.quality import quality_rules, train
+
+    docs = documents(spark, sf_dir)
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules(docs.select("doc_id", "text"), model).drop("text")
