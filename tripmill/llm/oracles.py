@@ -3,3 +3,25 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op5_line_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), windows AS (
+  SELECT doc_id, i, lines[i:i + 2] AS w
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM docs)
+), ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM windows
+), covered AS (
+  SELECT DISTINCT doc_id, i + step AS i FROM ranked, (VALUES (0), (1), (2)) s(step) WHERE k > 1
+), numbered AS (
+  SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM docs
+), kept AS (
+  SELECT n.doc_id, string_agg(n.line, chr(10) ORDER BY n.i) FILTER (WHERE c.i IS NULL) AS text,
+         count(*) AS n_lines, count(c.i) AS n_removed
+  FROM numbered n LEFT JOIN covered c USING (doc_id, i) GROUP BY n.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""

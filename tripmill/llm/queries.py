@@ -51,3 +51,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_rules(docs.select("doc_id", "text"), model).drop("text")
+
+
+@register
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.line_dedup import line_dedup
+
+    return line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
