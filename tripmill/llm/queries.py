@@ -58,3 +58,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.line_dedup import line_dedup
 
     return line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@register
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.decontaminate import decontaminate
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text", "spans")
