@@ -22,6 +22,16 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Fixed value of the contract: what stands between words, after A-Z are lower case.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def words_of(text: Column) -> Column:
+    """Array of lower-case words; null text has none."""
+    parts = F.split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), BETWEEN, -1)
+    return F.filter(parts, lambda w: w != "")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared scratch folder and read back: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, f"llm-{label}")

@@ -18,18 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import ascii_lower, sized_broadcast, stored
+from tripmill.llm.common import sized_broadcast, stored, words_of
 
 WINDOW_WORDS = 13
 PROBES = 2
-#: Fixed value of the contract: what stands between words, after A-Z are lower case.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def words_of(text: Column) -> Column:
-    """Array of words; null text has none."""
-    parts = F.split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), BETWEEN, -1)
-    return F.filter(parts, lambda w: w != "")
 
 
 def _items(benchmark: DataFrame) -> DataFrame:

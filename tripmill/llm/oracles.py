@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tripmill.llm.license_scan import TEMPLATES
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_line_dedup"] = """
@@ -56,3 +58,37 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs d LEFT JOIN per_word USING (doc_id) LEFT JOIN per_item USING (doc_id)
 """
+
+
+def _values(rows: tuple[tuple[str, str], ...]) -> str:
+    return ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
+
+
+ORACLES["op1_license_scan"] = rf"""
+WITH units AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM documents
+  UNION ALL SELECT doc_id, text FROM documents WHERE contains(text, chr(10))
+), templates(license, unit) AS (VALUES {_values(TEMPLATES)}),
+unit_words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM units
+), template_words AS (
+  SELECT license, list_filter(string_split_regex(
+    translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM templates
+), a AS (
+  SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS s FROM unit_words WHERE len(w) > 1
+), b AS (
+  SELECT license, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS s FROM template_words
+), scored AS (
+  SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s)) AS dice
+  FROM a JOIN b ON len(a.s) <= 2 * len(b.s) AND len(b.s) <= 2 * len(a.s)
+), best AS (
+  SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+         first(license ORDER BY dice DESC, license) AS best_license, max(dice) AS best_dice
+  FROM scored WHERE dice >= 0.75 GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_dice
+FROM documents LEFT JOIN best USING (doc_id)
+"""

@@ -66,3 +66,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text", "spans")
+
+
+@register
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.license_scan import license_scan
+
+    return license_scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
