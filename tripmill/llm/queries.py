@@ -73,3 +73,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.license_scan import license_scan
 
     return license_scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+@register
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.html_extract import extract
+
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
