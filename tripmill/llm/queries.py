@@ -80,3 +80,11 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.html_extract import extract
 
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
+@register
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.secrets_scan import secret_scan, train
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return secret_scan(docs, train(docs)).drop("text")
