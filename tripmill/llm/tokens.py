@@ -15,8 +15,9 @@ import numpy as np
 
 # Cut only before characters that are surely not white space for the splitter.
 _CUT = re.compile(" (?=[\x21-\x7e¡-ᙿ])")
-MAX_PIECES = 1_000_000
-_BATCH = 20_000
+MAX_PIECES = 1_500_000
+_JOINED = 500
+_BATCH = 100
 
 _encoders: dict[str, PieceEncoder] = {}
 
@@ -27,25 +28,45 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        # a byte-level token has one character a byte; an added token is written as it is
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, "i8")
+        for token, at in vocabulary.items():
+            self.n_bytes[at] = len(token)
+        for at, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.n_bytes[at] = len(token.content.encode())
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
         cut = [self._pieces(text) for text in texts]
         # one distinct set per call: what is new is encoded once, in few calls
-        new = list({piece for pieces in cut for piece in pieces} - self.known.keys())
+        distinct = {piece for pieces in cut for piece in pieces}
+        new = list(distinct - self.known.keys())
         if len(self.known) + len(new) > MAX_PIECES:
             self.known = {}
-            new = list({piece for pieces in cut for piece in pieces})
-        for at in range(0, len(new), _BATCH):
-            part = new[at : at + _BATCH]
-            for piece, got in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                self.known[piece] = np.array(got.ids, "<u4").tobytes()
+            new = list(distinct)
+        # texts that begin without a space have a first piece that joins to nothing
+        self._learn([[piece] for piece in new if piece[0] != " "])
+        spaced = [piece for piece in new if piece[0] == " "]
+        self._learn([spaced[at : at + _JOINED] for at in range(0, len(spaced), _JOINED)])
         known = self.known
         return [b"".join([known[piece] for piece in pieces]) for pieces in cut]
 
+    def _learn(self, groups: list[list[str]]) -> None:
+        """Encode the pieces of each group as one text and cut its ids where the pieces meet."""
+        for low in range(0, len(groups), _BATCH):
+            part = groups[low : low + _BATCH]
+            coded = self.tokenizer.encode_batch_fast(["".join(g) for g in part], add_special_tokens=False)
+            for group, got in zip(part, coded, strict=True):
+                ids = np.array(got.ids, "<u4")
+                ends = np.cumsum([len(piece.encode()) for piece in group])
+                cuts = (4 * np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="right")).tolist()
+                raw, at = ids.tobytes(), 0
+                for piece, end in zip(group, cuts, strict=True):
+                    self.known[piece] = raw[at:end]
+                    at = end
+
     @staticmethod
     def _pieces(text: str | None) -> list[str]:
         if not text:
