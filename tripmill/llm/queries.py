@@ -88,3 +88,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return secret_scan(docs, train(docs)).drop("text")
+
+
+@register
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir))
