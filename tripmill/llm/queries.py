@@ -95,3 +95,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.jaccard_join import jaccard_components
 
     return jaccard_components(documents(spark, sf_dir))
+
+
+@register
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.suffix_dedup import suffix_dedup
+
+    return suffix_dedup(documents(spark, sf_dir).select("doc_id", "text")).drop("spans")
