@@ -409,3 +409,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return rows.where("n > 0").join(named, "key").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("key").alias("class_key")
     ).unionByName(empty)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of linked documents: that of the smallest doc_id.
+
+    Rows that share a doc_id are one document here and one of them stays (the one of the
+    smallest text); rows without a doc_id cannot be told apart and all stay.
+    """
+    verdicts = jaccard_components(docs).where("doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.col("component_id") == F.col("doc_id")).alias("_first")
+    )
+    others = [c for c in docs.columns if c != "doc_id"]
+    row = F.min(F.struct("text", *[F.col(f"`{c}`") for c in others if c != "text"])).alias("_row")
+    named = docs.where("doc_id is not null").groupBy("doc_id").agg(row).join(verdicts.where("_first"), "doc_id", "left_semi")
+    return named.select("doc_id", *[F.col("_row")[c].alias(c) for c in others]).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(
+        docs.where("doc_id is null")
+    )
