@@ -190,3 +190,26 @@ def test_slices_prune_partition_folders(staged, tmp_path, core_table, zones):
     assert "PartitionFilters: [isnotnull(pickup_date" in plan
     assert "GreaterThanOrEqual(pickup_datetime" in plan
     assert sliced.count() == 1
+
+
+def test_null_partitions_keep_their_rows(spark, tmp_path):
+    schema = "trip_id string, kind string, n int"
+    path = str(tmp_path / "t")
+    for rows in ([("k1", None, 1), ("k2", "a", 1)], [("k3", None, 2)], [("k1", None, 3), ("k1", None, 2)]):
+        upsert(spark, path, spark.createDataFrame(rows, schema), "trip_id", ["kind"])
+    got = spark.read.schema(schema).parquet(path)
+    assert sorted((r.trip_id, r.n) for r in got.collect()) == [("k1", 3), ("k2", 1), ("k3", 2)]
+
+
+def test_arrivals_are_utc_in_every_session_zone(spark):
+    from tripmill.functions import utc_now
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        there = spark.range(1).select(utc_now().alias("t")).first().t
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        here = spark.range(1).select(utc_now().alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert abs((here - there).total_seconds()) < 600

@@ -6,14 +6,15 @@ import pytest
 from conftest import same_rows, values
 from pyspark.sql import functions as F
 
-from tripmill.operators.ledger import append_ledger, expand_slices, ledger_rows, read_ledger
+from tripmill.operators.ledger import read_ledger, store_reset
 from tripmill.plans import backfill as backfill_plan
-from tripmill.plans.backfill import backfill, day_runs, split_window
+from tripmill.plans.backfill import backfill, split_own_day
 from tripmill.plans.trip_build import BY_DAY
 from tripmill.schemas import LAKE_TRIPS, SLICE_REQUESTS
 from tripmill.sinks import land, plan_write, promote, register_view
 from tripmill.sources import (
     landed_days,
+    read_aligned,
     read_slice,
     read_slices,
     read_table,
@@ -80,7 +81,7 @@ def test_slices_prune_folders_and_fill_missing_columns(spark, lake, paths):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(cab_type" in plan
     assert df.first()["trip_type"] is None
-    assert len(df.inputFiles()) == 2  # listing is of the root, pruning is by predicate
+    assert all("/day=2/" in f or "/day=02/" in f for f in df.inputFiles())
 
 
 def test_slice_path():
@@ -158,29 +159,52 @@ def test_views_follow_their_source(spark, lake, paths, lake_table):
     assert spark.sql("SELECT count(*) FROM tripmill_test_lake").first()[0] == 1
 
 
-def test_day_runs():
-    days = [date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 4)]
-    assert day_runs(days) == [
-        (date(2024, 1, 1), date(2024, 1, 3)),
-        (date(2024, 1, 4), date(2024, 1, 5)),
-    ]
-
-
-def test_window_split_keeps_every_row(lake):
-    rows = lake(
-        {}, {"pickup_datetime": january(9)}, {"pickup_datetime": None}
+def test_split_by_own_day_keeps_every_row(lake):
+    rows = lake({}, {"pickup_datetime": january(9)}, {"pickup_datetime": None}).withColumn(
+        "folder_day", F.lit("2024-01-05").cast("date")
     )
-    inside, outside = split_window(rows, [date(2024, 1, 5), date(2024, 1, 7)])
+    inside, outside = split_own_day(rows)
     assert (inside.count(), outside.count()) == (1, 2)
-    assert same_rows(rows, inside.unionByName(outside))
+    assert same_rows(rows.drop("folder_day"), inside.unionByName(outside))
 
 
-def test_stray_rows_are_found_by_a_pushed_down_range(spark, lake, tmp_path):
-    lake({}).write.parquet(str(tmp_path / "t"))
-    df = read_table(spark, str(tmp_path / "t"), LAKE_TRIPS)
-    _, outside = split_window(df, [date(2024, 1, 5)])
-    plan = outside._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [Or(" in plan
+def test_a_day_is_the_same_whatever_else_is_pending(spark, lake, paths, lake_table):
+    """A trip of day 2 lies in the folder of day 1; landing day 2 alone must not change day 2."""
+    write_source(trips_on(lake, 1, 2), paths["source"])
+    stray = trips_on(lake, 2, total_amount=77.0)
+    day_one = f"{paths['source']}/cab_type=yellow/year=2024/month=1/day=1"
+    stray.drop(*LINEAGE, "trip_type", "cab_type").write.mode("append").parquet(day_one)
+    first = run(spark, paths, month="01")
+    assert (first.rows, first.rejected) == (2, 1)
+    requests = spark.createDataFrame([("yellow", "2024", "01", "02")], SLICE_REQUESTS)
+    store_reset(spark, paths["ledger"], requests, at=datetime(2024, 2, 3))
+    again = run(spark, paths, month="01", now=datetime(2024, 2, 4))
+    assert (again.rows, again.rejected) == (1, 0)
+    assert values(lake_table(paths["table"]), "total_amount") == [1.0, 2.0]
+
+
+def test_slices_of_different_types_are_aligned(spark, lake, paths):
+    root = paths["source"]
+    plain = trips_on(lake, 1).drop(*LINEAGE, "trip_type")
+    for day, kind in ((1, "double"), (2, "int")):
+        rows = plain.drop("cab_type").withColumn("passenger_count", F.col("passenger_count").cast(kind))
+        rows.write.parquet(f"{root}/cab_type=yellow/year=2024/month=01/day={day}")
+    got = read_aligned(spark, root, ["yellow"], 2024, 1)
+    assert got.schema["passenger_count"].dataType.simpleString() == "bigint"
+    assert values(got, "folder_day") == [date(2024, 1, 1), date(2024, 1, 2)]
+    plain.drop("cab_type", "total_amount").write.parquet(f"{root}/cab_type=yellow/year=2024/month=01/day=3")
+    with pytest.raises(ValueError, match="total_amount"):
+        read_aligned(spark, root, ["yellow"], 2024, 1)
+    assert read_aligned(spark, root, ["green"], 2024, 1).count() == 0
+
+
+def test_promotion_drops_partitions_with_odd_names(spark, tmp_path):
+    stage, production = str(tmp_path / "s"), str(tmp_path / "p")
+    schema = "id int, kind string"
+    land(spark.createDataFrame([(1, "a:b"), (2, None), (3, "c")], schema), production, ["kind"])
+    land(spark.createDataFrame([(4, "c")], schema), stage, ["kind"])
+    assert promote(spark, stage, production, spark.createDataFrame([], schema).schema, ["kind"], F.lit(True)) == 1
+    assert [tuple(r) for r in spark.read.schema(schema).parquet(production).collect()] == [(4, "c")]
 
 
 def run(spark, paths, **changes):
@@ -241,8 +265,7 @@ def test_reset_days_land_again(spark, lake, paths):
     write_source(trips_on(lake, 1), paths["source"])
     run(spark, paths, month="01")
     requests = spark.createDataFrame([("yellow", "2024", "01", "01")], SLICE_REQUESTS)
-    reset = ledger_rows(expand_slices(requests), "PENDING", "reset", None, datetime(2024, 2, 3))
-    append_ledger(reset, paths["ledger"])
+    store_reset(spark, paths["ledger"], requests, at=datetime(2024, 2, 3))
     assert run(spark, paths, month="01", now=datetime(2024, 2, 4)).days == 1
 
 

@@ -7,8 +7,15 @@ from conftest import SF_DIR
 from parity import connect, differences
 
 import __spark_entry__ as contract
+from tripmill.registry.oracles import ORACLES as SQL
+from tripmill.registry.queries import REGISTRY
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = REGISTRY, SQL
+
+
+def test_the_contract_holds_every_query():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 @pytest.fixture(scope="module")

@@ -13,8 +13,14 @@ from tripmill.operators.staging import stage_trips
 from tripmill.plans.trip_build import BY_DAY, FACT_ORDER
 from tripmill.sources import read_events_stream, read_table
 from tripmill.streaming import (
+    fold_deltas,
+    read_counts,
     split_late,
+    stream_counts,
     stream_dedup,
+    stream_deltas,
+    stream_insert_new,
+    stream_split,
     stream_stage,
     stream_to_table,
     stream_upsert,
@@ -106,6 +112,54 @@ def test_windows_are_emitted_once_closed(spark, lake, paths):
     assert values(counts, "trips") == [1, 2]
 
 
+def one_file_a_batch(spark, lake, paths):
+    """Four files, the latest trips first, so that a watermark would drop the others."""
+    for start in (5000, 3000, 1000, 0):
+        send(lake(at(start), at(start), at(start + 1, vendorid=2)).coalesce(1), paths)
+    rows = lake(*[r for s in (0, 1000, 3000, 5000) for r in (at(s), at(s), at(s + 1, vendorid=2))])
+    return rows, read_events_stream(spark, paths["events"], max_files_per_trigger=1)
+
+
+def test_window_counts_do_not_depend_on_batches(spark, lake, paths):
+    rows, stream = one_file_a_batch(spark, lake, paths)
+    stream_counts(stream, paths["table"], paths["checkpoint"], by=["cab_type"])
+    got = read_counts(spark, paths["table"], ["cab_type"])
+    assert same_rows(got, trips_per_minute(rows, by=["cab_type"]))
+    closed = read_counts(spark, paths["table"], ["cab_type"], START + timedelta(minutes=10))
+    assert values(closed, "trips") == [1, 2]
+
+
+def test_new_keys_are_inserted_however_late(spark, lake, paths):
+    _, stream = one_file_a_batch(spark, lake, paths)
+    keyed = BY_DAY.add_to(stage_trips(stream).withColumn("trip_id", surrogate_key(*TRIP_KEY)))
+    stream_insert_new(keyed, paths["table"], paths["checkpoint"], "trip_id", BY_DAY.columns)
+    stored = read_table(spark, paths["table"], keyed.schema)
+    assert stored.count() == stored.select("trip_id").distinct().count() == 8
+
+
+def test_split_stream_stores_every_row(spark, lake, paths):
+    rows, stream = one_file_a_batch(spark, lake, paths)
+    late = paths["table"] + "-late"
+    stream_split(stream, paths["table"], late, paths["checkpoint"], "25 DAYS")
+    both = [read_table(spark, p, rows.schema) for p in (paths["table"], late)]
+    assert all(not side.isEmpty() for side in both)
+    assert same_rows(rows, both[0].unionByName(both[1]))
+
+
+def test_folded_deltas_equal_full_load(spark, lake, zones, paths):
+    rows, stream = one_file_a_batch(spark, lake, paths)
+
+    def transform(batch):
+        return BY_DAY.add_to(fact_trips(core_trips(stage_trips(batch), zones)))
+
+    expected = transform(rows)
+    deltas = paths["table"] + "-deltas"
+    stream_deltas(stream, transform, deltas, paths["checkpoint"])
+    fold_deltas(spark, deltas, expected.schema, paths["table"], "trip_id", BY_DAY.columns, FACT_ORDER)
+    assert same_rows(read_table(spark, paths["table"], expected.schema), expected)
+    assert fold_deltas(spark, deltas, expected.schema, paths["table"], "trip_id", BY_DAY.columns, FACT_ORDER) == 0
+
+
 def test_late_rows_go_aside(lake):
     rows = lake(
         at(0, ingestion_ts=START + timedelta(hours=1)),

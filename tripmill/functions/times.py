@@ -8,6 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def utc_now() -> Column:
+    """The moment of the query as a UTC wall clock, whatever the session zone is."""
+    since = F.unix_micros(F.current_timestamp())
+    return F.timestamp_add("MICROSECOND", since, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def minute_boundaries(start: Column, end: Column) -> Column:
     """Number of minute boundaries crossed between two times.
 

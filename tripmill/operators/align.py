@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.functions import utc_now
 from tripmill.schemas import TRIP_COLUMNS, TargetColumn
 
 
@@ -28,7 +29,7 @@ class Lineage:
 
     def columns(self) -> list[Column]:
         arrived = (
-            F.current_timestamp() if self.ingestion_ts is None else F.lit(str(self.ingestion_ts))
+            utc_now() if self.ingestion_ts is None else F.lit(str(self.ingestion_ts))
         )
         source = self.source_file
         if not isinstance(source, Column):
@@ -48,12 +49,14 @@ def align(
     cab_type: str | None = None,
     spec: Sequence[TargetColumn] = TRIP_COLUMNS,
     lenient: bool = False,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """One projection to the target columns and types.
 
     Optional columns that the source lacks become typed NULLs; a missing
     required column is an error. ``cab_type`` overrides the column of that name.
     ``lenient`` turns text that cannot be cast into NULL instead of failing.
+    ``extra`` columns of the source are added as they are.
     """
     have = set(df.columns)
 
@@ -70,7 +73,7 @@ def align(
         return cast(column.type).alias(column.name)
 
     added = lineage.columns() if lineage else []
-    return df.select(*[target(c) for c in spec], *added)
+    return df.select(*[target(c) for c in spec], *added, *extra)
 
 
 def count_cast_failures(df: DataFrame, spec: Sequence[TargetColumn] = TRIP_COLUMNS) -> DataFrame:

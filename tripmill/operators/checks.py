@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmill.functions import utc_now
+
 
 @dataclass(frozen=True)
 class Check:
@@ -208,7 +210,7 @@ def check_freshness(
     Without a limit the matching status is never given; an empty table has no
     age and is an error.
     """
-    moment = F.current_timestamp() if now is None else F.lit(str(now))
+    moment = utc_now() if now is None else F.lit(str(now))
     latest = df.agg(F.max(column).cast("timestamp_ntz").alias("latest_arrival")).withColumn(
         "_now", moment.cast("timestamp_ntz")
     )

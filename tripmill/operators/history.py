@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.functions import snapshot_id
+from tripmill.functions import snapshot_id, utc_now
 from tripmill.schemas import struct
 
 # The history columns added to the tracked row.
@@ -27,7 +27,7 @@ def history_schema(source: T.StructType) -> T.StructType:
 
 
 def _moment(now: datetime | str | None) -> Column:
-    value = F.current_timestamp() if now is None else F.lit(str(now))
+    value = utc_now() if now is None else F.lit(str(now))
     return value.cast("timestamp_ntz")
 
 

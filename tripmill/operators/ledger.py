@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.functions import slice_id
+from tripmill.functions import slice_id, utc_now
 from tripmill.schemas import LEDGER
 from tripmill.sources.files import path_exists
 from tripmill.sources.tables import read_table
@@ -78,7 +78,7 @@ def ledger_rows(
     keys: DataFrame, status: str, batch_id: str, engine: str | None, at: datetime | None = None
 ) -> DataFrame:
     """Ledger rows that give every key a status."""
-    moment = F.current_timestamp() if at is None else F.lit(str(at))
+    moment = utc_now() if at is None else F.lit(str(at))
     return keys.select(
         "slice_id",
         F.lit(batch_id).cast("string").alias("batch_id"),
@@ -114,6 +114,17 @@ def reset_slices(
     return ledger_state(ledger.unionByName(pending))
 
 
+def store_reset(
+    spark: SparkSession,
+    path: str,
+    requests: DataFrame,
+    batch_id: str = "reset",
+    at: datetime | None = None,
+) -> None:
+    """Set the requested days to be done again, in the stored ledger."""
+    append_ledger(ledger_rows(expand_slices(requests), PENDING, batch_id, None, at), path)
+
+
 def slice_status(ledger: DataFrame, requests: DataFrame) -> DataFrame:
     """Every requested day with its status; days without a row are missing."""
     return (

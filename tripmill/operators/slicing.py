@@ -60,10 +60,12 @@ def new_since(
     The high-water mark is a scalar subquery, which Spark runs first and pushes
     into the Parquet scan. ``inclusive`` takes rows at the mark again, so that no
     batch with the same timestamp is missed; an upsert that keeps the latest
-    submission then gives the same table again.
+    submission then gives the same table again. Rows without an arrival time are
+    always taken, since nothing tells that they are known; the upsert makes that harmless.
     """
     if target is None:
         return df
     start = F.lit(BEFORE_ALL_DATA).cast("timestamp_ntz")
     mark = target.agg(F.coalesce(F.max(column), start)).scalar()
-    return df.where(F.col(column) >= mark if inclusive else F.col(column) > mark)
+    newer = F.col(column) >= mark if inclusive else F.col(column) > mark
+    return df.where(newer | F.col(column).isNull())

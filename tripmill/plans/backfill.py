@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
-from functools import reduce
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.functions import half_open
-from tripmill.operators.align import Lineage, align
+from tripmill.operators.align import Lineage
 from tripmill.operators.ledger import (
     FAILED,
     HIGH_VOLUME_BYTES,
@@ -26,7 +24,7 @@ from tripmill.operators.ledger import (
 from tripmill.plans.trip_build import BY_DAY
 from tripmill.schemas import CAB_TYPES, SLICE_REQUESTS
 from tripmill.sinks import land, plan_write
-from tripmill.sources import read_slices, slice_path, slice_volume
+from tripmill.sources import read_aligned, slice_folders, slice_path, slice_volume
 
 ALL = "ALL"
 
@@ -52,28 +50,19 @@ def new_batch_id(
     return f"{engine}#{cab_type}#{'_'.join(parts)}#{uuid.uuid4().hex[:8]}"
 
 
-def day_runs(days: list[date]) -> list[tuple[date, date]]:
-    """Consecutive days as ``[first, day after last)`` ranges."""
-    runs: list[tuple[date, date]] = []
-    for day in sorted(days):
-        after = day + timedelta(days=1)
-        if runs and runs[-1][1] == day:
-            runs[-1] = (runs[-1][0], after)
-        else:
-            runs.append((day, after))
-    return runs
+def split_own_day(df: DataFrame, day_column: str = "folder_day") -> tuple[DataFrame, DataFrame]:
+    """Rows picked up on the day of their own source folder, and all others.
 
-
-def split_window(df: DataFrame, days: list[date]) -> tuple[DataFrame, DataFrame]:
-    """Rows picked up on one of the days, and all others.
-
-    Landing replaces whole days, so a stray row of another day would wipe that
-    day out. A row without pickup time belongs to no day. Both sides are plain
-    ranges: the scan for stray rows skips row groups that hold none.
+    Landing replaces whole days. A row of another day than its folder's would come
+    and go with whatever else is pending, so it belongs to no landed day, nor does
+    a row without pickup time. Both sides together are the input.
     """
-    ranges = [half_open("pickup_datetime", *run) for run in day_runs(days)]
-    inside = reduce(lambda a, b: a | b, ranges)
-    return df.where(inside), df.where(~inside | F.col("pickup_datetime").isNull())
+    start = F.col(day_column).cast("timestamp_ntz")
+    pickup = F.col("pickup_datetime")
+    own = F.coalesce(
+        (pickup >= start) & (pickup < start + F.expr("INTERVAL 1 DAY")), F.lit(False)
+    )
+    return df.where(own).drop(day_column), df.where(~own).drop(day_column)
 
 
 def _folder_day() -> Column:
@@ -100,8 +89,8 @@ def backfill(
 
     Only pending days are read. The ledger is written after the data; a failure
     is recorded as such and raised. A day without source files stays pending, so
-    that it can land later. Rows outside the processed days go to ``rejects``,
-    by batch.
+    that it can land later. Rows that were not picked up on their folder's day go to
+    ``rejects``, by batch, so what a day holds does not depend on what else is pending.
     """
     if cab_type not in CAB_TYPES:
         raise ValueError(f"unknown cab type {cab_type!r}")
@@ -115,7 +104,10 @@ def backfill(
 
     folders = ("cab_type", "year", "month", "day")
     in_days = (F.col("cab_type") == cab_type) & _folder_day().isin(*wanted)
-    volumes = slice_volume(spark, source, folders, in_days).where("bytes > 0").collect()
+    asked = slice_folders(spark, source, [cab_type], year, month, day)
+    if not asked:
+        return BackfillReport("empty", batch_id)
+    volumes = slice_volume(spark, source, folders, in_days, asked).where("bytes > 0").collect()
     days = sorted(date(int(v["year"]), int(v["month"]), int(v["day"])) for v in volumes)
     if not days:
         return BackfillReport("empty", batch_id)
@@ -133,8 +125,8 @@ def backfill(
         [(f"{cab_type}#{d:%Y_%m_%d}",) for d in days], "slice_id string"
     )
     try:
-        raw = read_slices(spark, source, [cab_type], year, month, day).where(in_days)
-        inside, outside = split_window(align(raw, lineage, cab_type), days)
+        rows = read_aligned(spark, source, [cab_type], year, month, day, keep=in_days)
+        inside, outside = split_own_day(rows.select("*", *lineage.columns()))
         # source folders are days, as the table's partitions are
         plan = plan_write(size, files)
         rows = land(BY_DAY.add_to(inside), table, BY_DAY.columns, plan)

@@ -369,6 +369,16 @@ ORACLES["read_slice_year"] = f"""{_with(TRIPS)}
 SELECT * EXCLUDE (ingestion_ts, batch_id, source_file, migration_batch_id, engine_type),
   CAST(month(pickup_datetime) AS INTEGER) AS month
 FROM lake WHERE year(pickup_datetime) = 1997 AND cab_type IN ('yellow', 'green')"""
+ORACLES["read_mixed_types"] = f"""{_with(TRIPS)}
+SELECT * EXCLUDE (ingestion_ts, batch_id, source_file, migration_batch_id, engine_type)
+FROM lake WHERE year(pickup_datetime) = 1997 AND cab_type IN ('yellow', 'green')"""
+ORACLES["backfill_relanded"] = f"""{_with(TRIPS)}
+SELECT * EXCLUDE (ingestion_ts, batch_id, source_file, migration_batch_id, engine_type),
+  CASE WHEN (vendorid * 3 + payment_type) % 5 % 2 = 0 THEN 'landed' ELSE 'rejected' END AS outcome
+FROM lake WHERE cab_type = 'green' AND pickup_datetime >= TIMESTAMP '1997-03-01 00:00:00'
+  AND pickup_datetime < TIMESTAMP '1997-03-31 00:00:00'"""
+ORACLES["upsert_null_partition"] = f"""{_with(TRIPS, STAGED, KEYED)}
+SELECT DISTINCT trip_id, CASE WHEN cab_type <> 'fhv' THEN cab_type END AS kind, vendor_id FROM keyed"""
 ORACLES["slice_volumes"] = f"""{_with(TRIPS)}
 SELECT DISTINCT cab_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
   CAST(month(pickup_datetime) AS INTEGER) AS month, TRUE AS has_data FROM lake"""
@@ -640,6 +650,10 @@ hours AS (SELECT date_trunc('hour', pickup_datetime) AS window_start,
             count(*) AS trips FROM lake GROUP BY ALL)
 SELECT * FROM hours
 WHERE window_end <= (SELECT max(pickup_datetime) - INTERVAL 1 DAY FROM lake)"""
+ORACLES["stream_in_time"] = f"""{_STG}
+SELECT * FROM stg WHERE ingestion_ts <= pickup_datetime + INTERVAL 9500 DAYS"""
+ORACLES["stream_late"] = f"""{_STG}
+SELECT * FROM stg WHERE ingestion_ts > pickup_datetime + INTERVAL 9500 DAYS"""
 ORACLES["trips_in_time"] = f"""{_STG}
 SELECT * FROM stg WHERE ingestion_ts <= pickup_datetime + INTERVAL 9500 DAYS"""
 ORACLES["trips_late"] = f"""{_STG}

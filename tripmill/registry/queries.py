@@ -37,6 +37,7 @@ from tripmill.operators.ledger import (
     reset_slices,
     slice_gaps,
     slice_status,
+    store_reset,
 )
 from tripmill.operators.profile import (
     load_profile,
@@ -53,6 +54,7 @@ from tripmill.operators.quality import (
 )
 from tripmill.operators.slicing import new_since, slice_day, slice_year
 from tripmill.operators.staging import stage_trips, stage_vendors
+from tripmill.plans.backfill import backfill
 from tripmill.plans.suites import SUITES
 from tripmill.plans.trip_build import (
     BY_MONTH,
@@ -63,11 +65,27 @@ from tripmill.plans.trip_build import (
 )
 from tripmill.plans.validation import TOP_TRIP_COLUMNS
 from tripmill.registry import fixtures as fx
-from tripmill.schemas import CAB_TYPES, LAKE_TRIPS, TRIP_SLICE, VENDORS
+from tripmill.schemas import (
+    CAB_TYPES,
+    LAKE_TRIPS,
+    SLICE_REQUESTS,
+    TRIP_COLUMNS,
+    TRIP_SLICE,
+    VENDORS,
+)
 from tripmill.session import scratch_path
-from tripmill.sinks import land, materialize_table, plan_write, promote, register_view, sync_schema
+from tripmill.sinks import (
+    land,
+    materialize_table,
+    plan_write,
+    promote,
+    register_view,
+    sync_schema,
+    upsert,
+)
 from tripmill.sources import (
     date_spine_over,
+    read_aligned,
     read_events_stream,
     read_seed,
     read_slices,
@@ -75,11 +93,15 @@ from tripmill.sources import (
     slice_volume,
 )
 from tripmill.streaming import (
+    fold_deltas,
+    read_counts,
     split_late,
-    stream_dedup,
+    stream_counts,
+    stream_deltas,
+    stream_insert_new,
+    stream_split,
     stream_stage,
     stream_to_table,
-    stream_upsert,
     trips_per_minute,
 )
 
@@ -319,6 +341,67 @@ def read_slice_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(trips).withColumn("month", F.month("pickup_datetime"))
 
 
+@query
+def read_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices whose files hold other types than the target, month by month."""
+
+    def write(path: str) -> None:
+        trips = fx.source_trips(spark, sf_dir).withColumns(
+            {"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")}
+        )
+        kinds = {0: ("double", "bigint"), 1: ("bigint", "int"), 2: ("string", "smallint")}
+        for kind, (passengers, vendor) in kinds.items():
+            part = trips.where(F.col("month") % 3 == kind).withColumns(
+                {"passenger_count": F.col("passenger_count").cast(passengers), "vendorid": F.col("vendorid").cast(vendor)}
+            )
+            land(part, path, SLICE_LEVELS)
+
+    root = fx.kept_path(spark, sf_dir, "mixed-slices", write)
+    return read_aligned(spark, root, ["yellow", "green"], "1997").drop("folder_day")
+
+
+@query
+def backfill_relanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month landed, one day of it reset and landed again: landed and rejected trips.
+
+    Every fifth trip lies in the folder of the day after it was picked up.
+    """
+    root, table, ledger, rejects = (
+        scratch_path(spark, f"relanding-{label}") for label in ("source", "table", "ledger", "rejects")
+    )
+    trips = fx.source_trips(spark, sf_dir).where(
+        "cab_type = 'green' AND pickup_datetime >= '1997-03-01' AND pickup_datetime < '1997-03-31'"
+    )
+    folder = F.date_add(F.to_date("pickup_datetime"), (F.col("vendorid") * 3 + F.col("payment_type")).cast("int") % 5 % 2)
+    land(
+        trips.withColumns({"year": F.year(folder), "month": F.month(folder), "day": F.dayofmonth(folder)}),
+        root, ("cab_type", "year", "month", "day"),
+    )
+    run = {"cab_type": "green", "year": "1997", "month": "03"}
+    backfill(spark, root, table, ledger, rejects, **run, batch_id="first", now=datetime(2024, 2, 1))
+    again = spark.createDataFrame([("green", "1997", "03", "06")], SLICE_REQUESTS)
+    store_reset(spark, ledger, again, at=datetime(2024, 2, 2))
+    backfill(spark, root, table, ledger, scratch_path(spark, "relanding-again"), **run, batch_id="second", now=datetime(2024, 2, 3))
+    kept = [c.name for c in TRIP_COLUMNS]
+    landed = spark.read.parquet(table).select(*kept, F.lit("landed").alias("outcome"))
+    rejected = spark.read.parquet(rejects).select(*kept, F.lit("rejected").alias("outcome"))
+    return landed.unionByName(rejected)
+
+
+@query
+def upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of an unknown cab type, upserted in two rounds; the first round's stay."""
+    path = scratch_path(spark, "null-partition")
+    trips = fx.staged_trips(spark, sf_dir).select(
+        surrogate_key(*TRIP_KEY).alias("trip_id"),
+        F.when(F.col("cab_type") != "fhv", F.col("cab_type")).alias("kind"),
+        "vendor_id",
+    )
+    for rest in (0, 1):
+        upsert(spark, path, trips.where(F.col("vendor_id") % 2 == rest), "trip_id", ["kind"])
+    return read_table(spark, path, trips.schema)
+
+
 @query
 def slice_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every folder has data; bytes depend on the writer and are left out."""
@@ -723,11 +806,17 @@ def trip_events(spark: SparkSession, sf_dir: str) -> str:
     """Folder of trip events as JSON lines."""
 
     def write(path: str) -> None:
-        fx.lake_trips(spark, sf_dir).write.option("ignoreNullFields", False).json(path)
+        # several files in no order of time, each a micro-batch of its own
+        trips = fx.lake_trips(spark, sf_dir).repartition(4, "pulocationid", "dolocationid")
+        trips.write.option("ignoreNullFields", False).json(path)
 
     return fx.kept_path(spark, sf_dir, "trip-events", write)
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_events_stream(spark, trip_events(spark, sf_dir), max_files_per_trigger=1)
+
+
 def _stream_result(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     stream_to_table(stream, path, scratch_path(spark, f"{label}-checkpoint"))
@@ -736,50 +825,75 @@ def _stream_result(spark: SparkSession, stream: DataFrame, label: str) -> DataFr
 
 @query
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean, _ = stream_stage(read_events_stream(spark, trip_events(spark, sf_dir)))
+    clean, _ = stream_stage(_event_stream(spark, sf_dir))
     return _stream_result(spark, clean, "stream-clean")
 
 
 @query
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, broken = stream_stage(read_events_stream(spark, trip_events(spark, sf_dir)))
+    _, broken = stream_stage(_event_stream(spark, sf_dir))
     return reasons_as_text(_stream_result(spark, broken, "stream-quarantine"))
 
 
 @query
 def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact kept up to date from a stream of events; equals one full load."""
-    path = scratch_path(spark, "stream-fact")
+    """Fact from several micro-batches of events, folded twice; equals one full load."""
+    path, deltas = scratch_path(spark, "stream-fact"), scratch_path(spark, "stream-fact-deltas")
     zones = fx.zone_lookup(spark, sf_dir)
-    clean, _ = stream_stage(read_events_stream(spark, trip_events(spark, sf_dir)))
-    stream_upsert(
+    clean, _ = stream_stage(_event_stream(spark, sf_dir))
+    schema = BY_MONTH.add_to(fact(spark, sf_dir)).schema
+    stream_deltas(
         clean,
         lambda batch: BY_MONTH.add_to(fact_trips(core_trips(batch, zones))),
-        path,
+        deltas,
         scratch_path(spark, "stream-fact-checkpoint"),
-        "trip_id",
-        BY_MONTH.columns,
-        FACT_ORDER,
     )
-    stored = read_table(spark, path, BY_MONTH.add_to(fact(spark, sf_dir)).schema)
+    fold_deltas(spark, deltas, schema, path, "trip_id", BY_MONTH.columns, FACT_ORDER)
+    stored = read_table(spark, path, schema)
     return stored.select(*FACT_COLUMNS)
 
 
 @query
 def stream_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that remain after repeated submissions were dropped from the stream."""
-    clean, _ = stream_stage(read_events_stream(spark, trip_events(spark, sf_dir)))
+    clean, _ = stream_stage(_event_stream(spark, sf_dir))
     keyed = clean.withColumn("trip_id", surrogate_key(*TRIP_KEY))
-    unique = stream_dedup(keyed, ["trip_id"]).select("trip_id", *TRIP_KEY)
-    return _stream_result(spark, unique, "stream-keys")
+    keys = BY_MONTH.add_to(keyed.select("trip_id", *TRIP_KEY))
+    path = scratch_path(spark, "stream-keys")
+    stream_insert_new(
+        keys, path, scratch_path(spark, "stream-keys-checkpoint"), "trip_id", BY_MONTH.columns
+    )
+    return read_table(spark, path, keys.schema).select("trip_id", *TRIP_KEY)
 
 
 @query
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips per hour of the stream, for the windows that its watermark closed."""
-    events = read_events_stream(spark, trip_events(spark, sf_dir))
-    counts = trips_per_minute(events, by=["cab_type"], width="1 hour", delay="1 day")
-    return _stream_result(spark, counts, "stream-windows")
+    """Trips per hour of the stream over all its batches, for windows a day before its end."""
+    path = scratch_path(spark, "stream-windows")
+    stream_counts(
+        _event_stream(spark, sf_dir), path, scratch_path(spark, "stream-windows-checkpoint"),
+        by=["cab_type"], width="1 hour",
+    )
+    last = fx.lake_trips(spark, sf_dir).agg(F.max("pickup_datetime")).first()[0]
+    return read_counts(spark, path, ["cab_type"], last - timedelta(days=1))
+
+
+def _split_stream(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
+    paths = [scratch_path(spark, label) for label in ("stream-in-time", "stream-late")]
+    staged = stage_trips(_event_stream(spark, sf_dir))
+    stream_split(staged, *paths, scratch_path(spark, "stream-split-checkpoint"), "9500 DAYS")
+    return read_table(spark, paths[late], staged.schema)
+
+
+@query
+def stream_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_stream(spark, sf_dir, late=False)
+
+
+@query
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly the rows of the stream that the rows in time are not."""
+    return _split_stream(spark, sf_dir, late=True)
 
 
 @query

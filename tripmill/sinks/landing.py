@@ -109,10 +109,15 @@ def land(
 
 def _drop_partitions(spark: SparkSession, path: str, partitions: DataFrame) -> int:
     """Delete the folders of the listed partitions; the calendar bounds their number."""
+    # Spark's own naming: special characters are escaped, NULL has a name
+    naming = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    texts = partitions.select(*[F.col(c).cast("string").alias(c) for c in partitions.columns])
     dropped = 0
-    for row in partitions.toLocalIterator():
-        folder = "/".join(f"{c}={row[c]}" for c in partitions.columns)
-        dropped += delete_folder(spark, f"{path.rstrip('/')}/{folder}")
+    for row in texts.toLocalIterator():
+        folder = "/".join(naming.getPartitionPathString(c, row[c]) for c in texts.columns)
+        if not delete_folder(spark, f"{path.rstrip('/')}/{folder}"):
+            raise RuntimeError(f"partition {folder} of {path} could not be deleted")
+        dropped += 1
     return dropped
 
 
@@ -139,7 +144,7 @@ def promote(
         stale = (
             have.select(*partition_by)
             .distinct()
-            .join(incoming.select(*partition_by).distinct(), list(partition_by), "left_anti")
+            .exceptAll(incoming.select(*partition_by).distinct())
         )
         _drop_partitions(spark, production, stale)
     return rows

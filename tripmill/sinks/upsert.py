@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.operators.dedup import keep_latest
+from tripmill.operators.dedup import keep_latest, latest_first
 from tripmill.sinks.landing import LandingPlan, land
 from tripmill.sinks.tables import written_copy
 from tripmill.sources.files import path_exists
@@ -28,9 +28,12 @@ def _any_of(rows: list, columns: Sequence[str]) -> Column:
         groups[tuple(row[c] for c in outer)].append(row[last])
     branches = []
     for values, lasts in groups.items():
-        branch = F.col(last).isin(*lasts)
-        for column, value in zip(outer, values):
-            branch = branch & (F.col(column) == F.lit(value))
+        known = [v for v in lasts if v is not None]
+        branch = F.col(last).isin(*known) if known else F.lit(False)
+        if len(known) < len(lasts):
+            branch = branch | F.col(last).isNull()
+        for column, value in zip(outer, values, strict=True):
+            branch = branch & (F.col(column).isNull() if value is None else F.col(column) == F.lit(value))
         branches.append(branch)
     return reduce(lambda a, b: a | b, branches)
 
@@ -45,7 +48,9 @@ def touched_partitions(
         return stored.limit(0)
     if len(few) <= MAX_LITERAL_PARTITIONS:
         return stored.where(_any_of(few, partition_by))
-    return stored.join(touched, list(partition_by), "left_semi")
+    named = touched.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_by])
+    same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by]
+    return stored.join(named, reduce(lambda a, b: a & b, same), "left_semi")
 
 
 def upsert(
@@ -62,16 +67,19 @@ def upsert(
 
     The partition columns must be functions of the key, so a key never moves
     between partitions and only touched partitions are read and rewritten.
-    ``incoming`` holds each key once. ``resolve="incoming"`` lets the new row
-    win; ``resolve="latest"`` ranks stored and incoming rows by ``order``.
+    A NULL partition value is a partition like any other. ``resolve="incoming"``
+    lets the new row win; ``resolve="latest"`` ranks stored and incoming rows by
+    ``order``. If ``incoming`` holds a key more than once, the first by ``order``,
+    then by all columns, descending, is taken, on the first load as well.
     One writer at a time: plain Parquet folders give no isolation.
     """
     if resolve not in ("incoming", "latest"):
         raise ValueError(f"unknown resolve mode {resolve!r}")
     if resolve == "latest" and not order:
         raise ValueError("resolve='latest' needs an order")
+    ranked = latest_first(incoming, [key], order)
     if not path_exists(spark, path):
-        return land(incoming, path, partition_by, plan)
+        return land(keep_latest(incoming, [key], ranked), path, partition_by, plan)
 
     # read twice below: once for its partitions, once for its rows
     batch = written_copy(incoming, "upsert")
@@ -81,5 +89,7 @@ def upsert(
     if resolve == "latest":
         merged = keep_latest(stored.unionByName(batch), [key], order)
     else:
+        if not batch.groupBy(key).count().where("count > 1").isEmpty():
+            batch = keep_latest(batch, [key], ranked)
         merged = stored.join(batch.select(key), key, "left_anti").unionByName(batch)
     return land(merged, path, partition_by, plan)

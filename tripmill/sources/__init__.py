@@ -5,9 +5,11 @@ from tripmill.sources.events import TRIP_EVENT, read_events_stream
 from tripmill.sources.files import path_exists
 from tripmill.sources.slices import (
     landed_days,
+    read_aligned,
     read_slice,
     read_slices,
     slice_filter,
+    slice_folders,
     slice_path,
     slice_volume,
 )
@@ -19,12 +21,14 @@ __all__ = [
     "date_spine_over",
     "landed_days",
     "path_exists",
+    "read_aligned",
     "read_events_stream",
     "read_seed",
     "read_slice",
     "read_slices",
     "read_table",
     "slice_filter",
+    "slice_folders",
     "slice_path",
     "slice_volume",
 ]

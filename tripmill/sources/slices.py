@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.schemas import SLICE_PARTITIONS, TRIP_SLICE
+from tripmill.operators.align import align
+from tripmill.schemas import SLICE_PARTITIONS, TRIP_COLUMNS, TRIP_SLICE, TargetColumn
+from tripmill.sources.files import path_exists
 
 # Tasks used to read file metadata; each one only asks for names and lengths.
 LISTING_TASKS = 256
@@ -36,6 +40,14 @@ def slice_filter(
     return keep
 
 
+def _wanted(
+    year: str | int | None, month: str | int | None, day: str | int | None
+) -> list[tuple[str, int | None]]:
+    if day is not None and month is None:
+        raise ValueError("a day needs a month")
+    return [("year", _number(year)), ("month", _number(month)), ("day", _number(day))]
+
+
 def slice_path(
     root: str,
     cab_type: str,
@@ -43,15 +55,34 @@ def slice_path(
     month: str | int | None = None,
     day: str | int | None = None,
 ) -> str:
-    """Folder of a slice, as recorded in the lineage columns."""
-    if day is not None and month is None:
-        raise ValueError("a day needs a month")
-    path = f"{root.rstrip('/')}/cab_type={cab_type}/year={year}/"
-    if month is not None:
-        path += f"month={_number(month)}/"
-    if day is not None:
-        path += f"day={_number(day)}/"
-    return path
+    """Folder of a slice, as recorded in the lineage columns.
+
+    Fixed values: the layout of the source, ``cab_type=/year=/month=/day=``.
+    """
+    named = [("cab_type", cab_type), *((n, v) for n, v in _wanted(year, month, day) if v is not None)]
+    return "/".join([root.rstrip("/"), *(f"{name}={value}" for name, value in named), ""])
+
+
+def slice_folders(
+    spark: SparkSession,
+    root: str,
+    cab_types: Sequence[str],
+    year: str | int,
+    month: str | int | None = None,
+    day: str | int | None = None,
+) -> list[str]:
+    """Existing folders of a slice: one look-up for each level, nothing is listed.
+
+    Month and day folders may be written with or without a leading zero.
+    """
+    found = [f"{root.rstrip('/')}/cab_type={cab_type}" for cab_type in cab_types]
+    for name, value in _wanted(year, month, day):
+        if value is None:
+            break
+        spelled = dict.fromkeys([str(value), f"{value:02d}"])
+        found = [f"{above}/{name}={text}" for above in found for text in spelled]
+        found = [folder for folder in found if path_exists(spark, folder)]
+    return [folder for folder in found if path_exists(spark, folder)]
 
 
 def _folder_columns(levels: Sequence[str]) -> list[T.StructField]:
@@ -70,13 +101,72 @@ def read_slices(
 ) -> DataFrame:
     """Several cab types in one pruned scan instead of a union of scans.
 
-    With a declared schema no footer is read while planning, and columns a file
-    lacks come back as NULL. ``schema=None`` infers it from the files.
+    Only the slice's own folders are listed. With a declared schema no footer is
+    read while planning, and columns a file lacks come back as NULL; use
+    :func:`read_aligned` where files may hold other types or lack required
+    columns. ``schema=None`` infers it from the files.
     """
-    reader = spark.read
+    keep = slice_filter(cab_types, year, month, day)
+    folders = slice_folders(spark, root, cab_types, year, month, day)
+    if not folders:
+        fields = (schema or TRIP_SLICE).fields + _folder_columns(levels)
+        return spark.createDataFrame([], T.StructType(fields))
+    reader = spark.read.option("basePath", root)
     if schema is not None:
         reader = reader.schema(T.StructType(schema.fields + _folder_columns(levels)))
-    return reader.parquet(root).where(slice_filter(cab_types, year, month, day))
+    return reader.parquet(*folders).where(keep)
+
+
+def _leaves(spark: SparkSession, folders: Sequence[str]) -> list[str]:
+    """The folders that hold files, below the given ones."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    leaves, waiting = [], list(folders)
+    while waiting:
+        path = jvm_path(waiting.pop())
+        listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        below = [s.getPath().toString() for s in listed if s.isDirectory() and "=" in s.getPath().getName()]
+        waiting += below
+        if any(s.isFile() and s.getPath().getName().endswith(".parquet") for s in listed):
+            leaves.append(path.toString())
+    return sorted(leaves)
+
+
+def read_aligned(
+    spark: SparkSession,
+    root: str,
+    cab_types: Sequence[str],
+    year: str | int,
+    month: str | int | None = None,
+    day: str | int | None = None,
+    spec: Sequence[TargetColumn] = TRIP_COLUMNS,
+    lenient: bool = False,
+    keep: Column | None = None,
+) -> DataFrame:
+    """A slice in the target types, whatever types its files hold.
+
+    The types are taken from one footer of each folder (a folder is written by
+    one job), and folders of one type are one scan; scans of different types are
+    cast and then united. A folder that lacks a required column is an error.
+    The source's folder columns come with the result as ``folder_day`` (NULL above day
+    level). ``keep`` is a further predicate on the folder columns.
+    """
+    folders = _leaves(spark, slice_folders(spark, root, cab_types, year, month, day))
+    alike: dict[str, list[str]] = defaultdict(list)
+    for folder in folders:
+        stored = spark.read.parquet(folder).schema
+        alike[",".join(sorted(f"{f.name}:{f.dataType.simpleString()}" for f in stored))].append(folder)
+    scans = []
+    for group in alike.values():
+        scan = spark.read.option("basePath", root).parquet(*group)
+        if keep is not None:
+            scan = scan.where(keep)
+        levels = set(scan.columns)
+        own = F.make_date("year", "month", "day") if {"year", "month", "day"} <= levels else F.lit(None)
+        scans.append(align(scan, spec=spec, lenient=lenient, extra=[own.cast("date").alias("folder_day")]))
+    if not scans:
+        fields = [T.StructField(c.name, T._parse_datatype_string(c.type)) for c in spec]
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField("folder_day", T.DateType())]))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def read_slice(
@@ -92,12 +182,18 @@ def read_slice(
     return read_slices(spark, root, [cab_type], year, month, day, schema, levels)
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Folder columns and length of every Parquet file; no content is read."""
+def list_files(
+    spark: SparkSession, root: str, folders: Sequence[str] | None = None
+) -> DataFrame:
+    """Folder columns and length of every Parquet file; no content is read.
+
+    ``folders`` below the root restrict what is listed.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
-        .load(root)
+        .option("basePath", root)
+        .load(list(folders) if folders else root)
         .drop("content", "modificationTime", "path")
     )
     # binaryFile plans one task per few files; names and lengths need far fewer
@@ -109,9 +205,10 @@ def slice_volume(
     root: str,
     by: Sequence[str] = ("cab_type", "year", "month"),
     where: Column | None = None,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
     """Bytes and number of files of each slice, from file metadata."""
-    files = list_files(spark, root)
+    files = list_files(spark, root, folders)
     if where is not None:
         files = files.where(where)
     return files.groupBy(*by).agg(

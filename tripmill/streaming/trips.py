@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tripmill.operators.dedup import keep_latest, latest_first
 from tripmill.operators.quality import TRIP_RULES, Rule, quality_filter, quarantine
 from tripmill.operators.staging import stage_trips
-from tripmill.sinks.upsert import upsert
+from tripmill.sinks.tables import written_copy
+from tripmill.sinks.upsert import touched_partitions, upsert
+from tripmill.sources.files import delete_folder, path_exists
+from tripmill.sources.tables import read_table
 
 
 def stream_stage(
@@ -34,12 +40,14 @@ def trips_per_minute(
 ) -> DataFrame:
     """Rows per tumbling window, for a batch frame or a stream.
 
-    On a stream a window is emitted once the watermark has passed its end, and
-    its state is dropped then.
+    On a stream a window is emitted once the watermark has passed its end, and its
+    state is dropped then: rows behind the watermark are not counted. Use
+    :func:`stream_counts` where every row must count, however late it is.
     """
-    timed = with_event_time(df, column)
     if df.isStreaming:
-        timed = timed.withWatermark("event_time", delay)
+        timed = with_event_time(df, column).withWatermark("event_time", delay)
+    else:
+        timed = df.withColumn("event_time", F.col(column))
     counts = timed.groupBy(F.window("event_time", width).alias("w"), *by).agg(
         F.count(F.lit(1)).alias("trips")
     )
@@ -59,8 +67,9 @@ def stream_dedup(
 ) -> DataFrame:
     """Drop repeated submissions that arrive within the delay.
 
-    The first arrival is kept. Where the latest must win, use
-    :func:`stream_upsert`, whose table remembers every key.
+    The first arrival is kept; rows behind the watermark are dropped as well, new
+    keys among them. Use :func:`stream_insert_new` where no key may be lost, and
+    :func:`stream_deltas` where the latest submission must win.
     """
     timed = with_event_time(stream, column).withWatermark("event_time", delay)
     return timed.dropDuplicatesWithinWatermark(list(key)).drop("event_time")
@@ -99,6 +108,139 @@ def stream_to_table(
     writer.start(path).awaitTermination()
 
 
+def _each_batch(
+    stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None]
+) -> None:
+    (
+        stream.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """One folder for each micro-batch; a repeated batch replaces its own."""
+    (
+        df.withColumn("micro_batch", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("micro_batch")
+        .parquet(path)
+    )
+
+
+def stream_counts(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    column: str = "pickup_datetime",
+    by: Sequence[str] = (),
+    width: str = "1 minute",
+) -> None:
+    """Counts per window of every micro-batch; :func:`read_counts` adds them up.
+
+    There is no watermark and no state: a late row is counted in a later batch's
+    part of the same window, so the sums do not depend on how files are cut into
+    batches. What is stored is bounded by windows and batches, not by rows.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(trips_per_minute(batch, column, by, width), path, batch_id)
+
+    _each_batch(stream, checkpoint, apply)
+
+
+def read_counts(
+    spark: SparkSession, path: str, by: Sequence[str] = (), closed_before: datetime | None = None
+) -> DataFrame:
+    """Rows per window over all batches, optionally only of windows that have ended."""
+    parts = spark.read.parquet(path)
+    if closed_before is not None:
+        parts = parts.where(F.col("window_end") <= F.lit(str(closed_before)).cast("timestamp_ntz"))
+    return parts.groupBy("window_start", "window_end", *by).agg(F.sum("trips").alias("trips"))
+
+
+def stream_insert_new(
+    stream: DataFrame, path: str, checkpoint: str, key: str, partition_by: Sequence[str]
+) -> None:
+    """Append the rows whose key the table does not hold yet.
+
+    The table remembers every key, so nothing is lost behind a watermark and a
+    repeated micro-batch adds nothing. The partition columns must be functions of
+    the key: only the partitions that a batch touches are read, and only their keys.
+    """
+
+    def apply(batch: DataFrame, _batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = keep_latest(batch, [key], latest_first(batch, [key], ()))
+        if path_exists(spark, path):
+            stored = read_table(spark, path, batch.schema).select(key, *partition_by)
+            new = written_copy(new, "stream-insert")
+            known = touched_partitions(stored, new, partition_by).select(key)
+            new = new.join(known, key, "left_anti")
+        new.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+    _each_batch(stream, checkpoint, apply)
+
+
+def stream_split(
+    stream: DataFrame,
+    in_time: str,
+    late: str,
+    checkpoint: str,
+    delay: str,
+    event_column: str = "pickup_datetime",
+    arrival_column: str = "ingestion_ts",
+) -> None:
+    """Store rows in time and late rows side by side; together they are the stream."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        both = split_late(batch, delay, event_column, arrival_column)
+        for rows, path in zip(both, (in_time, late), strict=True):
+            _write_batch(rows, path, batch_id)
+
+    _each_batch(stream, checkpoint, apply)
+
+
+def stream_deltas(
+    stream: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+) -> None:
+    """Store the transformed rows of every micro-batch, without touching a keyed table.
+
+    :func:`fold_deltas` brings them into the table on its own schedule, so a batch
+    costs its own rows and not the partitions that they belong to.
+    """
+    _each_batch(stream, checkpoint, lambda batch, batch_id: _write_batch(transform(batch), path, batch_id))
+
+
+def fold_deltas(
+    spark: SparkSession,
+    deltas: str,
+    schema: T.StructType,
+    table: str,
+    key: str,
+    partition_by: Sequence[str],
+    order: Sequence[str],
+) -> int:
+    """Upsert all stored deltas in one go, latest row wins, then drop them.
+
+    An interrupted run can be repeated: rows that were folded already are the same
+    submissions. No stream may write the deltas meanwhile.
+    """
+    if not path_exists(spark, deltas):
+        return 0
+    rows = upsert(
+        spark, table, read_table(spark, deltas, schema), key, partition_by, resolve="latest", order=order
+    )
+    delete_folder(spark, deltas)
+    return rows
+
+
 def stream_upsert(
     stream: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
@@ -126,10 +268,4 @@ def stream_upsert(
             order=order,
         )
 
-    (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    _each_batch(stream, checkpoint, apply)
