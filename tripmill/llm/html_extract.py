@@ -56,8 +56,11 @@ LEFT_OUT_NAMES = frozenset(
     "dialog skip hidden".split()
 )
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|"
-    r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|"
+    # quotes count only behind an equals sign; what was taken is never given back
+    r"<([a-zA-Z][^\s/>]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)>|"
+    # a tag that the page ends in
+    r"<[a-zA-Z/!?][^>]*\Z",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-hidden|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
