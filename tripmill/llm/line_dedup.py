@@ -9,30 +9,46 @@ positions are shuffled to find repeats; a hash has 128 bits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import stored
+from tripmill.llm.common import in_slices, stored
 
 WINDOW_LINES = 3
 
+_PLACES_DDL = "_d {kind}, _k string, _t long, h1 long, h2 long, pos int"
 
-def _windows(lines: Column, size: int) -> Column:
-    """Array of (hash, position) of each window of ``size`` lines."""
 
-    def one(i: Column) -> Column:
-        each = [F.get(lines, i + k) for k in range(size)]
-        # the second hash reads the lines in another order behind a marker
-        return F.struct(
-            F.xxhash64(*each).alias("h1"),
-            F.xxhash64(F.lit("w"), *reversed(each)).alias("h2"),
-            i.alias("pos"),
-        )
+def _places(docs: DataFrame, size: int) -> DataFrame:
+    """A row for each window: its document, hash and position."""
 
-    count = F.size(lines) - F.lit(size - 1)
-    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), one)).otherwise(
-        F.expr("array()").cast("array<struct<h1:bigint,h2:bigint,pos:int>>")
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            rows, hashes, places = [], [], []
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                if text is None or text.count("\n") < size - 1:
+                    continue
+                each = [xxhash.xxh3_128_digest(line) for line in text.split("\n")]
+                count = len(each) - size + 1
+                hashes += [xxhash.xxh3_128_digest(b"".join(each[i : i + size])) for i in range(count)]
+                rows += [row] * count
+                places += range(count)
+            halves = pa.Array.from_buffers(pa.int64(), 2 * len(rows), [None, pa.py_buffer(b"".join(hashes))])
+            of = pa.array(rows, pa.int64())
+            even = pa.array(range(0, 2 * len(rows), 2), pa.int64())
+            odd = pa.array(range(1, 2 * len(rows), 2), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(of) for c in ("_d", "_k", "_t")]
+                + [halves.take(even), halves.take(odd), pa.array(places, pa.int32())],
+                names=["_d", "_k", "_t", "h1", "h2", "pos"],
+            )
+
+    kind = docs.schema["_d"].dataType.simpleString()
+    return docs.select("_d", "_k", "_t", "text").mapInArrow(run, _PLACES_DDL.format(kind=kind))
 
 
 def line_dedup(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
@@ -44,48 +60,43 @@ def line_dedup(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
     documents of their own. If all lines go, the text is empty. Other columns pass through;
     input columns named n_lines or n_removed are replaced.
     """
-    base = docs.drop("n_lines", "n_removed")
-    doc_key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    keyed = base.select("doc_id", "text", doc_key.alias("_k"), F.xxhash64("text").alias("_t"))
-    places = keyed.select(
-        F.col("doc_id").alias("_d"), "_k", "_t",
-        F.explode(_windows(F.split("text", "\n", -1), size)).alias("w"),
-    ).select("_d", "_k", "_t", "w.h1", "w.h2", "w.pos")
-    places = stored(places, "line-windows")
+    base = docs.drop("n_lines", "n_removed").withColumn("text", F.col("text").cast("string"))
+    keyed = base.withColumns(
+        {"_d": F.col("doc_id"), "_k": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "_t": F.xxhash64("text")}
+    )
+    places = stored(_places(keyed, size), "line-windows")
+    place = F.struct("_d", "_k", "_t", "pos")
     first = (
         places.groupBy("h1", "h2")
-        .agg(
-            F.min(F.struct("_d", "_k", "_t", "pos")).alias("first"),
-            F.max(F.struct("_d", "_k", "_t", "pos")).alias("last"),
-        )
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where(F.col("first") != F.col("last"))
         .select("h1", "h2", "first")
     )
-    later = places.join(first, ["h1", "h2"]).where(F.struct("_d", "_k", "_t", "pos") != F.col("first"))
-    covered = (
-        later.groupBy("_k", "_t")
-        .agg(F.collect_set("pos").alias("pos"))
-        .select(
-            "_k", "_t",
-            F.array_distinct(
-                F.flatten(F.transform("pos", lambda p: F.sequence(p, p + (size - 1))))
-            ).alias("_covered"),
-        )
+    later = (
+        places.join(first, ["h1", "h2"])
+        .where(place != F.col("first"))
+        .groupBy("_k", "_t")
+        .agg(F.collect_set("pos").alias("_later"))
     )
-    lines = F.split("text", "\n", -1)
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_covered"))
+    names = base.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            texts, n_lines, n_removed = [], [], []
+            for text, later in zip(batch.column("text").to_pylist(), batch.column("_later").to_pylist(), strict=True):
+                lines = [] if text is None else text.split("\n")
+                gone = {at + k for at in later or () for k in range(size)}
+                texts.append("\n".join([x for i, x in enumerate(lines) if i not in gone]) if gone else text)
+                n_lines.append(len(lines))
+                n_removed.append(len(gone))
+            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())],
+                names=[*names, "n_lines", "n_removed"],
+            )
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
     return (
-        base.withColumns({"_k": doc_key, "_t": F.xxhash64("text")})
-        .join(covered, ["_k", "_t"], "left")
-        .withColumns(
-            {
-                "n_lines": n_lines,
-                "n_removed": F.coalesce(F.size("_covered"), F.lit(0)).cast("long"),
-                "text": F.when(F.col("_covered").isNull(), F.col("text")).otherwise(
-                    F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-                ),
-            }
-        )
-        .select(*[F.col(f"`{c}`") for c in base.columns], "n_lines", "n_removed")
+        keyed.drop("_d").join(later, ["_k", "_t"], "left").select(*[F.col(f"`{c}`") for c in names], "_later")
+        .mapInArrow(cut, f"{schema}, n_lines long, n_removed long")
     )
