@@ -42,7 +42,8 @@ def compare_metrics(
     against the month of the event. A key that one side lacks stays in the
     result with NULL there. Both sides are aggregated first; their small
     results are then brought together by one more aggregation, which also
-    matches NULL keys and needs no join when there are no keys.
+    matches NULL keys and needs no join when there are no keys. A side has one row
+    for each key, so two rows are both sides.
     """
     keys = dict(keys or {})
     metrics = dict(metrics or {"row_count": "count(*)"})
@@ -61,7 +62,7 @@ def compare_metrics(
     both = tagged(left, "source", "target").unionByName(tagged(right, "target", "source"))
     paired = both.groupBy(*keys).agg(
         *[F.max(f"{side}_{m}").alias(f"{side}_{m}") for m in metrics for side in ("source", "target")],
-        F.count_distinct("_side").alias("_sides"),
+        F.count(F.lit(1)).alias("_sides"),
     )
     columns: list[Column] = []
     verdicts: list[Column] = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.functions import truncate
@@ -21,26 +21,39 @@ def trip_kpis(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def kpi_vs_baseline(current: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Key figures per hour of day against those of an earlier period.
+# Parts of a pickup time that periods are compared by; each has few values.
+BUCKETS = {"hour_of_day": F.hour, "day_of_week": F.dayofweek, "month_of_year": F.month}
 
-    Both periods shrink to at most 24 rows before they meet.
+FIGURES = ("trip_count", "total_fare_revenue", "avg_trip_minutes", "passengers_carried")
+
+
+def kpi_vs_baseline(
+    current: DataFrame,
+    baseline: DataFrame,
+    bucket: str = "hour_of_day",
+    figures: Sequence[str] = FIGURES,
+) -> DataFrame:
+    """Key figures per part of the day, week or year against those of an earlier period.
+
+    Both periods shrink to at most 24 rows before they meet. A figure that one
+    period lacks counts as 0 in the difference; averages differ only where both exist.
     """
-    figures = ("trip_count", "total_fare_revenue")
+    if bucket not in BUCKETS:
+        raise ValueError(f"unknown bucket {bucket!r}")
 
-    def per_hour(df: DataFrame, name: str) -> DataFrame:
-        hourly = trip_kpis(df.withColumn("hour_of_day", F.hour("pickup_datetime")), ["hour_of_day"])
-        return hourly.select("hour_of_day", *[F.col(f).alias(f"{name}_{f}") for f in figures])
+    def per_bucket(df: DataFrame, name: str) -> DataFrame:
+        grouped = trip_kpis(df.withColumn(bucket, BUCKETS[bucket]("pickup_datetime")), [bucket])
+        return grouped.select(bucket, *[F.col(f).alias(f"{name}_{f}") for f in figures])
 
-    both = per_hour(current, "current").join(
-        per_hour(baseline, "baseline"), "hour_of_day", "full_outer"
+    both = per_bucket(current, "current").join(
+        per_bucket(baseline, "baseline"), bucket, "full_outer"
     )
-    deltas = [
-        (F.coalesce(f"current_{f}", F.lit(0)) - F.coalesce(f"baseline_{f}", F.lit(0))).alias(
-            f"delta_{f}"
-        )
-        for f in figures
-    ]
+
+    def side(name: str, figure: str) -> Column:
+        value = F.col(f"{name}_{figure}")
+        return value if figure.startswith("avg") else F.coalesce(value, F.lit(0))
+
+    deltas = [(side("current", f) - side("baseline", f)).alias(f"delta_{f}") for f in figures]
     change = (
         (F.col("current_trip_count") - F.col("baseline_trip_count"))
         / F.nullif(F.col("baseline_trip_count"), F.lit(0))

@@ -415,6 +415,31 @@ ORACLES["validation_day"] = f"""{_with(TRIPS)}
 SELECT count(*) AS source_row_count, count(*) AS target_row_count,
   CAST(0 AS BIGINT) AS delta_row_count, TRUE AS matches
 FROM lake WHERE CAST(pickup_datetime AS DATE) = DATE '1998-06-15'"""
+ORACLES["validation_bundle"] = f"""{_with(TRIPS)},
+s AS (SELECT *, month(pickup_datetime) AS m FROM lake WHERE year(pickup_datetime) = 1997),
+t AS (SELECT * FROM s WHERE cab_type <> 'fhv' OR m <> 6),
+changed AS (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS n FROM s WHERE cab_type = 'fhv' AND m = 6),
+span AS (SELECT CASE WHEN (SELECT min(pickup_datetime) FROM s) IS DISTINCT FROM (SELECT min(pickup_datetime) FROM t)
+           OR (SELECT max(pickup_datetime) FROM s) IS DISTINCT FROM (SELECT max(pickup_datetime) FROM t) THEN 1 ELSE 0 END AS n),
+zs AS (SELECT pulocationid, count(*) AS n FROM s GROUP BY 1 ORDER BY n DESC, pulocationid LIMIT 20),
+zt AS (SELECT pulocationid, count(*) AS n FROM t GROUP BY 1 ORDER BY n DESC, pulocationid LIMIT 20),
+xs AS (SELECT vendorid, pulocationid, total_amount, pickup_datetime, count(*) AS n FROM (
+  SELECT * FROM s ORDER BY total_amount DESC, vendorid, pulocationid, pickup_datetime LIMIT 10) GROUP BY 1, 2, 3, 4),
+xt AS (SELECT vendorid, pulocationid, total_amount, pickup_datetime, count(*) AS n FROM (
+  SELECT * FROM t ORDER BY total_amount DESC, vendorid, pulocationid, pickup_datetime LIMIT 10) GROUP BY 1, 2, 3, 4)
+SELECT 'count' AS comparison, 1::BIGINT AS groups, n::BIGINT AS mismatches FROM changed
+UNION ALL SELECT 'sum', 1, n FROM changed
+UNION ALL SELECT 'range', 1, n FROM span
+UNION ALL SELECT 'count_by_cab', (SELECT count(DISTINCT cab_type) FROM s), n FROM changed
+UNION ALL SELECT 'sum_by_cab', (SELECT count(DISTINCT cab_type) FROM s), n FROM changed
+UNION ALL SELECT 'count_by_month', (SELECT count(DISTINCT m) FROM s), n FROM changed
+UNION ALL SELECT 'day', 1, CASE WHEN count(*) FILTER (WHERE cab_type = 'fhv') > 0 THEN 1 ELSE 0 END
+  FROM s WHERE CAST(pickup_datetime AS DATE) = DATE '1997-06-15'
+UNION ALL SELECT 'top_zones', count(*), count(*) FILTER (WHERE zs.n IS DISTINCT FROM zt.n)
+  FROM zs FULL OUTER JOIN zt ON zs.pulocationid = zt.pulocationid
+UNION ALL SELECT 'top_trips', count(*), count(*) FILTER (WHERE xs.n IS DISTINCT FROM xt.n)
+  FROM xs FULL OUTER JOIN xt ON xs.vendorid = xt.vendorid AND xs.pulocationid = xt.pulocationid
+    AND xs.total_amount = xt.total_amount AND xs.pickup_datetime = xt.pickup_datetime"""
 ORACLES["validation_drift"] = f"""{_with(TRIPS)},
 s AS (SELECT cab_type, passenger_count, count(*) AS n FROM lake GROUP BY ALL),
 t AS (SELECT cab_type, passenger_count, count(*) AS n FROM lake
@@ -622,6 +647,24 @@ SELECT hour_of_day, c.n AS current_trip_count,
   round(coalesce(c.fare, 0) - coalesce(b.fare, 0), 2) AS delta_total_fare_revenue,
   round(CAST(c.n - b.n AS DOUBLE) / nullif(b.n, 0) * 100, 2) AS trip_count_change_pct
 FROM {_hourly(1998)} c FULL OUTER JOIN {_hourly(1997)} b USING (hour_of_day)"""
+def _weekly(year: int) -> str:
+    return f"""(SELECT CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS day_of_week, count(*) AS n,
+      sum(fare_amount) AS fare, avg(trip_duration_minutes) AS minutes,
+      CAST(sum(passenger_count) AS BIGINT) AS carried
+      FROM fact WHERE year(pickup_datetime) = {year} GROUP BY 1)"""
+
+
+ORACLES["kpi_figures_by_weekday"] = f"""{_FACT}
+SELECT day_of_week, c.n AS current_trip_count, b.n AS baseline_trip_count,
+  coalesce(c.n, 0) - coalesce(b.n, 0) AS delta_trip_count,
+  round(c.fare, 2) AS current_total_fare_revenue, round(b.fare, 2) AS baseline_total_fare_revenue,
+  round(coalesce(c.fare, 0) - coalesce(b.fare, 0), 2) AS delta_total_fare_revenue,
+  round(c.minutes, 2) AS current_avg_trip_minutes, round(b.minutes, 2) AS baseline_avg_trip_minutes,
+  round(c.minutes - b.minutes, 2) AS delta_avg_trip_minutes,
+  c.carried AS current_passengers_carried, b.carried AS baseline_passengers_carried,
+  coalesce(c.carried, 0) - coalesce(b.carried, 0) AS delta_passengers_carried,
+  round(CAST(c.n - b.n AS DOUBLE) / nullif(b.n, 0) * 100, 2) AS trip_count_change_pct
+FROM {_weekly(1998)} c FULL OUTER JOIN {_weekly(1997)} b USING (day_of_week)"""
 ORACLES["cumulative_trips_by_day"] = f"""{_FACT},
 daily AS (SELECT cab_type, date_trunc('day', pickup_datetime)::TIMESTAMP AS bucket,
             count(*) AS trips FROM fact GROUP BY 1, 2)

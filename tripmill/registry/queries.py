@@ -63,7 +63,7 @@ from tripmill.plans.trip_build import (
     refresh_fact,
     refresh_history,
 )
-from tripmill.plans.validation import TOP_TRIP_COLUMNS
+from tripmill.plans.validation import TOP_TRIP_COLUMNS, report, validate
 from tripmill.registry import fixtures as fx
 from tripmill.schemas import (
     CAB_TYPES,
@@ -509,6 +509,14 @@ def validation_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def validation_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All comparisons of a year, of which the target lacks the fhv trips of June."""
+    lake = landed_lake(spark, sf_dir)
+    target = lake.where("cab_type <> 'fhv' OR month(pickup_datetime) <> 6")
+    return report(validate(lake, target, 1997, date(1997, 6, 15)))
+
+
 @query
 def validation_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target lacks all rows with seven passengers and all green trips."""
@@ -778,12 +786,31 @@ def trip_kpis_by_cab(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_against_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = fact(spark, sf_dir)
     compared = kpi_vs_baseline(
-        slice_year(trips, "pickup_datetime", 1998), slice_year(trips, "pickup_datetime", 1997)
+        slice_year(trips, "pickup_datetime", 1998),
+        slice_year(trips, "pickup_datetime", 1997),
+        figures=("trip_count", "total_fare_revenue"),
     )
     sums = [f"{side}_total_fare_revenue" for side in ("current", "baseline", "delta")]
     return cents(compared, [*sums, "trip_count_change_pct"])
 
 
+@query
+def kpi_figures_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four figures of a year against those of the year before."""
+    trips = fact(spark, sf_dir)
+    compared = kpi_vs_baseline(
+        slice_year(trips, "pickup_datetime", 1998),
+        slice_year(trips, "pickup_datetime", 1997),
+        bucket="day_of_week",
+    )
+    rounded = [
+        f"{side}_{figure}"
+        for side in ("current", "baseline", "delta")
+        for figure in ("total_fare_revenue", "avg_trip_minutes")
+    ]
+    return cents(compared, [*rounded, "trip_count_change_pct"])
+
+
 @query
 def cumulative_trips_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cumulative_trips(fact(spark, sf_dir), "day")
@@ -882,7 +909,7 @@ def _split_stream(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
     paths = [scratch_path(spark, label) for label in ("stream-in-time", "stream-late")]
     staged = stage_trips(_event_stream(spark, sf_dir))
     stream_split(staged, *paths, scratch_path(spark, "stream-split-checkpoint"), "9500 DAYS")
-    return read_table(spark, paths[late], staged.schema)
+    return read_table(spark, paths[late], staged.schema).drop("micro_batch")
 
 
 @query

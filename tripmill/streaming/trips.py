@@ -234,8 +234,9 @@ def fold_deltas(
     """
     if not path_exists(spark, deltas):
         return 0
+    stored = read_table(spark, deltas, schema).select(*schema.names)
     rows = upsert(
-        spark, table, read_table(spark, deltas, schema), key, partition_by, resolve="latest", order=order
+        spark, table, stored, key, partition_by, resolve="latest", order=order
     )
     delete_folder(spark, deltas)
     return rows
