@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import in_slices, sized_broadcast, stored
@@ -190,11 +190,13 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
                     continue
                 tokens = np.concatenate([t for t, _ in lists])
                 keys = np.repeat(np.array([k for _, k in lists], "i8"), [len(t) for t, _ in lists])
-                order = np.argsort(tokens)
-                tokens, keys = tokens[order], keys[order]
                 if kind:
-                    rows.append((1, 0, tokens.tobytes(), keys.tobytes()))
+                    # each token with its place among the key's frequent ones
+                    places = np.concatenate([np.arange(1, len(t) + 1) for t, _ in lists])
+                    rows.append((1, 0, np.stack([tokens.view("i8"), places], 1).tobytes(), keys.tobytes()))
                     continue
+                order = np.argsort(tokens)
+                tokens, keys = tokens[order], keys[order]
                 at = np.searchsorted(tokens, np.arange(1, 1 << bits, dtype="u8") << np.uint64(64 - bits)) if bits else []
                 for r, (t, k) in enumerate(zip(np.split(tokens, at), np.split(keys, at), strict=True)):
                     if len(t):
@@ -277,8 +279,20 @@ def _fits(a: str, b: str):
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes whose whole sets are similar enough."""
+def _beyond_pivot(a: str, b: str):
+    """Whether two members that were compared with one pivot may link, by what each shares with it.
+
+    What both share lies in the pivot, at most the lesser of their overlaps with it, or
+    outside, at most the lesser of what else they have that others have too.
+    """
+    need = F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * 3 / 7)
+    outside = [F.greatest(F.col(f"{x}.most") - F.col(f"{x}.shared"), F.lit(0)) for x in (a, b)]
+    at_most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared")) + F.least(*outside)
+    return ~F.col(f"{a}.pivot").eqNullSafe(F.col(f"{b}.pivot")) | F.col(f"{a}.pivot").isNull() | (need <= at_most)
+
+
+def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes with the sizes of intersection and union of their whole sets."""
     ends = stored(
         pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select("key", "rep", "n"),
         "jaccard-ends",
@@ -305,11 +319,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
         pairs.join(left, "a")
         .join(right, "b")
         .select("a", "b", both.alias("both"), (F.size("ta") + F.size("tb") - both).alias("union"))
-        .where(100 * F.col("both") >= 75 * F.col("union"))
-        .select("a", "b")
     )
 
 
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.where(100 * F.col("both") >= 75 * F.col("union")).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, class_key.
 
@@ -334,7 +350,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .groupBy("keys").agg(F.sum("m").alias("m"))
     )
     lists = stored(lists.withColumn("list", F.xxhash64("keys")), "jaccard-lists")
-    often = stored(_unpacked(postings.where("kind = 1"), "key long, token long", 1).distinct(), "jaccard-frequent")
+    often = stored(_unpacked(postings.where("kind = 1"), "key long, token long, place long", 2).distinct(), "jaccard-frequent")
     sizes = _unpacked(postings.where("kind = 2"), "key long, n long, frequent long", 2).distinct()
     # tokens that others have as well, at most: those seen in the prefix and all behind it
     seen = lists.select(F.explode("keys").alias("key"), "m").groupBy("key").agg(F.sum("m").alias("live"))
@@ -342,7 +358,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = F.floor((3 * n + 3) / 4)
     info = stored(
         sizes.join(seen, "key", "left")
-        .select("key", "n", (least - 2 + F.coalesce("live", F.lit(0)) + F.col("frequent")).alias("most"))
+        .select("key", "n", (least - 2 + F.coalesce("live", F.lit(0)) + F.col("frequent")).alias("most"), F.coalesce("live", F.lit(0)).alias("live"))
         .where(F.col("most") >= least),
         "jaccard-info",
     )
@@ -364,40 +380,74 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         )
 
     stars = stored(star(members, "list").unionByName(star(often, "token")).distinct(), "jaccard-stars")
-    links = stored(_verified(stars, docs, classes), "jaccard-star-links")
-    labels = stored(components(links), "jaccard-star-labels")
+    compared = stored(_compared(stars, docs, classes), "jaccard-stars-compared")
+    links = _linked(compared)
+    labels = components(links)
+    labels = stored(labels.join(labels.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"), "jaccard-star-labels")
+
+    # each member's most common pivot, and what it shares with that one
+    sides = compared.select(F.col("b").alias("key"), F.col("a").alias("pivot"), F.col("both").alias("shared"))
+    own = compared.select("a").distinct().join(info, F.col("a") == F.col("key")).select("key", F.col("a").alias("pivot"), F.col("n").alias("shared"))
+    popular = sides.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"))
+    pivots = stored(
+        sides.unionByName(own).join(popular, "pivot").groupBy("key")
+        .agg(F.max_by(F.struct("pivot", "shared"), F.struct("members", "pivot")).alias("p"))
+        .select("key", "p.pivot", F.col("p.shared").cast("long").alias("shared")),
+        "jaccard-pivots",
+    )
 
     def unsettled(frame: DataFrame, group: str) -> DataFrame:
         """Members of the groups whose members are in different components."""
         labelled = frame.join(labels, frame["key"] == labels["node"], "left").select(
-            frame["*"], F.coalesce("component", "key").alias("label")
+            frame["*"], F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("component", "key").alias("id")).alias("label")
         )
         mixed = labelled.groupBy(group).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(group)
-        return labelled.join(mixed, group)
-
-    def apart(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        a = left.select(*on, F.struct("key", "n", "most", "label").alias("a"))
-        b = right.select(*on, F.struct("key", "n", "most", "label").alias("b"))
+        return labelled.join(mixed, group).join(pivots, "key", "left")
+
+    def apart(frame: DataFrame, on: list[str]) -> DataFrame:
+        """Pairs of a list's members that are in different components and may link.
+
+        One of them is outside the list's largest component, so its members are not
+        paired among themselves.
+        """
+        largest = frame.groupBy(*on).agg(F.max("label").alias("largest"), F.min("label").alias("other")).where("largest <> other")
+        member = F.struct("key", "n", "most", "label", "pivot", "shared")
+        a = frame.join(largest, on).where("label <> largest").select(*on, member.alias("a"))
+        b = frame.select(*on, member.alias("b"))
         return (
-            a.join(b, on).where((F.col("a.key") < F.col("b.key")) & (F.col("a.label") != F.col("b.label")) & _fits("a", "b"))
-            .select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))
+            a.join(b, on).where((F.col("a.label.id") != F.col("b.label.id")) & _fits("a", "b") & _beyond_pivot("a", "b"))
+            .select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b"))
         )
 
     rest = stored(unsettled(members, "list"), "jaccard-rest")
-    rest_often = unsettled(often, "token").withColumn("mine", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    rest_often = stored(rest_often.withColumn("most_mine", F.max("mine").over(Window.partitionBy("token"))), "jaccard-rest-frequent")
+    rest_often = stored(unsettled(often, "token"), "jaccard-rest-frequent")
+    # The smallest partner in a member's lists bounds how much it must share. What it may then
+    # miss of its tokens that others have bounds how early it shares two of them.
+    smallest = rest_often.groupBy("token").agg(F.min("n").alias("least_n"))
+    room = (
+        rest_often.join(smallest, "token")
+        .groupBy("key")
+        .agg(F.min("least_n").alias("least_n"), F.first("n").alias("n"), F.first("most").alias("most"), F.first("live").alias("live"))
+        .select("key", (F.col("most") - F.ceil((n + F.greatest(F.col("least_n"), least)) * 3 / 7) + 2 - F.col("live")).alias("early"))
+        .where("early > 0")
+    )
+    rest_often = rest_often.join(room, "key").where("place <= early")
+    mine = rest_often.groupBy("key").agg(F.count(F.lit(1)).alias("mine"))
+    widest = rest_often.join(mine, "key").groupBy("token").agg(F.max("mine").alias("most_mine"))
+    rest_often = stored(rest_often.join(widest, "token"), "jaccard-rest-early")
     single = rest_often.where(F.col("most_mine") > MAX_COMBINED)
     tokens = F.array_sort(F.collect_set("token"))
     combined = (
         rest_often.where(F.col("most_mine") <= MAX_COMBINED)
-        .groupBy("key", "n", "most", "label").agg(tokens.alias("t"))
+        .groupBy("key", "n", "most", "label", "pivot", "shared").agg(tokens.alias("t"))
         .withColumn("t1", F.explode("t"))
         .withColumn("t2", F.explode("t")).where("t1 < t2")
-        .select("key", "n", "most", "label", "t1", "t2")
+        .select("key", "n", "most", "label", "pivot", "shared", "t1", "t2")
     )
-    pairs = apart(rest, rest, ["list"]).unionByName(apart(single, single, ["token"])).unionByName(apart(combined, combined, ["t1", "t2"]))
-    pairs = stored(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = _verified(pairs, docs, classes)
+    pairs = apart(rest, ["list"]).unionByName(apart(single, ["token"])).unionByName(apart(combined, ["t1", "t2"]))
+    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = stored(pairs.distinct().join(known, ["a", "b"], "left_anti"), "jaccard-pairs")
+    more = _linked(_compared(pairs, docs, classes))
     final = stored(components(stored(links.unionByName(more), "jaccard-links")), "jaccard-labels")
 
     labelled = classes.join(final, classes["key"] == final["node"], "left").select(
