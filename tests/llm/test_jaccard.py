@@ -66,6 +66,26 @@ def test_near_copies_equal_brute_force(docs, monkeypatch, least_frequent, combin
     assert result(jaccard_components(docs(*texts))) == brute(list(enumerate(texts)))
 
 
+def contained(seed: int, pairs: int) -> list[str]:
+    """Texts that are parts of longer ones, of similarities about 3/4: unequal sizes, few shared prefix tokens."""
+    rng = random.Random(seed)
+    out = []
+    for k in range(pairs):
+        small = rng.randint(40, 500)
+        large = round(small / rng.uniform(0.75, 0.82))
+        words = [f"p{k}x{i}" for i in range(large + 4)]
+        out += [" ".join(words[: small + 4]), " ".join(words)]
+    return out
+
+
+def test_contained_texts_equal_brute_force(docs):
+    texts = contained(5, 150)
+    expected = {}
+    for at in range(0, len(texts), 2):
+        expected |= brute([(at, texts[at]), (at + 1, texts[at + 1])])
+    assert result(jaccard_components(docs(*texts))) == expected
+
+
 def test_awkward_rows(docs):
     assert jaccard_components(docs()).count() == 0
     rows = docs((5, "a b c d e f"), (3, "A b c d e f"), (3, "A b c d e f"), (1, None), (2, " "), (None, "a b c d e f"), (9, "a"), (8, "A"))

@@ -14,8 +14,9 @@ A document's set holds the hashes of its distinct five-word shingles. Equal sets
   that others share. Lists whose members are then in one component need no more comparisons; only
   members of different components are paired afterwards. So a group of near copies costs a star and
   not its square.
-* Bounds before verification. Tokens that no other class has cannot be shared; what is left of a
-  set bounds the sizes of its partners from both sides.
+* Bounds before verification. Of two sets, the one whose prefix ends first shares only tokens that
+  are in both prefixes, or behind its own. So its prefix tokens that no other class has in its prefix
+  cannot be shared with the other one; the other's own may be, behind the first one's prefix.
 * Verification compares whole sets.
 """
 
@@ -44,6 +45,10 @@ MAX_COMBINED = 48
 #: Rare postings that one task groups.
 RANGE_POSTINGS = 400_000
 
+#: Where a prefix ends that has frequent tokens; rare ones are placed by their hash.
+LAST = (1 << 63) - 1
+_SIGN = np.uint64(1 << 63)
+
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], "u8")
 
 
@@ -180,7 +185,7 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
         seen: set[int] = set()
         rare: list[tuple[np.ndarray, int]] = []
         often: list[tuple[np.ndarray, int]] = []
-        sizes: list[tuple[int, int, int]] = []
+        sizes: list[tuple[int, int, int, int]] = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -230,7 +235,9 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
                 rare.append((alone, key))
                 if len(last):
                     often.append((last, key))
-                sizes.append((key, n, len(last)))
+                # a prefix with frequent tokens holds all rare ones of its set
+                end = LAST if len(last) else int((alone[-1] ^ _SIGN).astype("i8"))
+                sizes.append((key, n, len(last), end))
                 held += length
             if held >= 2_000_000:
                 yield from flush()
@@ -271,10 +278,25 @@ def _unpacked(blocks: DataFrame, ddl: str, values: int) -> DataFrame:
     return blocks.select("tokens", "keys").mapInArrow(run, ddl)
 
 
+def _within(a: str, b: str):
+    """Whether all that a shares with b is among what ``most`` counts of a.
+
+    A rare prefix token that b has behind its own prefix need not be.
+    """
+    return F.col(f"{a}.end") <= F.col(f"{b}.end")
+
+
 def _fits(a: str, b: str):
-    """Whether the sizes and what is shared at most allow the pair to link."""
+    """Whether the sizes and what is shared at most allow the pair to link.
+
+    What both share lies in both prefixes, or behind that prefix which ends first.
+    """
     need = F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * 3 / 7)
-    return (need <= F.least(F.col(f"{a}.most"), F.col(f"{b}.most"))) & (
+    least = {x: F.floor((3 * F.col(f"{x}.n") + 3) / 4) for x in (a, b)}
+    hits = F.least(*[F.col(f"{x}.most") - least[x] + 2 for x in (a, b)])
+    behind = F.greatest(F.when(_within(a, b), least[a]), F.when(_within(b, a), least[b])) - 2
+    sides = [F.when(_within(x, y), F.col(f"{x}.most")).otherwise(F.col(f"{x}.n")) for x, y in ((a, b), (b, a))]
+    return (need <= F.least(*sides, hits + behind)) & (
         4 * F.least(F.col(f"{a}.n"), F.col(f"{b}.n")) >= 3 * F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n"))
     )
 
@@ -283,11 +305,16 @@ def _beyond_pivot(a: str, b: str):
     """Whether two members that were compared with one pivot may link, by what each shares with it.
 
     What both share lies in the pivot, at most the lesser of their overlaps with it, or
-    outside, at most the lesser of what else they have that others have too.
+    outside, at most the lesser of what else they have. Of that, tokens that others do not have are
+    left out only where ``most`` covers both what is shared with the pivot and with the other.
     """
     need = F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * 3 / 7)
-    outside = [F.greatest(F.col(f"{x}.most") - F.col(f"{x}.shared"), F.lit(0)) for x in (a, b)]
-    at_most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared")) + F.least(*outside)
+    outside = [
+        F.when(_within(x, y) & (F.col(f"{x}.end") <= F.col(f"{x}.pivot_end")), F.col(f"{x}.most")).otherwise(F.col(f"{x}.n"))
+        - F.col(f"{x}.shared")
+        for x, y in ((a, b), (b, a))
+    ]
+    at_most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared")) + F.greatest(F.least(*outside), F.lit(0))
     return ~F.col(f"{a}.pivot").eqNullSafe(F.col(f"{b}.pivot")) | F.col(f"{a}.pivot").isNull() | (need <= at_most)
 
 
@@ -351,14 +378,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     lists = stored(lists.withColumn("list", F.xxhash64("keys")), "jaccard-lists")
     often = stored(_unpacked(postings.where("kind = 1"), "key long, token long, place long", 2).distinct(), "jaccard-frequent")
-    sizes = _unpacked(postings.where("kind = 2"), "key long, n long, frequent long", 2).distinct()
-    # tokens that others have as well, at most: those seen in the prefix and all behind it
+    sizes = _unpacked(postings.where("kind = 2"), "key long, n long, frequent long, end long", 3).distinct()
+    # tokens shared with classes whose prefixes end no earlier, at most: those seen in the prefix and all behind it
     seen = lists.select(F.explode("keys").alias("key"), "m").groupBy("key").agg(F.sum("m").alias("live"))
     n = F.col("n")
     least = F.floor((3 * n + 3) / 4)
     info = stored(
         sizes.join(seen, "key", "left")
-        .select("key", "n", (least - 2 + F.coalesce("live", F.lit(0)) + F.col("frequent")).alias("most"), F.coalesce("live", F.lit(0)).alias("live"))
+        .select("key", "n", (least - 2 + F.coalesce("live", F.lit(0)) + F.col("frequent")).alias("most"), F.coalesce("live", F.lit(0)).alias("live"), "end")
         .where(F.col("most") >= least),
         "jaccard-info",
     )
@@ -367,12 +394,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     often = stored(often.join(info, "key"), "jaccard-frequent-members")
 
     # stars: the member with most shared tokens against the others
-    pivot = F.max_by(F.struct("key", "n", "most"), F.struct((F.col("most") / F.col("n")).alias("r"), "n", "key"))
+    pivot = F.max_by(F.struct("key", "n", "most", "end"), F.struct((F.col("most") / F.col("n")).alias("r"), "n", "key"))
 
     def star(frame: DataFrame, group: str) -> DataFrame:
         return (
             frame.groupBy(group).agg(pivot.alias("a")).join(
-                frame.select(group, F.struct("key", "n", "most").alias("b")), group
+                frame.select(group, F.struct("key", "n", "most", "end").alias("b")), group
             )
             .where((F.col("a.key") != F.col("b.key")) & _fits("a", "b"))
             .select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))
@@ -392,7 +419,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     pivots = stored(
         sides.unionByName(own).join(popular, "pivot").groupBy("key")
         .agg(F.max_by(F.struct("pivot", "shared"), F.struct("members", "pivot")).alias("p"))
-        .select("key", "p.pivot", F.col("p.shared").cast("long").alias("shared")),
+        .select("key", "p.pivot", F.col("p.shared").cast("long").alias("shared"))
+        .join(info.select(F.col("key").alias("pivot"), F.col("end").alias("pivot_end")), "pivot"),
         "jaccard-pivots",
     )
 
@@ -411,7 +439,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         paired among themselves.
         """
         largest = frame.groupBy(*on).agg(F.max("label").alias("largest"), F.min("label").alias("other")).where("largest <> other")
-        member = F.struct("key", "n", "most", "label", "pivot", "shared")
+        member = F.struct("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared")
         a = frame.join(largest, on).where("label <> largest").select(*on, member.alias("a"))
         b = frame.select(*on, member.alias("b"))
         return (
@@ -421,6 +449,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     rest = stored(unsettled(members, "list"), "jaccard-rest")
     rest_often = stored(unsettled(often, "token"), "jaccard-rest-frequent")
+    # Pairs without a common rare token have frequent ones in both prefixes, so most bounds both.
     # The smallest partner in a member's lists bounds how much it must share. What it may then
     # miss of its tokens that others have bounds how early it shares two of them.
     smallest = rest_often.groupBy("token").agg(F.min("n").alias("least_n"))
@@ -439,10 +468,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     tokens = F.array_sort(F.collect_set("token"))
     combined = (
         rest_often.where(F.col("most_mine") <= MAX_COMBINED)
-        .groupBy("key", "n", "most", "label", "pivot", "shared").agg(tokens.alias("t"))
+        .groupBy("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared").agg(tokens.alias("t"))
         .withColumn("t1", F.explode("t"))
         .withColumn("t2", F.explode("t")).where("t1 < t2")
-        .select("key", "n", "most", "label", "pivot", "shared", "t1", "t2")
+        .select("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "t1", "t2")
     )
     pairs = apart(rest, ["list"]).unionByName(apart(single, ["token"])).unionByName(apart(combined, ["t1", "t2"]))
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
