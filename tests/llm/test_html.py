@@ -32,6 +32,22 @@ def test_odd_markup():
     assert main_text(parse("<div>" * 3000 + "<p>deep</p>"), "") == "deep"
 
 
+def test_marks_do_not_take_the_article():
+    text = "<p>all the words of the article</p>"
+    for around in (
+        '<body style="overflow:hidden">{}', '<body data-state="hidden"><div>{}</div>', '<div style="overflow-x:hidden">{}</div>',
+        "<div class=has-sidebar>{}</div>", '<div class="page no-sidebar">{}</div>', "<div class=content-with-ads>{}</div>",
+        "<div class=overflow-hidden>{}</div>", "<div class=no-banner>{}</div>", "<div class=widget>{}</div>",
+        "<div class=form-page><article>{}</article></div>", '<div title="a hidden class=nav b">{}</div>',
+    ):
+        page = parse(around.format(text) + "<div class=site-footer>foot</div>")
+        assert main_text(page, best_path(page)) == "all the words of the article", around
+    for part in ("<div hidden>x y</div>", "<div class=hidden>x y</div>", "<div class='main-nav'>x y</div>", "<div aria-hidden=true>x y</div>",
+                 "<section id=comments>" + "<p>one more long comment</p>" * 9 + "</section>", "<span class=ad-7>x y</span>"):
+        page = parse(f"<div class=page>{text}{part}</div>")
+        assert main_text(page, best_path(page)) == "all the words of the article", part
+
+
 def test_host_path_wins(spark):
     good = "<body><div class=main-1><p>{0}</p></div><div class=extra><p>{1}</p></div>"
     long, short = "many words stand in this paragraph of text", "few words"

@@ -9,7 +9,8 @@ holds a third of all pages is a few rows.
 
 A block is a run of text between block-level tags. Blocks inside menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments are left out wherever they stand, within
-the winning container too.
+the winning container too. A class, id or role only marks such a part: it does not take out an
+element that holds the article, or most of the words of a page without one.
 """
 
 from __future__ import annotations
@@ -55,6 +56,10 @@ LEFT_OUT_NAMES = frozenset(
     "recommendations share sharing social toolbar pagination pager form search complementary contentinfo "
     "dialog skip hidden".split()
 )
+#: Marks that may hold most of a page's words and are left out all the same.
+READERS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
+#: Words that make a class tell of such a part rather than be one.
+ABOUT = frozenset("has have no not non with without is overflow show shows hide hides enable disable".split())
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|"
     # quotes count only behind an equals sign; what was taken is never given back
@@ -63,7 +68,7 @@ _TAG = re.compile(
     r"<[a-zA-Z/!?][^>]*\Z",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|aria-hidden|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>][^\s>]*)))?")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 
@@ -73,6 +78,9 @@ class Node:
     tag: str
     path: str
     out: bool
+    #: how much of its class, id or role is a mark: 0 nothing, 1 a part, 2 a whole word, 3 reader comments
+    mark: int = 0
+    parent: int = -1
     #: score: words of its own blocks twice, and once those of the containers it holds
     words: int = 0
 
@@ -83,22 +91,37 @@ class Page:
 
     blocks: list[tuple[str, tuple[int, ...]]] = field(default_factory=list)
     nodes: list[Node] = field(default_factory=list)
+    #: whether each block has words outside links
+    plain: list[bool] = field(default_factory=list)
 
 
 def _names(attributes: str) -> tuple[list[str], bool]:
     """Words of class, id and role; whether the element is hidden."""
     words, hidden = [], False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        name = name.lower()
+        if name == "hidden" or (name == "aria-hidden" and (a or b or c).lower() == "true"):
             hidden = True
         elif name in ("class", "id", "role"):
-            words += value.split()
+            words += (a or b or c).lower().split()
     return words, hidden
 
 
-def _marked(words: list[str]) -> bool:
-    return any(part in LEFT_OUT_NAMES for word in words for part in _NAME.findall(word))
+def _marked(words: list[str]) -> int:
+    """A whole word, or its first or last part, marks a part to leave out; see ``Node.mark``."""
+    mark = 0
+    for word in words:
+        parts = _NAME.findall(word)
+        if not parts or not ABOUT.isdisjoint(parts):
+            continue
+        ends = {parts[0], parts[-1]}
+        if not READERS.isdisjoint(ends):
+            mark = 3
+        elif len(parts) == 1 and parts[0] in LEFT_OUT_NAMES:
+            mark = max(mark, 2)
+        elif not (LEFT_OUT_NAMES - {"hidden"}).isdisjoint(ends):
+            mark = max(mark, 1)
+    return mark
 
 
 def _step(tag: str, words: list[str]) -> str:
@@ -113,20 +136,25 @@ def parse(text: str | None) -> Page:
     stack: list[int] = []
     run: list[str] = []
     text = text or ""
+    plain = False
     root = Node("", "", False)
     page.nodes.append(root)
     stack.append(0)
 
     def flush() -> None:
+        nonlocal plain
         if run:
             joined = _SPACE.sub(" ", html.unescape("".join(run))).strip()
             run.clear()
             if joined and not page.nodes[stack[-1]].out:
                 page.blocks.append((joined, tuple(stack)))
-                n = len(joined.split())
-                # a paragraph counts for what holds it and, by half, for the next container
-                for weight, at in zip((2, 1), [k for k in reversed(stack) if page.nodes[k].tag not in _LEAVES][:2], strict=False):
-                    page.nodes[at].words += weight * n
+                page.plain.append(plain)
+        plain = False
+
+    def take(piece: str) -> None:
+        nonlocal plain
+        run.append(piece)
+        plain = plain or bool(piece.strip() and not any(page.nodes[k].tag == "a" for k in stack))
 
     def close(upto: int) -> None:
         flush()
@@ -135,20 +163,21 @@ def parse(text: str | None) -> Page:
     def open_(tag: str, attributes: str) -> None:
         parent = page.nodes[stack[-1]]
         words, hidden = _names(attributes) if attributes else ([], False)
-        out = parent.out or hidden or tag in LEFT_OUT or (tag not in ("html", "body", "article", "main") and _marked(words))
-        if out != parent.out:
+        out = parent.out or hidden or tag in LEFT_OUT
+        mark = 0 if tag in ("html", "body", "article", "main") else _marked(words)
+        if out != parent.out or mark:
             flush()
-        page.nodes.append(Node(tag, f"{parent.path}/{_step(tag, words)}", out))
+        page.nodes.append(Node(tag, f"{parent.path}/{_step(tag, words)}", out, mark, stack[-1]))
         stack.append(len(page.nodes) - 1)
 
     at = 0
     while at < len(text):
         m = _TAG.search(text, at)
         if m is None:
-            run.append(text[at:])
+            take(text[at:])
             break
         if m.start() > at:
-            run.append(text[at : m.start()])
+            take(text[at : m.start()])
         at = m.end()
         end, tag = m[1], m[2]
         if tag:
@@ -178,16 +207,48 @@ def parse(text: str | None) -> Page:
                 flush()
             k = _find(page, stack, {end}, set() if end in BLOCK else BLOCK)
             if k:
-                if page.nodes[stack[k]].out != page.nodes[stack[k - 1]].out:
-                    flush()
-                if end in BLOCK or page.nodes[stack[k]].out:
+                if end in BLOCK or page.nodes[stack[k]].out or any(page.nodes[j].mark for j in stack[k:]):
                     close(k)
                 else:
                     del stack[k:]
     flush()
+    _leave_out(page)
     return page
 
 
+def _below(page: Page) -> list[int]:
+    """Words below each node."""
+    words = [0] * len(page.nodes)
+    for text, above in page.blocks:
+        words[above[-1]] += len(text.split())
+    for k in range(len(words) - 1, 0, -1):
+        words[page.nodes[k].parent] += words[k]
+    return words
+
+
+def _leave_out(page: Page) -> None:
+    """Take out what marked elements hold, but for those that hold the text; score the containers."""
+    nodes = page.nodes
+    if any(n.mark for n in nodes):
+        words = _below(page)
+        article = [n.tag in ("article", "main") and not n.out and words[k] > 0 for k, n in enumerate(nodes)]
+        for k in range(len(nodes) - 1, 0, -1):
+            article[nodes[k].parent] |= article[k]
+        for k, n in enumerate(nodes[1:], 1):
+            if n.mark and not article[k]:
+                most = {1: 2 * words[k] > words[0], 2: 5 * words[k] >= 4 * words[0], 3: False}[n.mark]
+                n.out |= article[0] or not most
+            n.out |= nodes[n.parent].out
+        kept = [not nodes[above[-1]].out for _, above in page.blocks]
+        page.plain = [p for p, keep in zip(page.plain, kept, strict=True) if keep]
+        page.blocks = [b for b, keep in zip(page.blocks, kept, strict=True) if keep]
+    for text, above in page.blocks:
+        n = len(text.split())
+        # a paragraph counts for what holds it and, by half, for the next container
+        for weight, at in zip((2, 1), [k for k in reversed(above) if nodes[k].tag not in _LEAVES][:2], strict=False):
+            nodes[at].words += weight * n
+
+
 #: Blocks that are leaves of a container rather than containers.
 _LEAVES = frozenset(
     "p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th a b i em strong span u small sub sup code q cite "
