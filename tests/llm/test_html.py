@@ -48,6 +48,19 @@ def test_marks_do_not_take_the_article():
         assert main_text(page, best_path(page)) == "all the words of the article", part
 
 
+def test_article_over_siblings_of_different_class(spark):
+    lead, body, end = (" ".join(f"{w}{k}" for k in range(n)) for w, n in (("lead", 40), ("body", 60), ("end", 5)))
+    text = f"\n\n".join((lead, body, end))
+    html_of = (
+        f"<body><div class=menu-top>x</div><div class=page><div class=post><div class=lead><p>{lead}</p></div>"
+        f"<div class=body><p>{body}</p></div><div class=conclusion>{end}</div></div><ul><li><a href=y>other page</a></ul></div></body>"
+    )
+    page = parse(html_of)
+    assert best_path(page) == "/body/div.page/div.post" and main_text(page, best_path(page)) == text
+    rows = spark.createDataFrame([(k, "http://a.example/", html_of) for k in range(2)], "page_id long, url string, html string")
+    assert [r.text for r in extract(rows).collect()] == [text] * 2
+
+
 def test_host_path_wins(spark):
     good = "<body><div class=main-1><p>{0}</p></div><div class=extra><p>{1}</p></div>"
     long, short = "many words stand in this paragraph of text", "few words"

@@ -269,7 +269,8 @@ def _find(page: Page, stack: list[int], tags: set[str], bounds) -> int:
 
 def best_path(page: Page) -> str:
     """Path of the page's best container; '' without any text."""
-    best = max(page.nodes, key=lambda n: n.words)
+    at = max(range(len(page.nodes)), key=lambda k: page.nodes[k].words)
+    best = page.nodes[at]
     if not best.words:
         return ""
     # the whole article, if the text's container is a part of one
@@ -278,7 +279,18 @@ def best_path(page: Page) -> str:
         for k, step in enumerate(steps):
             if step.split(".")[0] == tag:
                 return "/".join(steps[: k + 1])
-    return best.path
+    # an article may be split over siblings: up to what holds all real text around, below the body
+    texts = [0] * len(page.nodes)
+    for plain, (_, above) in zip(page.plain, page.blocks, strict=True):
+        texts[above[-1]] += plain
+    for k in range(len(texts) - 1, 0, -1):
+        texts[page.nodes[k].parent] += texts[k]
+    up = page.nodes[at].parent
+    while up > 0 and page.nodes[up].tag not in ("html", "body"):
+        if texts[up] > texts[at]:
+            at = up
+        up = page.nodes[up].parent
+    return page.nodes[at].path
 
 
 def main_text(page: Page, path: str) -> str:
