@@ -126,3 +126,20 @@ def test_rounds_serve_every_token_once(totals, targets):
             assert lengths.sum() == totals[name]
             places += [p + k for p, n in zip(at.tolist(), lengths.tolist(), strict=True) for k in range(n)]
     assert sorted(places) == list(range(sum(totals.values())))
+
+
+def test_targets_hold_with_more_sources_than_queues(spark):
+    from tripmill.llm.common import ship
+
+    ship(spark)
+    rows = [(k, "some words of text " * 40, s) for k, s in enumerate(["big"] * 60 + ["wanted"] * 60 + [None] * 60 + [f"t{i}" for i in range(30)])]
+    many = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = pack(many, vocabulary(), end_id=1, targets={"wanted": 3.0, None: 1.0}, window=512, max_queues=8).collect()
+    early = [r for r in got if r.sequence_id < 8]
+    total = sum(r.length for r in early)
+    held = {q: sum(r.length for r in early if r.queue == q) / total for q in ("swanted", "n")}
+    assert abs(held["swanted"] - 0.75) < 0.05 and abs(held["n"] - 0.25) < 0.05
+    assert "sbig" in {r.queue for r in got} and len({r.queue for r in got}) <= 8
+    assert {r.doc_id for r in got} == set(range(210))
+    with pytest.raises(ValueError):
+        pack(many, vocabulary(), end_id=1, targets={"absent": 1.0})

@@ -30,7 +30,8 @@ from tripmill.llm.tokens import encoder
 
 WINDOW = 2048
 MIN_PIECE = 64
-#: Queues that each task keeps the state of. More sources than this share queues by hash.
+#: Queues that each task keeps the state of, unless there are more targets. Of more sources, those with a
+#: target and the largest have queues of their own, and the others share queues by hash.
 MAX_QUEUES = 1024
 _ROUNDS_AT_ONCE = 4096
 
@@ -53,6 +54,7 @@ class Mixture:
             share = self.totals.astype(float)
         share = np.maximum(share / max(share.sum(), 1e-300), 1e-12)
         self.window, self.min_piece = window, min_piece
+        self.at_once = max(1, _ROUNDS_AT_ONCE * MAX_QUEUES // max(len(self.names), MAX_QUEUES))
         self.per_round = window * share / min_piece
         # phases keep small queues from all being served in the same round
         self.phase = (np.arange(len(share)) * 0.6180339887498949) % 1.0
@@ -101,8 +103,8 @@ class Mixture:
         end = int(ends[-1])
         first, last = self.round_of(queue, begin), self.round_of(queue, end - 1)
         afters, befores, bases = [], [], []
-        for low in range(first, last + 1, _ROUNDS_AT_ONCE):
-            rounds = np.arange(low, min(low + _ROUNDS_AT_ONCE, last + 1))
+        for low in range(first, last + 1, self.at_once):
+            rounds = np.arange(low, min(low + self.at_once, last + 1))
             after, before = self.served(rounds), self.served(rounds - 1)
             afters.append(after[:, queue])
             befores.append(before[:, queue])
@@ -132,7 +134,8 @@ def pack(
 ) -> DataFrame:
     """Pack whole documents into windows; one row a piece (see ``PIECE_DDL``).
 
-    ``targets`` maps sources to wanted shares; without it a source's share is its share of all
+    ``targets`` maps sources (None for null) to wanted shares, and it is an error if none of them has a
+    document. Sources with a target have queues of their own however many sources there are. Without it a source's share is its share of all
     tokens, and then every window holds the corpus' mixture to the last. A queue that runs dry
     leaves its place to the others. Null or empty texts are the end id alone; a null source is
     a queue of its own; equal rows are packed as often as they occur; an empty table gives no
@@ -143,8 +146,14 @@ def pack(
         F.col("text").cast("string").alias("text"),
         F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce(F.col("source").cast("string"), F.lit(""))).alias("queue"),
     )
+    wanted = {"n" if k is None else f"s{k}": v for k, v in (targets or {}).items()}
     if docs.select("queue").distinct().limit(max_queues + 1).count() > max_queues:
-        docs = docs.withColumn("queue", F.concat(F.lit("h"), F.pmod(F.xxhash64("queue"), F.lit(max_queues)).cast("string")))
+        named = [queue for queue, share in wanted.items() if share > 0]
+        sizes = docs.groupBy("queue").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("size"))
+        largest = sizes.where(~F.col("queue").isin(named)).orderBy(F.desc("size"), "queue").limit(max(max_queues - len(named), 0) // 2)
+        named += [row.queue for row in largest.collect()]
+        shared = F.concat(F.lit("h"), F.pmod(F.xxhash64("queue"), F.lit(max(max_queues - len(named), 1))).cast("string"))
+        docs = docs.withColumn("queue", F.when(F.col("queue").isin(named), F.col("queue")).otherwise(shared))
     end = int(end_id).to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +192,9 @@ def pack(
     for row in rows:
         totals[row.queue] = totals.get(row.queue, 0) + row.n
     base = {(row.part, row.queue): row.base for row in rows}
-    mixture = Mixture(totals, {f"s{k}": v for k, v in (targets or {}).items()}, window, min_piece)
+    if wanted and totals and not any(wanted.get(queue, 0) > 0 for queue in totals):
+        raise ValueError("no source of the corpus has a positive target")
+    mixture = Mixture(totals, wanted, window, min_piece)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
