@@ -84,3 +84,37 @@ def test_awkward_inputs(spark, docs):
     rows = docs((1, "x y z"), (1, "x y z"), (None, "x y")).withColumnRenamed("lang", "spans")
     got = sorted((r.doc_id or 0, r.n_hit, r.n_items) for r in decontaminate(rows, items).collect())
     assert got == [(0, 2, 1), (1, 3, 2), (1, 3, 2)]
+
+
+def near(text, items, window=13, slack=1):
+    own, found = words(text), set()
+    for item_id, item in items:
+        each = words(item)
+        n = min(window, len(each))
+        d = min(slack, n // 4)
+        for i in range(len(each) - n + 1) if n else []:
+            for shift in range(-n - slack - i, len(own) + slack):
+                at = []
+                for p in range(i, i + n):
+                    order = sorted(range(-slack, slack + 1), key=abs)
+                    at += [p + shift + k for k in order if 0 <= p + shift + k < len(own) and own[p + shift + k] == each[p]][:1]
+                if len(at) >= n - d:
+                    found.add(str(item_id))
+    return sorted(found)
+
+
+def test_proximity_matches_equal_brute_force(spark, docs, cases):
+    texts, items = cases
+    rng = random.Random(9)
+    changed = []
+    for k, (_, item) in enumerate(i for i in items if len(words(i[1])) >= 13):
+        for how in range(3):
+            own = words(item)
+            at = rng.randint(4, 8)
+            own[at : at + (how != 1)] = [] if how == 0 else [f"new{k}"]
+            changed.append(" ".join(["before", *own, "after"]))
+    texts = texts[:20] + changed
+    got = decontaminate(docs(*texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.near_items for r in got} == {k: near(t, items) for k, t in enumerate(texts)}
+    assert result(decontaminate(docs(*texts), spark.createDataFrame(items, "item_id long, text string"))) == {k: brute(t, items) for k, t in enumerate(texts)}
+    assert all(r.near_items and r.near_spans for r in got if r.doc_id >= 20)

@@ -2,11 +2,14 @@
 
 1. *Statistics.* How often each benchmark word occurs in the training texts.
 2. *Probes.* A window is ``WINDOW_WORDS`` consecutive words of an item (the whole item, if it has
-   fewer). Its probes are its ``PROBES`` rarest words in training.
+   fewer). Its probes are its ``PROBES`` rarest words in training, and one more for each word that a
+   proximity match may lack.
 3. *Index.* Training postings (word, document, position) of all probe words, stored as Parquet.
 4. *Intersection.* A posting less its place in the item is an alignment of item and document. An
-   alignment stays if all the probes of at least one window meet in it.
-5. *Verification.* Along what is left, words are compared one by one, in one pass over the texts.
+   alignment stays if ``PROBES`` probes of at least one window meet in it, each at most ``SLACK`` words
+   away.
+5. *Verification.* Along what is left, words are compared one by one, in one pass over the texts:
+   all of them for exact phrases, all but ``SLACK`` for proximity matches.
 
 The benchmark's word and probe tables are broadcast only behind a check of their stored rows; a
 larger benchmark is joined by shuffling words. Postings and alignments are joined by shuffles that
@@ -22,6 +25,10 @@ from tripmill.llm.common import sized_broadcast, stored, words_of
 
 WINDOW_WORDS = 13
 PROBES = 2
+#: Words of a window that a proximity match may lack, and how far each may stand from its place.
+SLACK = 1
+#: A window of fewer words than this, times the slack, must be matched exactly.
+WORDS_A_SLACK = 4
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -61,8 +68,16 @@ def probes(items: DataFrame, counts: DataFrame, window: int, n_probes: int) -> D
     )
 
 
-def alignments(docs: DataFrame, items: DataFrame, window: int, n_probes: int) -> DataFrame:
-    """Distinct (document, item, shift) in which all probes of some window meet."""
+def _slack(n_words: Column, slack: int) -> Column:
+    """The slack of a window of so many words."""
+    return F.least(F.lit(slack), F.floor(n_words / WORDS_A_SLACK)).cast("int")
+
+
+def alignments(docs: DataFrame, items: DataFrame, window: int, n_probes: int, slack: int = 0) -> DataFrame:
+    """Distinct (document, item, shift) in which probes of some window meet.
+
+    Of its probes, all but the slack do, each at most the slack away from its place.
+    """
     texts = docs.select("_k", "_t", words_of(F.col("text")).alias("words"))
     vocabulary = stored(items.select(F.explode("item_words").alias("word")).distinct(), "bench-words")
     n_words = vocabulary.count()
@@ -72,7 +87,7 @@ def alignments(docs: DataFrame, items: DataFrame, window: int, n_probes: int) ->
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    found = stored(probes(items, counts, window, n_probes), "bench-probes")
+    found = stored(probes(items, counts, window, n_probes + slack), "bench-probes")
     terms = stored(found.select("word").distinct(), "bench-terms")
     index = stored(
         texts.select("_k", "_t", F.posexplode("words").alias("pos", "word")).join(
@@ -82,12 +97,15 @@ def alignments(docs: DataFrame, items: DataFrame, window: int, n_probes: int) ->
     )
     # a probe place serves many windows; an alignment is made once for it
     spots = stored(found.select("word", "ik", "p").distinct(), "bench-spots")
-    met = (
+    near = (
         index.join(sized_broadcast(spots, 96, spots.count()), "word")
         .select("_k", "_t", "ik", (F.col("pos") - F.col("p")).alias("shift"), "p")
-        .groupBy("_k", "_t", "ik", "shift")
-        .agg(F.collect_set("p").alias("met"))
     )
+    if slack:
+        # shuffled before each posting is spread over the alignments that it may serve
+        shifts = F.array(*[F.col("shift") + k for k in range(-slack, slack + 1)])
+        near = near.repartition("_k", "_t", "ik").withColumn("shift", F.explode(shifts))
+    met = near.groupBy("_k", "_t", "ik", "shift").agg(F.collect_set("p").alias("met"))
     needs = stored(
         found.groupBy("ik", "start")
         .agg(F.sort_array(F.collect_set("p")).alias("need"))
@@ -95,7 +113,11 @@ def alignments(docs: DataFrame, items: DataFrame, window: int, n_probes: int) ->
         .agg(F.collect_set("need").alias("needs")),
         "bench-needs",
     )
-    whole = F.exists("needs", lambda need: F.size(F.array_except(need, F.col("met"))) == 0)
+    # as many probes as are left when the slack takes its words
+    length = F.least(F.col("n_words"), F.lit(window))
+    least = F.least(length, F.lit(n_probes) + slack) - _slack(length, slack)
+    whole = F.exists("needs", lambda need: F.size(F.array_intersect(need, F.col("met"))) >= least)
+    needs = needs.join(items.select("ik", F.size("item_words").alias("n_words")), "ik")
     return met.join(sized_broadcast(needs, 4096, needs.count()), "ik").where(whole).select("_k", "_t", "ik", "shift")
 
 
@@ -104,19 +126,23 @@ def decontaminate(
     benchmark: DataFrame,
     window: int = WINDOW_WORDS,
     n_probes: int = PROBES,
+    slack: int = SLACK,
 ) -> DataFrame:
-    """``docs`` with n_words, n_hit, n_items, items_sha256, contaminated and spans.
+    """``docs`` with n_words, n_hit, n_items, items_sha256, contaminated, spans, near_spans and near_items.
 
     ``spans`` are the word ranges (start, end exclusive) of the exact phrase matches. A document
-    is contaminated if at least a twentieth of its words are hit. Null and empty texts have no
+    is contaminated if at least a twentieth of its words are hit. ``near_spans`` are the word ranges
+    of proximity matches, ``near_items`` the sorted names of their items: a window matches if all of its
+    words but ``slack`` stand at most ``slack`` words away from their places in it. So exact matches
+    are proximity matches, and windows of under four words a slack have no others. Null and empty texts have no
     words and no hits. Repeated documents get equal results, repeated items count once, items
     without words match nothing, a null item_id is written "null". Input columns with a result's
     name are replaced, others pass through.
     """
-    results = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"]
+    results = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "near_spans", "near_items"]
     base = _keyed(docs.drop(*results))
     items = stored(_items(benchmark), "bench-items")
-    found = alignments(base, items, window, n_probes)
+    found = alignments(base, items, window, n_probes, slack)
     candidates = (
         found.join(sized_broadcast(items, 4096, items.count()), "ik")
         .groupBy("_k", "_t")
@@ -133,19 +159,33 @@ def decontaminate(
             lambda s: (s + shift >= 0)
             & (F.slice(F.col("_words"), F.greatest(s + shift, F.lit(0)) + 1, length) == F.slice(words, s + 1, length)),
         )
+        # where each word of the item stands, nearest first; null if it does not
+        places = F.transform(
+            words,
+            lambda word, p: F.coalesce(
+                *[
+                    F.when(F.get(F.col("_words"), p + shift + k) == word, p + shift + k)
+                    for k in sorted(range(-slack, slack + 1), key=abs)
+                ]
+            ),
+        )
+        held = F.transform(starts, lambda s: F.filter(F.slice(places, s + 1, length), lambda at: at.isNotNull()))
+        near = F.filter(held, lambda at: F.size(at) >= length - _slack(length, slack))
         return F.struct(
             cand["item"].alias("item"),
+            F.transform(near, lambda at: F.struct(F.array_min(at).alias("start"), (F.array_max(at) + 1).alias("end"))).alias("near"),
             F.transform(hit, lambda s: F.struct((s + shift).alias("start"), (s + shift + length).alias("end"))).alias("spans"),
         )
 
     hits = F.filter(
         F.transform(F.coalesce("_cands", F.expr("cast(array() as array<struct<item:string,item_words:array<string>,shift:int>>)")), matches),
-        lambda h: F.size(h["spans"]) > 0,
+        lambda h: F.size(h["near"]) > 0,
     )
+    exact = F.filter("_hits", lambda h: F.size(h["spans"]) > 0)
     covered = F.array_distinct(
         F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
     )
-    names = F.array_sort(F.array_distinct(F.transform("_hits", lambda h: h["item"])))
+    names = F.array_sort(F.array_distinct(F.transform(exact, lambda h: h["item"])))
     return (
         base.join(candidates, ["_k", "_t"], "left")
         .withColumn("_words", words_of(F.col("text")))
@@ -154,6 +194,8 @@ def decontaminate(
             {
                 "n_words": F.size("_words").cast("long"),
                 "spans": F.array_sort(F.array_distinct(F.flatten(F.transform("_hits", lambda h: h["spans"])))),
+                "near_spans": F.array_sort(F.array_distinct(F.flatten(F.transform("_hits", lambda h: h["near"])))),
+                "near_items": F.array_sort(F.array_distinct(F.transform("_hits", lambda h: h["item"]))),
                 "n_items": F.size(names).cast("long"),
                 "items_sha256": F.sha2(F.array_join(names, ","), 256),
             }

@@ -65,7 +65,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.decontaminate import decontaminate
 
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text", "spans")
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text", "spans", "near_spans", "near_items")
 
 
 @register
