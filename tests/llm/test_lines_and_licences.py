@@ -3,7 +3,7 @@ from __future__ import annotations
 import duckdb
 
 from support import SCHEMA, docs, sample, sampled  # noqa: F401
-from tripmill.llm.license_scan import license_scan
+from tripmill.llm.license_scan import TEMPLATES, complete_texts, license_scan
 from tripmill.llm.line_dedup import line_dedup
 from tripmill.llm.oracles import ORACLES
 
@@ -55,3 +55,20 @@ def test_awkward_licences(docs):
     assert [(r.n_matches, r.licenses, r.best_license) for r in license_scan(rows).collect()] == [(0, "", None)] * 3
     assert license_scan(docs("a b c"), []).first().n_matches == 0
     assert license_scan(docs("A b, c"), [("own", "a b c"), ("own", "a b c"), ("none", "x")]).first().n_matches == 1
+
+
+def test_passages_inside_documents(docs):
+    import textwrap
+
+    full, prose = dict(complete_texts()), "this is what the program does and how it is used " * 30
+    header = textwrap.fill(dict((n, t) for n, t in TEMPLATES if "free of charge" in t)["MIT"], 78, initial_indent=" * ", subsequent_indent=" * ")
+    notice = "\n".join(f"# {line}" for line in textwrap.wrap(dict(TEMPLATES)["GPL-3.0"], 40))
+    texts = [
+        f"/*\n * A file\n{header}\n */\n{prose}", full["MIT"].replace("<year> <copyright holders>", "2020 Some One"),
+        f"{prose}\n{full['GPL-3.0']}\n{prose}", f"# {prose}\n{notice}\n{prose}", f"{prose}\n{full['Apache-2.0']}", prose, None, "",
+    ]
+    got = {r.doc_id: r.passages for r in license_scan(docs(*texts)).select("doc_id", "passages").collect()}
+    names = {k: {p.license for p in v} for k, v in got.items()}
+    assert [names[k] for k in (0, 1, 3, 5, 6, 7)] == [{"MIT"}, {"MIT"}, {"GPL-3.0"}, set(), set(), set()]
+    assert "GPL-3.0" in names[2] and "Apache-2.0" in names[4]
+    assert any(p.start == 2 and p.dice == 1.0 for p in got[0])

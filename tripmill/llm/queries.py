@@ -72,7 +72,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.license_scan import license_scan
 
-    return license_scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    return license_scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "passages")
 
 
 @register
