@@ -44,6 +44,32 @@ def sized_broadcast(df: DataFrame, row_bytes: int, rows: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= MAX_BROADCAST_BYTES else df
 
 
+def bound(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once a row, whatever later filters and columns read it.
+
+    A plain projection may be merged into each expression above it; a generator is not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
+#: Of a join's other side, at most this many keys are hot, as each holds more than this part of all rows.
+HOT_KEYS = 4096
+
+
+def skewed_join(left: DataFrame, right: DataFrame, on: list[str], rows: str, total: int, how: str = "inner") -> DataFrame:
+    """``left`` with the row of ``right`` for its key, however many rows of ``left`` share a key.
+
+    Keys of ``right`` are unique; its column ``rows`` (dropped) counts the rows of ``left`` that hold the
+    key, ``total`` counts all of them. Keys that hold over a 4096th of all are 4096 at most, so these
+    are broadcast; the others meet in a shuffled join. ``how`` may be "left". Both sides should be stored.
+    """
+    limit = max(total // HOT_KEYS, 16)
+    hot = right.where(F.col(rows) > limit).drop(rows)
+    cold = right.where(F.col(rows) <= limit).drop(rows)
+    rest = left.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return left.join(F.broadcast(hot), on).unionByName(rest.join(cold, on, how))
+
+
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Batches of a few rows, so that what is derived from their texts stays small."""
     for batch in batches:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import sized_broadcast, stored, words_of
+from tripmill.llm.common import bound, sized_broadcast, stored, words_of
 
 WINDOW_WORDS = 13
 PROBES = 2
@@ -186,10 +186,9 @@ def decontaminate(
         F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1)))
     )
     names = F.array_sort(F.array_distinct(F.transform(exact, lambda h: h["item"])))
+    joined = base.join(candidates, ["_k", "_t"], "left")
     return (
-        base.join(candidates, ["_k", "_t"], "left")
-        .withColumn("_words", words_of(F.col("text")))
-        .withColumn("_hits", hits)
+        bound(bound(joined, "_words", words_of(F.col("text"))), "_hits", hits)
         .withColumns(
             {
                 "n_words": F.size("_words").cast("long"),

@@ -92,3 +92,48 @@ unit_words AS (
 SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_dice
 FROM documents LEFT JOIN best USING (doc_id)
 """
+
+ORACLES["op13_filter_audit"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(w) < 200,
+     100 * len(list_distinct(w)) < 50 * len(w),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+     regexp_matches(text, '[#$%&*|]'),
+     coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM docs LEFT JOIN marks USING (doc_id)
+), sets AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM judged GROUP BY part, fails
+), letters(x) AS (VALUES (1), (2), (3), (4), (5)),
+orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (SELECT o, step FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+counted AS (
+  SELECT part, o, step, o[step] AS own, n, n_good, n_toxic, fails[o[step]] AS fails_own,
+         len(list_filter(o[1:step - 1], lambda k: fails[k])) > 0 AS gone,
+         len(list_filter(fails, lambda f: f)) AS n_fails
+  FROM sets, steps
+), per_step AS (
+  SELECT part, o, step, own,
+         coalesce(sum(n) FILTER (NOT gone AND NOT fails_own), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND fails_own), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND fails_own), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails_own AND n_fails = 1), 0) AS unique_fails,
+         coalesce(sum(n_good) FILTER (NOT gone AND fails_own), 0) AS good_lost,
+         coalesce(sum(n_toxic) FILTER (NOT gone AND fails_own), 0) AS toxic_lost
+  FROM counted GROUP BY part, o, step, own
+)
+SELECT part, array_to_string(list_transform(o, lambda k: substr('ABCDE', k, 1)), '') AS filter_order, CAST(step AS INTEGER) AS step,
+       CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM per_step
+"""

@@ -102,3 +102,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.suffix_dedup import suffix_dedup
 
     return suffix_dedup(documents(spark, sf_dir).select("doc_id", "text")).drop("spans")
+
+
+@register
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.filter_audit import filter_audit
+
+    return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
