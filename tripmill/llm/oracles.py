@@ -137,3 +137,42 @@ SELECT part, array_to_string(list_transform(o, lambda k: substr('ABCDE', k, 1)),
        CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
 FROM per_step
 """
+
+ORACLES["op12_conversation_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS r, role, text,
+         len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n_words
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), lists AS (
+  SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY r) AS t, list(n_words ORDER BY r) AS w
+  FROM turns GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, t, w, conv_id - conv_id % 20 AS base,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+        lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))) % 4 AS h
+  FROM lists
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.t[1:c.h], []), c.t[c.h + 1:]) AS t,
+         list_concat(coalesce(b.w[1:c.h], []), c.w[c.h + 1:]) AS w
+  FROM heads c LEFT JOIN lists b ON b.conv_id = c.base
+), prefixes AS (
+  SELECT conv_id, d, len(t) AS n, w[d] AS n_words, array_to_string(t[1:d], '') AS key,
+         CASE WHEN d > 0 THEN array_to_string(t[1:d - 1], '') END AS pkey
+  FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT key, any_value(pkey) AS pkey, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * coalesce(any_value(n_words), 0) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY key
+), children AS (SELECT pkey AS key, count(*) AS n_children FROM nodes WHERE pkey IS NOT NULL GROUP BY pkey),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (key)),
+sums AS (
+  SELECT p.key, count(*) FILTER (x.n_children = 0) AS n_leaves, sum(x.saved) AS saved_tokens
+  FROM full_nodes x JOIN prefixes p ON p.conv_id = x.conv_id AND p.d <= x.d GROUP BY p.key
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums USING (key) LEFT JOIN nodes p ON p.key = n.pkey
+"""

@@ -109,3 +109,10 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.filter_audit import filter_audit
 
     return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@register
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.conversation_trie import conversation_trie
+
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
