@@ -176,3 +176,20 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n
        CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM full_nodes n JOIN sums USING (key) LEFT JOIN nodes p ON p.key = n.pkey
 """
+
+ORACLES["op11_web_archives"] = r"""
+WITH hashed AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), ranked AS (
+  SELECT *, row_number() OVER same AS k, first_value(page_id) OVER same AS first_id
+  FROM hashed WINDOW same AS (PARTITION BY html ORDER BY page_id NULLS LAST, url NULLS LAST)
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform(range(0, 4), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST((CAST('0x' || substr(hex, 5 * g + 1, 5) AS BIGINT) // [32768, 1024, 32, 1][i + 1]) % 32 AS BIGINT) + 1, 1)), '')), '')
+         AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k > 1 THEN first_id END AS refers_to
+FROM ranked
+"""

@@ -116,3 +116,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.conversation_trie import conversation_trie
 
     return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@register
+def op11_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmill.llm.warc_archive import archived
+
+    return archived(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch_path(spark, "llm-web-archives"))
