@@ -292,7 +292,8 @@ def rollup(nodes: DataFrame, paths: DataFrame, local_nodes: int = LOCAL_NODES) -
     over the subtree), leaves and saved; ``paths`` has the prefixes of the members.
     """
     zero = F.lit(0).cast("long")
-    state = nodes.withColumns({"comp": F.lit(b"").cast("binary"), "sum_leaves": zero, "sum_saved": zero}).select(*_STATE)
+    # stored, as a constant component would turn the joins by component into nested loops
+    state = stored(nodes.withColumns({"comp": F.lit(b"").cast("binary"), "sum_leaves": zero, "sum_saved": zero}).select(*_STATE), "trie-state")
     small, done = [], []
     while True:
         comps = stored(
