@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from support import docs, sample, sampled  # noqa: F401
+from tripmill.llm import tokens
 from tripmill.llm.packing import Mixture, pack
 from tripmill.llm.queries import vocabulary
 from tripmill.llm.token_store import blocks, fetch, read_store, write_store
@@ -34,6 +36,18 @@ def test_pieces_encode_as_whole_texts(texts):
     ]
 
 
+def test_table_starts_anew_and_meets_equal_hashes(whole, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcé.,'\n", k=rng.randint(1, 9))) for _ in range(80)) for _ in range(60)]
+    texts += ["<|endoftext|>a <|endoftext|>\n<|endoftext|>", "x" * 100_000, "日本" * 30_000, None, "", "it's don't\n\n\nY \n \nZ"]
+    monkeypatch.setattr(tokens, "MAX_PIECES", 300)
+    own = tokens.PieceEncoder(vocabulary())
+    for _ in range(3):
+        assert [ids(x) for k in range(0, len(texts), 7) for x in own.encode(texts[k : k + 7])] == [whole(t) for t in texts]
+    monkeypatch.setattr(tokens, "hashes", lambda eights, starts, *_: np.zeros(len(starts), "u8"))
+    assert [ids(x) for x in tokens.PieceEncoder(vocabulary()).encode(texts[:5])] == [whole(t) for t in texts[:5]]
+
+
 def crc(tokens) -> int:
     return zlib.crc32(np.array(tokens, "<u4").tobytes())
 

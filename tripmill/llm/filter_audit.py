@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import in_slices, skewed_join, stored
+from tripmill.llm.spans import firsts, hashes, in_eights, utf8
 
 #: Fixed values of the contract: white space, symbols, the filters and their limits.
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -56,80 +57,11 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 CLASSES, AFTER, EMITS = _tables()
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.array([(1 << (8 * k)) - 1 for k in range(9)], "u8")
-
-
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts and the limits of each."""
-    texts = texts.cast(pa.large_string()).fill_null("")
-    limits = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
-    whole = texts.buffers()[2]
-    data = np.frombuffer(whole, "u1") if whole is not None and whole.size else np.empty(0, "u1")
-    return data[limits[0] : limits[-1]], limits - limits[0]
-
-
-class _Spans:
-    """Word spans of a buffer, read eight bytes at a time."""
-
-    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> None:
-        padded = np.concatenate([data, np.zeros(8, "u1")])
-        self.eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
-        self.starts, self.lengths, self.rows = starts, ends - starts, rows
-
-    def _part(self, spans: np.ndarray, at: int) -> np.ndarray:
-        return self.eight[self.starts[spans] + at] & _LOW[np.minimum(self.lengths[spans] - at, 8)]
-
-    def hashes(self) -> np.ndarray:
-        out = self.rows.astype("u8") * _MIX + self.lengths.astype("u8")
-        live, at = np.arange(len(out)), 0
-        while len(live):
-            mixed = (out[live] ^ self._part(live, at)) * _MIX
-            out[live] = mixed ^ (mixed >> np.uint64(29))
-            at += 8
-            live = live[self.lengths[live] > at]
-        return out
-
-    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether spans ``a`` and ``b`` are the same bytes of the same text."""
-        same = (self.rows[a] == self.rows[b]) & (self.lengths[a] == self.lengths[b])
-        live, at = np.flatnonzero(same), 0
-        while len(live):
-            agree = self._part(a[live], at) == self._part(b[live], at)
-            same[live[~agree]] = False
-            at += 8
-            live = live[agree]
-            live = live[self.lengths[a[live]] > at]
-        return same
-
-    def first(self) -> np.ndarray:
-        """Which spans are the first of their bytes in their text: the ones that own a place."""
-        n = len(self.starts)
-        own = np.zeros(n, bool)
-        size = 1 << max(2 * n, 2).bit_length()
-        table = np.full(size, -1, "i8")
-        hashed = self.hashes()
-        place = (hashed >> np.uint64(20)).astype("i8") & (size - 1)
-        waiting = np.arange(n)
-        while len(waiting):
-            at = place[waiting]
-            free = table[at] < 0
-            # of several for one free place the first in the text stays: it is written last
-            table[at[free][::-1]] = waiting[free][::-1]
-            owner = table[at]
-            got = owner == waiting
-            own[waiting[got]] = True
-            waiting, owner = waiting[~got], owner[~got]
-            seen = hashed[waiting] == hashed[owner]
-            seen[seen] = self.equal(waiting[seen], owner[seen])
-            waiting = waiting[~seen]
-            place[waiting] = (place[waiting] + 1) & (size - 1)
-        return own
 
 
 def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     """Words, distinct words, capitals, code points and symbols of each text; null is empty."""
-    data, limits = _bytes_of(texts)
+    data, limits = utf8(texts)
     begin, end = limits[:-1], limits[1:]
     filled = end > begin
     classes = CLASSES[data]
@@ -150,7 +82,8 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     ends = np.sort(np.concatenate([where(EMIT_END), last[after[last - 1] == INSIDE]]))
     n_words = count(starts)
     rows = np.repeat(np.arange(len(texts)), n_words)
-    own = _Spans(data, starts, ends, rows).first()
+    eights, lengths = in_eights(data), ends - starts
+    own = firsts(eights, starts, lengths, hashes(eights, starts, lengths, rows), rows)
     return {
         "n_words": n_words,
         "n_distinct": np.bincount(rows[own], minlength=len(texts)),

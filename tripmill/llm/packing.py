@@ -161,7 +161,7 @@ def pack(
         press = zstandard.ZstdCompressor(level=3)
         for batch in in_slices(batches):
             queues, starts, counts, ids = batch.column("queue").to_pylist(), [], [], []
-            encoded = encoder(tokenizer_path).encode(batch.column("text").to_pylist())
+            encoded = encoder(tokenizer_path).encode(batch.column("text"))
             for queue, got in zip(queues, encoded, strict=True):
                 got += end
                 if queue != queue_now:

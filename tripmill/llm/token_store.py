@@ -81,8 +81,11 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
             trained = b""
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
+    # a bound on the hash from the number of rows lets about twice the sample reach the sort
+    share = min(1.0, 2 * SAMPLE_DOCUMENTS / max(docs.count(), 1))
     sample = (
         docs.select("text", F.xxhash64(F.col("doc_id"), F.col("text")).alias("_h"))
+        .where(F.pmod("_h", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
         .orderBy("_h")
         .limit(SAMPLE_DOCUMENTS)
         .select("text")
@@ -136,7 +139,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) ->
             # slices share the encoder's calls; only frames are kept
             for doc_id, got in zip(
                 batch.column("doc_id").to_pylist(),
-                encoder(tokenizer_path).encode(batch.column("text").to_pylist()),
+                encoder(tokenizer_path).encode(batch.column("text")),
                 strict=True,
             ):
                 got += end
