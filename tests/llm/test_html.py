@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -69,7 +70,8 @@ def test_host_path_wins(spark):
     pages += [(1, pages[1][1], pages[1][2])]
     rows = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit("a clash"))
     got = sorted((r.page_id, r.text, r.n_chars) for r in extract(rows).collect())
-    assert got[4] == (3, short, len(short))  # the host's place, not the page's own longest text
+    both = f"{short}\n\n{long} {long}"
+    assert got[4] == (3, both, len(both))  # the host's place holds few words, so the page's own is taken as well
     assert got[1][1] == got[2][1] == f"{long} 1" and got[5][1] == long and got[6] == (5, "", 0)
     assert extract(rows.limit(0)).count() == 0
 
@@ -82,3 +84,56 @@ def test_whole_small_table(spark):
         blocks = re.split(r"</?(?:p|h1)>", inside.replace("<br>", " "))
         plain = (re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", "", b))).strip() for b in blocks)
         assert got[row.page_id] == "\n\n".join(filter(None, plain))
+
+
+def test_article_outside_the_host_path_is_not_lost(spark):
+    """A teaser on the host's path does not replace the article that stands elsewhere."""
+    article = [f"paragraph {k} " + " ".join(f"word{j}" for j in range(60)) for k in range(6)]
+    usual = "<body><div class=content>" + "".join(f"<p>{p}</p>" for p in article) + "</div><div class=sidebar>x y z</div></body>"
+    odd = "<body><div class=content><p>six words stand in this teaser</p></div><div class=story>" + "".join(f"<p>{p}</p>" for p in article) + "</div></body>"
+    nearly = "<body><div class=content><p>" + " ".join(article[:4]) + "</p></div><div class=story><p>" + " ".join(article) + "</p></div></body>"
+    rows = [(k, "http://a.example/", usual) for k in range(4)] + [(4, "http://a.example/", odd), (5, "http://a.example/", nearly)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    whole = "\n\n".join(article)
+    assert got[0] == whole
+    assert got[4] == "six words stand in this teaser\n\n" + whole
+    assert got[5] == " ".join(article[:4])  # the host's place holds most of the words
+
+
+def test_ties_of_votes(spark):
+    """Of two paths with as many votes the longer one wins, then the first."""
+    long, short = " ".join("abcdefghijkl"), "seven words are in this short text"
+    two = "<div class={}><p>{}</p></div><div class={}><p>{}</p></div>"
+    for one, other, wins in (("aa", "bbb", "bbb"), ("zz", "yy", "yy")):
+        pages = [two.format(one, long, other, short), two.format(other, long, one, short)]
+        rows = [(k, "http://t.example/", p) for k, p in enumerate(pages)]
+        got = [r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+        assert got == ([long, short] if wins == one else [short, long])
+
+
+def test_generated_pages_equal_what_they_were_made_of(spark):
+    """Pages of random templates around a known article, with every kind of part that is to go."""
+    rng = random.Random(6)
+    junk = ("<nav><a href=x>{}</a></nav>", "<div class='sidebar-left'><p>{}</p></div>", "<form>{}<input></form>", "<script>{}</script>",
+            "<section id=comments><p>{}</p></section>", "<div class=cookie-notice>{}</div>", "<aside>{}</aside>", "<!-- {} -->", "<div class='ad'>{}</div>")
+    said = "alpha beta gamma delta epsilon zeta eta theta".split()
+    hosts = {h: (rng.choice(["article", "main", "div class=post", "div class='text-body'"]), rng.randint(0, 3)) for h in range(6)}
+    pages, want = [], {}
+    for k in range(240):
+        h = rng.choice([0, 0, 0, *hosts])
+        around, deep = hosts[h]
+        paragraphs = [" ".join(rng.choices(said, k=rng.randint(8, 40))) + f" {k}" for _ in range(rng.randint(2, 6))]
+        body = []
+        for p in paragraphs:
+            words = p.replace("beta", "b&eacute;ta &amp; co").replace(" gamma", "\n <b>gamma</b>")
+            body.append(rng.choice(["<p>{}</p>", "<p class=lead>{}</p>", "<h2>{}</h2>"]).format(words))
+            if rng.random() < 0.4:
+                body.append(rng.choice(junk).format("go away"))
+        want[k] = "\n\n".join(p.replace("beta", "b\u00e9ta & co") for p in paragraphs)
+        tag = around.split()[0]
+        inner = f"<{around}>" + "".join(body) + f"</{tag}>"
+        for d in range(deep):
+            inner = f"<div class=wrap{d}-{rng.randint(1, 99)}>{inner}</div>"
+        pages.append((k, f"http://h{h}.example/{k}", f"<html><body>{rng.choice(junk).format('menu')}{inner}<footer>foot</footer></body></html>"))
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)).collect()}
+    assert got == want

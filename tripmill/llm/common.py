@@ -19,7 +19,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else, whatever the locale."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    slow = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # where all characters are ASCII, lower() does the same without a look-up for each of them
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(slow)
 
 
 #: Fixed value of the contract: what stands between words, after A-Z are lower case.

@@ -3,8 +3,8 @@
 Each page votes: its containers are scored by the words of their own blocks, and the path of
 generalised tag.class steps to the best one (to the article around it, if any) gets its vote. Votes
 are counted in Spark per host; the path with most votes wins its host. Then every page is
-extracted again from the containers on its host's winning path; a page without such a container
-falls back to its own best one. Votes are pre-aggregated before their shuffle, so a host that
+extracted again from the containers on its host's winning path. Where these hold less than half of the words of
+the page's own best container, or there are none, that one is taken as well, so no article is lost. Votes are pre-aggregated before their shuffle, so a host that
 holds a third of all pages is a few rows.
 
 A block is a run of text between block-level tags. Blocks inside menus, headers, footers,
@@ -293,14 +293,25 @@ def best_path(page: Page) -> str:
     return page.nodes[at].path
 
 
+#: The host's containers are enough if they hold this share of the words that the page's own best one holds.
+ENOUGH = 0.5
+
+
 def main_text(page: Page, path: str) -> str:
-    """Blocks below the containers on ``path``; from the page's own best one if there is none."""
-    for wanted in (path, best_path(page)):
+    """Blocks below the containers on ``path``, and those of the page's own best one if ``path`` lacks most.
+
+    A host's path may hold a few words of a page whose article stands elsewhere; then the blocks of both
+    are the text, in page order.
+    """
+
+    def below(wanted: str) -> dict[int, int]:
         on = {k for k, n in enumerate(page.nodes) if n.path == wanted and not n.out}
-        blocks = [text for text, above in page.blocks if on.intersection(above)]
-        if blocks:
-            return "\n\n".join(blocks)
-    return ""
+        return {i: len(text.split()) for i, (text, above) in enumerate(page.blocks) if on.intersection(above)}
+
+    kept, own = below(path), below(best_path(page))
+    if not kept or sum(kept.values()) < ENOUGH * sum(own.values()):
+        kept |= own
+    return "\n\n".join(page.blocks[i][0] for i in sorted(kept))
 
 
 def host_of(url) -> F.Column:
