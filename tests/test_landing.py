@@ -11,7 +11,7 @@ from tripmill.plans import backfill as backfill_plan
 from tripmill.plans.backfill import backfill, split_own_day
 from tripmill.plans.trip_build import BY_DAY
 from tripmill.schemas import LAKE_TRIPS, SLICE_REQUESTS
-from tripmill.sinks import land, plan_write, promote, register_view
+from tripmill.sinks import land, landing, plan_write, promote, register_view
 from tripmill.sources import (
     landed_days,
     read_aligned,
@@ -246,6 +246,81 @@ def test_stray_rows_are_rejected_not_lost(spark, lake, paths, lake_table):
     assert values(lake_table(paths["table"]), "total_amount") == [1.0, 2.0]
 
 
+def reset(spark, paths, day: str, at=datetime(2024, 2, 3)):
+    requests = spark.createDataFrame([("yellow", "2024", "01", day)], SLICE_REQUESTS)
+    store_reset(spark, paths["ledger"], requests, at=at)
+
+
+def test_a_day_that_became_empty_keeps_no_old_row(spark, lake, paths, lake_table):
+    write_source(trips_on(lake, 1, 2, 3), paths["source"])
+    run(spark, paths, month="01")
+    reset(spark, paths, "02")
+    folder = f"{paths['source']}/cab_type=yellow/year=2024/month=1/day=2"
+    trips_on(lake, 3, total_amount=77.0).drop(*LINEAGE, "trip_type", "cab_type").write.mode("overwrite").parquet(folder)
+    report = run(spark, paths, month="01", now=datetime(2024, 2, 4))
+    assert (report.days, report.rows, report.rejected) == (1, 0, 1)
+    assert values(lake_table(paths["table"]), "total_amount") == [1.0, 3.0]
+
+
+def test_an_interrupted_replacement_loses_nothing(spark, lake, paths, lake_table, monkeypatch):
+    """Rows of an emptied day go only after the new data is committed, and the day stays pending."""
+    write_source(trips_on(lake, 1, 2), paths["source"])
+    run(spark, paths, month="01")
+    reset(spark, paths, "01")
+    reset(spark, paths, "02")
+    folder = f"{paths['source']}/cab_type=yellow/year=2024/month=1/day=2"
+    trips_on(lake, 9).drop(*LINEAGE, "trip_type", "cab_type").write.mode("overwrite").parquet(folder)
+
+    def broken(*_args, **_options):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(landing, "_drop_partitions", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            run(spark, paths, month="01", now=datetime(2024, 2, 4))
+    assert values(lake_table(paths["table"]), "total_amount") == [1.0, 2.0]
+    assert run(spark, paths, month="01", now=datetime(2024, 2, 5)).days == 2
+    assert values(lake_table(paths["table"]), "total_amount") == [1.0]
+
+
+def test_rejects_of_a_day_are_replaced_with_it(spark, lake, paths):
+    write_source(trips_on(lake, 1, 2), paths["source"])
+    day_one = f"{paths['source']}/cab_type=yellow/year=2024/month=1/day=1"
+    stray = trips_on(lake, 20, total_amount=77.0).drop(*LINEAGE, "trip_type", "cab_type")
+    stray.write.mode("append").parquet(day_one)
+    assert run(spark, paths, month="01", batch_id="first").rejected == 1
+    reset(spark, paths, "01")
+    assert run(spark, paths, month="01", batch_id="second", now=datetime(2024, 2, 4)).rejected == 1
+    rejects = spark.read.parquet(paths["rejects"])
+    assert [(r["total_amount"], r["batch_id"]) for r in rejects.collect()] == [(77.0, "second")]
+    # once the folder is in order, no reject of it is left
+    reset(spark, paths, "01", at=datetime(2024, 2, 5))
+    trips_on(lake, 1).drop(*LINEAGE, "trip_type", "cab_type").write.mode("overwrite").parquet(day_one)
+    report = run(spark, paths, month="01", now=datetime(2024, 2, 6))
+    assert (report.days, report.rejected) == (1, 0)
+    assert read_table(spark, paths["rejects"], rejects.schema).count() == 0
+
+
+def test_a_fault_in_a_landed_folder_does_not_block_another_day(spark, lake, paths, lake_table):
+    write_source(trips_on(lake, 1, 2), paths["source"])
+    run(spark, paths, month="01")
+    day_one = f"{paths['source']}/cab_type=yellow/year=2024/month=1/day=1"
+    trips_on(lake, 1).drop(*LINEAGE, "trip_type", "cab_type", "fare_amount").write.mode("overwrite").parquet(day_one)
+    write_source(trips_on(lake, 3), paths["source"])
+    assert run(spark, paths, month="01", now=datetime(2024, 2, 4)).rows == 1
+    assert values(lake_table(paths["table"]), "total_amount") == [1.0, 2.0, 3.0]
+
+
+def test_two_types_in_one_folder(spark, lake, paths):
+    folder = f"{paths['source']}/cab_type=yellow/year=2024/month=01/day=1"
+    plain = trips_on(lake, 1).drop(*LINEAGE, "trip_type", "cab_type")
+    for kind in ("double", "int", "string"):
+        plain.withColumn("passenger_count", F.col("passenger_count").cast(kind)).write.mode("append").parquet(folder)
+    got = read_aligned(spark, paths["source"], ["yellow"], 2024, 1)
+    assert values(got, "passenger_count") == [2, 2, 2]
+    assert set(values(got, "folder_day")) == {date(2024, 1, 1)}
+
+
 def test_a_failed_landing_is_recorded_and_can_be_repeated(spark, lake, paths, monkeypatch):
     write_source(trips_on(lake, 1), paths["source"])
 

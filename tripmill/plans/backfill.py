@@ -27,6 +27,7 @@ from tripmill.sinks import land, plan_write
 from tripmill.sources import read_aligned, slice_folders, slice_path, slice_volume
 
 ALL = "ALL"
+REJECT_PARTITIONS = ["cab_type", "folder_day"]
 
 
 @dataclass(frozen=True)
@@ -57,12 +58,16 @@ def split_own_day(df: DataFrame, day_column: str = "folder_day") -> tuple[DataFr
     and go with whatever else is pending, so it belongs to no landed day, nor does
     a row without pickup time. Both sides together are the input.
     """
+    own = _on_own_day(day_column)
+    return df.where(own).drop(day_column), df.where(~own).drop(day_column)
+
+
+def _on_own_day(day_column: str = "folder_day") -> Column:
     start = F.col(day_column).cast("timestamp_ntz")
     pickup = F.col("pickup_datetime")
-    own = F.coalesce(
+    return F.coalesce(
         (pickup >= start) & (pickup < start + F.expr("INTERVAL 1 DAY")), F.lit(False)
     )
-    return df.where(own).drop(day_column), df.where(~own).drop(day_column)
 
 
 def _folder_day() -> Column:
@@ -90,7 +95,9 @@ def backfill(
     Only pending days are read. The ledger is written after the data; a failure
     is recorded as such and raised. A day without source files stays pending, so
     that it can land later. Rows that were not picked up on their folder's day go to
-    ``rejects``, by batch, so what a day holds does not depend on what else is pending.
+    ``rejects``, by cab type and folder day, so what a day holds does not depend on what else is
+    pending. Both the table's days and the rejects' are replaced as a whole: a day that is landed
+    again and has no row any more, or no reject, keeps none of the old ones.
     """
     if cab_type not in CAB_TYPES:
         raise ValueError(f"unknown cab type {cab_type!r}")
@@ -126,11 +133,14 @@ def backfill(
     )
     try:
         rows = read_aligned(spark, source, [cab_type], year, month, day, keep=in_days)
-        inside, outside = split_own_day(rows.select("*", *lineage.columns()))
+        rows = rows.select("*", *lineage.columns())
+        inside, outside = rows.where(_on_own_day()).drop("folder_day"), rows.where(~_on_own_day())
         # source folders are days, as the table's partitions are
         plan = plan_write(size, files)
-        rows = land(BY_DAY.add_to(inside), table, BY_DAY.columns, plan)
-        rejected = land(outside, rejects, ["batch_id"])
+        replaced = spark.createDataFrame([(cab_type, d) for d in days], "cab_type string, folder_day date")
+        own_days = replaced.select("cab_type", F.col("folder_day").alias(BY_DAY.columns[-1]))
+        rows = land(BY_DAY.add_to(inside), table, BY_DAY.columns, plan, replaces=own_days)
+        rejected = land(outside, rejects, REJECT_PARTITIONS, replaces=replaced)
     except Exception:
         append_ledger(ledger_rows(pending_keys, FAILED, batch_id, engine, now), ledger)
         raise

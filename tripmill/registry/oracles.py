@@ -377,6 +377,12 @@ SELECT * EXCLUDE (ingestion_ts, batch_id, source_file, migration_batch_id, engin
   CASE WHEN (vendorid * 3 + payment_type) % 5 % 2 = 0 THEN 'landed' ELSE 'rejected' END AS outcome
 FROM lake WHERE cab_type = 'green' AND pickup_datetime >= TIMESTAMP '1997-03-01 00:00:00'
   AND pickup_datetime < TIMESTAMP '1997-03-31 00:00:00'"""
+ORACLES["backfill_emptied_day"] = f"""{_with(TRIPS)},
+may AS (SELECT * EXCLUDE (ingestion_ts, batch_id, source_file, migration_batch_id, engine_type)
+  FROM lake WHERE cab_type = 'yellow' AND pickup_datetime >= TIMESTAMP '1997-05-01 00:00:00'
+    AND pickup_datetime < TIMESTAMP '1997-06-01 00:00:00')
+SELECT *, 'landed' AS outcome FROM may WHERE day(pickup_datetime) <> 6
+UNION ALL SELECT *, 'rejected' AS outcome FROM may WHERE day(pickup_datetime) = 7"""
 ORACLES["upsert_null_partition"] = f"""{_with(TRIPS, STAGED, KEYED)}
 SELECT DISTINCT trip_id, CASE WHEN cab_type <> 'fhv' THEN cab_type END AS kind, vendor_id FROM keyed"""
 ORACLES["slice_volumes"] = f"""{_with(TRIPS)}

@@ -381,13 +381,42 @@ def backfill_relanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     backfill(spark, root, table, ledger, rejects, **run, batch_id="first", now=datetime(2024, 2, 1))
     again = spark.createDataFrame([("green", "1997", "03", "06")], SLICE_REQUESTS)
     store_reset(spark, ledger, again, at=datetime(2024, 2, 2))
-    backfill(spark, root, table, ledger, scratch_path(spark, "relanding-again"), **run, batch_id="second", now=datetime(2024, 2, 3))
+    backfill(spark, root, table, ledger, rejects, **run, batch_id="second", now=datetime(2024, 2, 3))
+    return _outcomes(spark, table, rejects)
+
+
+def _outcomes(spark: SparkSession, table: str, rejects: str) -> DataFrame:
     kept = [c.name for c in TRIP_COLUMNS]
     landed = spark.read.parquet(table).select(*kept, F.lit("landed").alias("outcome"))
     rejected = spark.read.parquet(rejects).select(*kept, F.lit("rejected").alias("outcome"))
     return landed.unionByName(rejected)
 
 
+@query
+def backfill_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month landed; then the folder of its 6th day holds the trips of the 7th only, and lands again.
+
+    The 6th day keeps no trip. The folder's files are of another type than the others' by then.
+    """
+    root, table, ledger, rejects = (
+        scratch_path(spark, f"emptied-{label}") for label in ("source", "table", "ledger", "rejects")
+    )
+    levels = ("cab_type", "year", "month", "day")
+    trips = fx.source_trips(spark, sf_dir).where(
+        "cab_type = 'yellow' AND pickup_datetime >= '1997-05-01' AND pickup_datetime < '1997-06-01'"
+    )
+    day = {"year": F.lit(1997), "month": F.lit(5)}
+    land(trips.withColumns({**day, "day": F.dayofmonth("pickup_datetime")}), root, levels)
+    run = {"cab_type": "yellow", "year": "1997", "month": "05"}
+    backfill(spark, root, table, ledger, rejects, **run, batch_id="first", now=datetime(2024, 2, 1))
+    strays = trips.where(F.dayofmonth("pickup_datetime") == 7).withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    land(strays.withColumns({**day, "day": F.lit(6)}), root, levels)
+    again = spark.createDataFrame([("yellow", "1997", "05", "06")], SLICE_REQUESTS)
+    store_reset(spark, ledger, again, at=datetime(2024, 2, 2))
+    backfill(spark, root, table, ledger, rejects, **run, batch_id="second", now=datetime(2024, 2, 3))
+    return _outcomes(spark, table, rejects)
+
+
 @query
 def upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of an unknown cab type, upserted in two rounds; the first round's stay."""

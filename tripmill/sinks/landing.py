@@ -84,17 +84,25 @@ def land(
     path: str,
     partition_by: Sequence[str],
     plan: LandingPlan | None = None,
+    replaces: DataFrame | None = None,
 ) -> int:
     """Replace exactly the partitions present in ``df``; returns the rows written.
 
     The rows are counted by the writing tasks themselves, after the last
     shuffle, so there is no second pass and a repeated map task counts once.
+
+    ``replaces`` lists partitions (columns ``partition_by``) that the write stands for even if
+    it brings no row for them: those are removed, after the data is committed, so an interrupted run
+    leaves old rows, never missing ones, and can be repeated. It should be short, as a list of days is.
     """
     plan = plan or plan_write()
     counted = Observation()
-    rows = spread(df, partition_by, plan).observe(
-        counted, F.count(F.lit(1)).alias("rows")
-    )
+    texts = [F.col(c).cast("string").alias(c) for c in partition_by]
+    figures = [F.count(F.lit(1)).alias("rows")]
+    if replaces is not None:
+        # which partitions got rows, told by the writing tasks as well
+        figures.append(F.collect_set(F.to_json(F.struct(*texts))).alias("written"))
+    rows = spread(df, partition_by, plan).observe(counted, *figures)
     writer = (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -104,10 +112,17 @@ def land(
         writer = writer.option("maxRecordsPerFile", plan.max_records_per_file)
     with scoped_conf(df.sparkSession, _write_settings(plan)):
         writer.parquet(path)
+    if replaces is not None:
+        empty = replaces.select(*partition_by).distinct().where(
+            ~F.to_json(F.struct(*texts)).isin(counted.get["written"] or [])
+        )
+        _drop_partitions(df.sparkSession, path, empty, must_exist=False)
     return counted.get["rows"]
 
 
-def _drop_partitions(spark: SparkSession, path: str, partitions: DataFrame) -> int:
+def _drop_partitions(
+    spark: SparkSession, path: str, partitions: DataFrame, must_exist: bool = True
+) -> int:
     """Delete the folders of the listed partitions; the calendar bounds their number."""
     # Spark's own naming: special characters are escaped, NULL has a name
     naming = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
@@ -115,7 +130,10 @@ def _drop_partitions(spark: SparkSession, path: str, partitions: DataFrame) -> i
     dropped = 0
     for row in texts.toLocalIterator():
         folder = "/".join(naming.getPartitionPathString(c, row[c]) for c in texts.columns)
-        if not delete_folder(spark, f"{path.rstrip('/')}/{folder}"):
+        whole = f"{path.rstrip('/')}/{folder}"
+        if not must_exist and not path_exists(spark, whole):
+            continue
+        if not delete_folder(spark, whole):
             raise RuntimeError(f"partition {folder} of {path} could not be deleted")
         dropped += 1
     return dropped

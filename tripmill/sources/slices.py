@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +19,8 @@ from tripmill.sources.files import path_exists
 
 # Tasks used to read file metadata; each one only asks for names and lengths.
 LISTING_TASKS = 256
+# Tasks that open footers.
+FOOTER_TASKS = 64
 
 
 def _number(part: str | int | None) -> int | None:
@@ -117,18 +122,30 @@ def read_slices(
     return reader.parquet(*folders).where(keep)
 
 
-def _leaves(spark: SparkSession, folders: Sequence[str]) -> list[str]:
-    """The folders that hold files, below the given ones."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    leaves, waiting = [], list(folders)
-    while waiting:
-        path = jvm_path(waiting.pop())
-        listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-        below = [s.getPath().toString() for s in listed if s.isDirectory() and "=" in s.getPath().getName()]
-        waiting += below
-        if any(s.isFile() and s.getPath().getName().endswith(".parquet") for s in listed):
-            leaves.append(path.toString())
-    return sorted(leaves)
+def _openable(path: str) -> str:
+    """A URI with an authority, which some of Hadoop's paths lack."""
+    return re.sub(r"^file:/+", "file:///", path)
+
+
+def footer_types(files: DataFrame) -> DataFrame:
+    """(types, paths): the column ``path`` of Parquet files, grouped by the names and types they hold.
+
+    Tasks read the footers, a file each; only the grouped paths come to the driver, which plans
+    the scans.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                system, name = pyarrow.fs.FileSystem.from_uri(_openable(path))
+                with system.open_input_file(name) as file:
+                    schema = pq.read_schema(file)
+                found.append(",".join(sorted(f"{f.name}:{f.type}" for f in schema)))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.string())], ["path", "types"])
+
+    typed = files.select("path").repartition(FOOTER_TASKS).mapInArrow(run, "path string, types string")
+    return typed.groupBy("types").agg(F.sort_array(F.collect_list("path")).alias("paths"))
 
 
 def read_aligned(
@@ -144,22 +161,21 @@ def read_aligned(
 ) -> DataFrame:
     """A slice in the target types, whatever types its files hold.
 
-    The types are taken from one footer of each folder (a folder is written by
-    one job), and folders of one type are one scan; scans of different types are
-    cast and then united. A folder that lacks a required column is an error.
-    The source's folder columns come with the result as ``folder_day`` (NULL above day
-    level). ``keep`` is a further predicate on the folder columns.
+    The footer of every file of the slice is read by tasks, and files of one type are one scan,
+    whatever folders they lie in; scans of different types are cast and then united. A file that
+    lacks a required column is an error. The source's folder columns come with the result as
+    ``folder_day`` (NULL above day level). ``keep`` is a further predicate on the folder columns; no file of
+    other folders is opened.
     """
-    folders = _leaves(spark, slice_folders(spark, root, cab_types, year, month, day))
-    alike: dict[str, list[str]] = defaultdict(list)
-    for folder in folders:
-        stored = spark.read.parquet(folder).schema
-        alike[",".join(sorted(f"{f.name}:{f.dataType.simpleString()}" for f in stored))].append(folder)
+    folders = slice_folders(spark, root, cab_types, year, month, day)
+    groups = []
+    if folders:
+        files = _listed(spark, root, folders)
+        files = files if keep is None else files.where(keep)
+        groups = footer_types(files.where("length > 0")).orderBy("types").collect()
     scans = []
-    for group in alike.values():
-        scan = spark.read.option("basePath", root).parquet(*group)
-        if keep is not None:
-            scan = scan.where(keep)
+    for group in groups:
+        scan = spark.read.option("basePath", root).parquet(*group["paths"])
         levels = set(scan.columns)
         own = F.make_date("year", "month", "day") if {"year", "month", "day"} <= levels else F.lit(None)
         scans.append(align(scan, spec=spec, lenient=lenient, extra=[own.cast("date").alias("folder_day")]))
@@ -189,12 +205,16 @@ def list_files(
 
     ``folders`` below the root restrict what is listed.
     """
+    return _listed(spark, root, folders).drop("path")
+
+
+def _listed(spark: SparkSession, root: str, folders: Sequence[str] | None) -> DataFrame:
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("basePath", root)
         .load(list(folders) if folders else root)
-        .drop("content", "modificationTime", "path")
+        .drop("content", "modificationTime")
     )
     # binaryFile plans one task per few files; names and lengths need far fewer
     return files.coalesce(LISTING_TASKS)
