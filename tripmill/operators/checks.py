@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmill.functions import utc_now
 
@@ -30,6 +31,7 @@ class Check:
     strict: bool = False
     parent: str | None = None
     parent_column: str | None = None
+    max_age: timedelta | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -61,6 +63,11 @@ def relationship(column: str, parent: str, parent_column: str) -> Check:
     return Check("relationship", column, parent=parent, parent_column=parent_column)
 
 
+def freshness(column: str, max_age: timedelta) -> Check:
+    """Fails if the last arrival is older, or there is none."""
+    return Check("freshness", column, max_age=max_age)
+
+
 def _outside(check: Check) -> Column:
     value = F.col(check.column)
     sides = []
@@ -143,29 +150,98 @@ def row_level_results(model: str, df: DataFrame, checks: Sequence[Check]) -> Dat
     return counts.select(F.inline(results))
 
 
+def _text(columns: Sequence[Column], kinds: Sequence[T.DataType]) -> Column:
+    """Values as one text that is equal only where all of them are."""
+    texts = []
+    for value, kind in zip(columns, kinds, strict=True):
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0.0)  # both zeros are one value
+        texts.append(value.cast("string"))
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*[part for t in texts for part in (F.length(t).cast("string"), F.lit(":"), t)])
+
+
 def run_checks(
-    frames: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Check]]
+    frames: Mapping[str, DataFrame],
+    suites: Mapping[str, Sequence[Check]],
+    now: datetime | None = None,
 ) -> DataFrame:
-    """Model, check, column and number of failures for every check of a suite."""
+    """Model, check, column and number of failures for every check of a suite.
+
+    A row gives an entry (check, value) for each check that it concerns: its value for
+    ``unique`` and ``relationship``, none where a row-level check rejects it. Parents give their
+    values as well. One aggregation of all entries answers all checks, so each model is scanned
+    once and there is one shuffle of values; entries are pre-aggregated before it, so a
+    hot value is a row a task. ``now`` is the moment that ``freshness`` looks from.
+    """
+    moment = (utc_now() if now is None else F.lit(str(now))).cast("timestamp_ntz")
+    nothing = F.lit(None)
+
+    def entry(check: int, value: Column | None = None, child: int = 1, arrival: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(check).alias("check"),
+            (nothing if value is None else value).cast("string").alias("value"),
+            F.lit(child).cast("bigint").alias("child"),
+            F.lit(1 - child).alias("parent"),
+            (nothing if arrival is None else arrival).cast("timestamp_ntz").alias("arrival"),
+        )
+
+    known: list[tuple[str, Check]] = []
     parts: list[DataFrame] = []
     for model, checks in suites.items():
         df = frames[model]
-        row_level = [c for c in checks if c.kind in ("not_null", "in_set", "between")]
-        if row_level:
-            parts.append(row_level_results(model, df, row_level))
+        entries = []
         for check in checks:
+            number = len(known)
+            known.append((model, check))
+            own = [F.col(c) for c in check.columns]
+            full = reduce(lambda a, b: a & b, [c.isNotNull() for c in own])
+            kinds = [df.schema[c].dataType for c in check.columns]
             if check.kind == "unique":
-                failures = failing_unique(df, check.columns).agg(F.count(F.lit(1)).alias("n"))
+                entries.append(F.when(full, entry(number, _text(own, kinds))))
             elif check.kind == "relationship":
-                failures = failing_relationship(
-                    df, check.column, frames[check.parent], check.parent_column
-                ).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"))
+                parent = frames[check.parent]
+                kind = parent.schema[check.parent_column].dataType
+                floats = any(isinstance(k, (T.DoubleType, T.FloatType)) for k in (kind, *kinds))
+                common = T.DoubleType() if floats else T.StringType()
+                entries.append(F.when(full, entry(number, _text([own[0].cast(common)], [common]))))
+                theirs = F.col(check.parent_column)
+                parts.append(
+                    parent.where(theirs.isNotNull())
+                    .select(entry(number, _text([theirs.cast(common)], [common]), child=0).alias("e"))
+                    .select("e.*")
+                )
+            elif check.kind == "freshness":
+                entries.append(F.when(full, entry(number, arrival=own[0])))
             else:
-                continue
-            parts.append(
-                failures.select(F.inline(F.array(_result(model, check, F.col("n")))))
-            )
-    return reduce(DataFrame.unionByName, parts)
+                entries.append(F.when(violation(check), entry(number)))
+        parts.append(df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*"))
+    values = reduce(DataFrame.unionByName, parts).groupBy("check", "value").agg(
+        F.sum("child").alias("child"), F.max("parent").alias("parent"), F.max("arrival").alias("arrival")
+    )
+    figures = values.groupBy("check").agg(
+        F.sum("child").alias("rows"),
+        F.count_if(F.col("child") > 1).alias("repeated"),
+        F.sum(F.when(F.col("parent") == 0, F.col("child")).otherwise(0)).alias("orphans"),
+        F.max("arrival").alias("arrival"),
+    )
+    # one row that holds the figures of all checks, those without an entry are missing
+    everything = figures.agg(
+        F.map_from_entries(F.collect_list(F.struct("check", F.struct("rows", "repeated", "orphans", "arrival")))).alias("m")
+    )
+
+    def failures(number: int, check: Check) -> Column:
+        figure = F.try_element_at("m", F.lit(number))
+        if check.kind == "freshness":
+            minutes = F.timestamp_diff("MINUTE", figure["arrival"], moment)
+            late = minutes > check.max_age.total_seconds() / 60
+            return F.when(F.coalesce(late, F.lit(True)), 1).otherwise(0)
+        name = {"unique": "repeated", "relationship": "orphans"}.get(check.kind, "rows")
+        return F.coalesce(figure[name], F.lit(0))
+
+    results = [_result(model, check, failures(i, check)) for i, (model, check) in enumerate(known)]
+    return everything.select(F.inline(F.array(*results)))
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str], model: str = "table") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions import minute_boundaries
 from tripmill.functions.keys import TRIP_KEY
+from tripmill.sinks.tables import written_copy
 
 # Copies of the statistics, and parts a group of submissions is cut into.
 SALTS = 8
@@ -40,22 +41,62 @@ def submission_statistics(staged: DataFrame, keys: Sequence[str] = TRIP_KEY) ->
     )
 
 
+# Bits of the bitmap for each repeated key, and the size beyond which there is none.
+BITS_A_KEY = 16
+MAX_BITMAP_BYTES = 32 << 20
+BITS_A_BITMAP = 8 * 4096
+
+
+def _place(keys: Sequence[str], bits: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+
+
+def key_bitmaps(repeated: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
+    """(bucket, bitmap): a bit for the hash of each key, in bitmaps of 4 KiB."""
+    place = _place(keys, bits)
+    return (
+        repeated.select(F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_bit"))
+        .groupBy("_bucket")
+        .agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    )
+
+
+def maybe_repeated(staged: DataFrame, statistics: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The trips whose key may be in ``statistics``: all of those, and few others.
+
+    The bitmap has 16 bits for each repeated key and is broadcast up to 32 MiB; beyond that all trips
+    are kept, and the join drops those that are single.
+    """
+    bits = max(1, -(-statistics.count() * BITS_A_KEY // BITS_A_BITMAP)) * BITS_A_BITMAP
+    if bits // 8 > MAX_BITMAP_BYTES:
+        return staged
+    place = _place(keys, bits)
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (bit % 8).cast("int")) == 1
+    # bound before the join, so that the hash is made once a row
+    marked = staged.withColumn("_bucket", F.bitmap_bucket_number(place))
+    return marked.join(F.broadcast(key_bitmaps(statistics, keys, bits)), "_bucket").where(is_set).select(*staged.columns)
+
+
 def duplicate_report(
     staged: DataFrame, keys: Sequence[str] = TRIP_KEY, salts: int = SALTS
 ) -> DataFrame:
     """Every submission of a duplicated trip with the statistics of its group.
 
     A key with a NULL part matches nothing. The statistics are aggregated
-    before their shuffle, and are few. The trips meet them by key and salt: the
+    before their shuffle, stored, and are few. Trips whose key is not among them are dropped by
+    a bitmap of key hashes before anything wide is shuffled. The others meet them by key and salt: the
     salt, a hash of what submissions differ in, spreads one group over several
     tasks, and the shuffle on both sides lets AQE split further what hashes
     alike. A hash gives the same salt when a lost task is run again.
     """
-    salted_statistics = submission_statistics(staged, keys).withColumn(
+    statistics = written_copy(submission_statistics(staged, keys), "repeated-keys")
+    salted_statistics = statistics.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     salt = F.pmod(F.xxhash64(*SALT_COLUMNS), F.lit(salts)).cast("int")
-    salted_trips = staged.withColumn("_salt", salt)
+    salted_trips = maybe_repeated(staged, statistics, keys).withColumn("_salt", salt)
     flagged = salted_trips.join(salted_statistics, [*keys, "_salt"], "inner")
     return flagged.select(
         *staged.columns,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tripmill.operators.checks import Check, between, in_set, not_null, relationship, unique
+from datetime import timedelta
+
+from tripmill.operators.checks import Check, between, freshness, in_set, not_null, relationship, unique
 from tripmill.schemas import CAB_TYPES
 
 VENDOR_STATUSES = ("active", "suspended", "inactive")
@@ -81,3 +83,9 @@ SUITES: dict[str, list[Check]] = {
     "snap_vendor": VENDOR_HISTORY,
     "vendor": VENDOR_SEED,
 }
+
+# The models' assertions and the freshness of their source, in one suite.
+WITH_FRESHNESS: dict[str, list[Check]] = {
+    **SUITES,
+    "stg_trip_data": [*STAGED_TRIPS, freshness("ingestion_ts", timedelta(hours=48))],
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.plans.suites import SUITES
+from tripmill.plans.suites import WITH_FRESHNESS
 
 # ---------------------------------------------------------------- shared tables
 
@@ -396,6 +396,12 @@ SELECT *, {MONTH} FROM lake WHERE year(pickup_datetime) <> 1997 OR ({CLEAN_RULE}
 
 # ---------------------------------------------------------------- validation
 
+ORACLES["drift_rows"] = f"""{_with(TRIPS)},
+odd AS (SELECT * EXCLUDE (ingestion_ts, batch_id, source_file, migration_batch_id, engine_type) FROM lake
+  WHERE cab_type = 'green' AND payment_type = 2
+    AND date_trunc('month', pickup_datetime) = TIMESTAMP '1997-03-01 00:00:00')
+SELECT 'source' AS side, count(*) AS copies, * FROM odd GROUP BY ALL
+UNION ALL SELECT 'target' AS side, count(*) AS copies, * REPLACE ('Z' AS store_and_fwd_flag) FROM odd GROUP BY ALL"""
 ORACLES["validation_count"] = f"""{_with(TRIPS)}
 SELECT count(*) AS source_row_count, count(*) AS target_row_count,
   CAST(0 AS BIGINT) AS delta_row_count, TRUE AS matches FROM lake"""
@@ -599,7 +605,7 @@ _MODEL_TABLES = {
 
 def _suite_sql() -> str:
     parts = []
-    for model, checks in SUITES.items():
+    for model, checks in WITH_FRESHNESS.items():
         table = _MODEL_TABLES[model]
         for check in checks:
             column, source = check.column, table
@@ -612,6 +618,11 @@ def _suite_sql() -> str:
                 condition = f"{column} NOT IN ({values})"
             elif check.kind == "relationship":
                 condition = _orphans(column, table, "zones")
+            elif check.kind == "freshness":
+                latest = f"(SELECT max({column}) FROM {table})"
+                age = f"date_diff('minute', {latest}, TIMESTAMP '2024-01-04 06:30:00')"
+                minutes = int(check.max_age.total_seconds() // 60)
+                source, condition = "(SELECT 1)", f"coalesce({age} > {minutes}, TRUE)"
             else:
                 equal = "=" if check.strict else ""
                 sides = []

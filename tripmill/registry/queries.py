@@ -17,6 +17,7 @@ from tripmill.operators.align import Lineage, align, count_cast_failures
 from tripmill.operators.compare import compare_metrics
 from tripmill.operators.dedup import keep_latest, latest_first
 from tripmill.operators.dimensions import dim_date, dim_zone
+from tripmill.operators.drift import row_drift
 from tripmill.operators.duplicates import duplicate_report
 from tripmill.operators.enrich import (
     FACT_COLUMNS,
@@ -55,7 +56,7 @@ from tripmill.operators.quality import (
 from tripmill.operators.slicing import new_since, slice_day, slice_year
 from tripmill.operators.staging import stage_trips, stage_vendors
 from tripmill.plans.backfill import backfill
-from tripmill.plans.suites import SUITES
+from tripmill.plans.suites import WITH_FRESHNESS
 from tripmill.plans.trip_build import (
     BY_MONTH,
     FACT_ORDER,
@@ -93,12 +94,13 @@ from tripmill.sources import (
     slice_volume,
 )
 from tripmill.streaming import (
+    first_of_each,
     fold_deltas,
+    fold_new,
     read_counts,
     split_late,
     stream_counts,
     stream_deltas,
-    stream_insert_new,
     stream_split,
     stream_stage,
     stream_to_table,
@@ -480,6 +482,24 @@ def promote_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- validation
 
 
+@query
+def drift_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a copy of the lake that differ, where all counts and sums agree."""
+
+    def write(path: str) -> None:
+        odd = (F.col("cab_type") == "green") & (F.col("payment_type") == 2) & (
+            F.trunc("pickup_datetime", "MM") == F.lit("1997-03-01").cast("date")
+        )
+        lake = landed_lake(spark, sf_dir)
+        changed = lake.withColumn("store_and_fwd_flag", F.when(odd, "Z").otherwise(F.col("store_and_fwd_flag")))
+        land(changed, path, BY_MONTH.columns)
+
+    lake = landed_lake(spark, sf_dir)
+    copy = read_table(spark, fx.kept_path(spark, sf_dir, "drifted", write), lake.schema)
+    drift = row_drift(lake, copy, ["vendorid", "pulocationid", "dolocationid"], "pickup_datetime", BY_MONTH.columns)
+    return drift.select("side", "copies", *[c.name for c in TRIP_COLUMNS])
+
+
 @query
 def validation_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_metrics(fx.lake_trips(spark, sf_dir), landed_lake(spark, sf_dir))
@@ -790,7 +810,7 @@ def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
         "snap_vendor": vendor_history(spark, sf_dir),
         "vendor": stage_vendors(fx.source_vendors(spark, sf_dir)),
     }
-    return checks.run_checks(frames, SUITES)
+    return checks.run_checks(frames, WITH_FRESHNESS, now=datetime(2024, 1, 4, 6, 30))
 
 
 # ---------------------------------------------------------------- key figures
@@ -911,15 +931,16 @@ def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys that remain after repeated submissions were dropped from the stream."""
+    """Keys that remain after repeated submissions were dropped from the stream.
+
+    Each batch stores its own keys; two folds bring them into the table.
+    """
     clean, _ = stream_stage(_event_stream(spark, sf_dir))
-    keyed = clean.withColumn("trip_id", surrogate_key(*TRIP_KEY))
-    keys = BY_MONTH.add_to(keyed.select("trip_id", *TRIP_KEY))
-    path = scratch_path(spark, "stream-keys")
-    stream_insert_new(
-        keys, path, scratch_path(spark, "stream-keys-checkpoint"), "trip_id", BY_MONTH.columns
-    )
-    return read_table(spark, path, keys.schema).select("trip_id", *TRIP_KEY)
+    columns = BY_MONTH.add_to(clean.withColumn("trip_id", surrogate_key(*TRIP_KEY)).select("trip_id", *TRIP_KEY))
+    path, deltas = (scratch_path(spark, label) for label in ("stream-keys", "stream-keys-deltas"))
+    stream_deltas(columns, first_of_each("trip_id"), deltas, scratch_path(spark, "stream-keys-checkpoint"))
+    fold_new(spark, deltas, columns.schema, path, "trip_id", BY_MONTH.columns)
+    return read_table(spark, path, columns.schema).select("trip_id", *TRIP_KEY)
 
 
 @query

@@ -1,7 +1,9 @@
 """Structured Streaming: staging, upsert, windows, deduplication, late rows."""
 
 from tripmill.streaming.trips import (
+    first_of_each,
     fold_deltas,
+    fold_new,
     read_counts,
     split_late,
     stream_counts,
@@ -16,7 +18,9 @@ from tripmill.streaming.trips import (
 )
 
 __all__ = [
+    "first_of_each",
     "fold_deltas",
+    "fold_new",
     "read_counts",
     "split_late",
     "stream_counts",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,6 +242,42 @@ def fold_deltas(
     return rows
 
 
+def first_of_each(key: str) -> Callable[[DataFrame], DataFrame]:
+    """A transform that keeps one row of each key of a batch."""
+    return lambda batch: keep_latest(batch, [key], latest_first(batch, [key], ()))
+
+
+def fold_new(
+    spark: SparkSession,
+    deltas: str,
+    schema: T.StructType,
+    table: str,
+    key: str,
+    partition_by: Sequence[str],
+) -> int:
+    """Append the rows of all stored deltas whose key the table does not hold, then drop the deltas.
+
+    Of a key's rows the first batch's stays, so the first arrival wins. The table's keys are read
+    once a fold, not once a batch, and only those of the partitions that the deltas touch; nothing is
+    lost behind a watermark. Repeating an interrupted run adds nothing. The partition columns must be
+    functions of the key. Returns the rows appended.
+    """
+    if not path_exists(spark, deltas):
+        return 0
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("micro_batch", T.LongType())])).parquet(deltas)
+    first = stored.groupBy(key).agg(F.min_by(F.struct(*schema.names), "micro_batch").alias("row"))
+    new = first.select("row.*").select(*schema.names)
+    if path_exists(spark, table):
+        new = written_copy(new, "fold-new")
+        known = read_table(spark, table, schema).select(key, *partition_by)
+        new = new.join(touched_partitions(known, new, partition_by).select(key), key, "left_anti")
+    counted = Observation()
+    new = new.select(*schema.names).observe(counted, F.count(F.lit(1)).alias("rows"))
+    new.write.mode("append").partitionBy(*partition_by).parquet(table)
+    delete_folder(spark, deltas)
+    return counted.get["rows"]
+
+
 def stream_upsert(
     stream: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
