@@ -38,7 +38,7 @@ from tripmill.llm.words import Words
 
 SHINGLE = 5
 #: The list of frequent tokens holds at most this many; it is the only thing broadcast unmeasured.
-MAX_FREQUENT = 1 << 20
+MAX_FREQUENT = 1 << 22
 LEAST_FREQUENT = 16
 #: Tokens of unsettled frequent lists are combined in pairs where no member has more of them.
 MAX_COMBINED = 48

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import in_slices, sized_broadcast, stored
+from tripmill.llm.common import in_slices, sized_broadcast, skewed_join, stored
 from tripmill.llm.induced_sort import permuted_common_prefixes, suffix_array
 
 LENGTH = 400
@@ -202,16 +202,22 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, max_segments: int = MAX_
     )
     rows = stored(_blocks(docs, length), "suffix-blocks")
     each = rows.select("k", "t", F.inline("blocks"))
-    repeated = each.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
-    kept_blocks = each.join(repeated, "key").groupBy("k", "t").agg(F.collect_set(F.struct("key", "s", "n")).alias("blocks"))
+    counted = each.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = stored(counted, "suffix-repeated")
+    n_repeated = repeated.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    # a passage that a third of all documents share is one hot key
+    kept_blocks = skewed_join(each, repeated, ["key"], "_n", n_repeated).groupBy("k", "t").agg(F.collect_set(F.struct("key", "s", "n")).alias("blocks"))
     candidates = stored(docs.join(kept_blocks, ["k", "t"]), "suffix-candidates")
 
     occurrences = stored(_segment_rows(candidates, length, False), "suffix-occurrences")
-    segments = occurrences.groupBy("key", "seg").agg(F.max("n").alias("n"))
-    keys = stored(
-        segments.groupBy("key").agg(F.count(F.lit(1)).alias("different"), F.sum(F.col("n") + (length - 1)).alias("bytes")).where("different > 1"),
+    segments = stored(occurrences.groupBy("key", "seg").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows")), "suffix-segments")
+    every = stored(
+        segments.groupBy("key").agg(
+            F.count(F.lit(1)).alias("different"), F.sum(F.col("n") + (length - 1)).alias("bytes"), F.sum("rows").alias("rows")
+        ),
         "suffix-keys",
     )
+    keys = every.where("different > 1")
     n_keys, total = keys.agg(F.count(F.lit(1)), F.sum("bytes")).first()
     shards = max(1, -(-(total or 0) // SHARD_BYTES))
     bodies = _segment_rows(candidates, length, True).join(sized_broadcast(keys.select("key", "different"), 24, n_keys), "key")
@@ -247,10 +253,14 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, max_segments: int = MAX_
     )
     found = sorted_.unionByName(split)
     # a key with one segment: every string of it occurs as often as the key
-    alone = occurrences.join(keys.select("key"), "key", "left_anti").select("k", "t", "s", F.array(F.lit(0), F.col("n")).alias("runs"))
+    single = segments.join(every.where("different = 1").select("key"), "key")
+    found = found.join(segments.select("key", "seg", "rows"), ["key", "seg"]).unionByName(
+        single.select("key", "seg", F.array(F.lit(0), F.col("n")).alias("runs"), "rows")
+    )
+    n_rows = every.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     spans = (
-        occurrences.join(found, ["key", "seg"]).select("k", "t", "s", "runs")
-        .unionByName(alone)
+        skewed_join(occurrences, stored(found, "suffix-found"), ["key", "seg"], "rows", n_rows)
+        .select("k", "t", "s", "runs")
         .groupBy("k", "t")
         .agg(F.collect_list(F.struct("s", "runs")).alias("found"))
     )
