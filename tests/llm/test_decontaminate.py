@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from conftest import plan_text
 from support import SF_DIR, docs  # noqa: F401
 from tripmill.llm.decontaminate import decontaminate
 
@@ -118,3 +119,10 @@ def test_proximity_matches_equal_brute_force(spark, docs, cases):
     assert {r.doc_id: r.near_items for r in got} == {k: near(t, items) for k, t in enumerate(texts)}
     assert result(decontaminate(docs(*texts), spark.createDataFrame(items, "item_id long, text string"))) == {k: brute(t, items) for k, t in enumerate(texts)}
     assert all(r.near_items and r.near_spans for r in got if r.doc_id >= 20)
+
+
+def test_a_filter_on_the_verdict_does_not_repeat_the_search(spark, docs):
+    """Words are split once for the verification, and the filter reads what was found."""
+    found = decontaminate(docs("a b c"), spark.createDataFrame([(1, "a b c")], "item_id long, text string"))
+    plan = plan_text(found.where("not contaminated").select("doc_id"))
+    assert plan.count("split(") == 1

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import re
+import random
 import duckdb
 
+from conftest import plan_text
 from support import SCHEMA, docs, sample, sampled  # noqa: F401
 from tripmill.llm.license_scan import TEMPLATES, complete_texts, license_scan
 from tripmill.llm.line_dedup import line_dedup
@@ -72,3 +75,51 @@ def test_passages_inside_documents(docs):
     assert [names[k] for k in (0, 1, 3, 5, 6, 7)] == [{"MIT"}, {"MIT"}, {"GPL-3.0"}, set(), set(), set()]
     assert "GPL-3.0" in names[2] and "Apache-2.0" in names[4]
     assert any(p.start == 2 and p.dice == 1.0 for p in got[0])
+
+
+def brute_passages(text, templates, least):
+    words = re.findall(r"[a-z0-9]+", text)
+    pairs = list(zip(words, words[1:]))
+    out = []
+    for name, template in sorted(templates):
+        w = template.split()
+        own = set(zip(w, w[1:]))
+        kept = []
+        for i, pair in enumerate(pairs):
+            if pair not in own:
+                continue
+            window = set(pairs[i : i + len(w) - 1])
+            dice = 2 * len(window & own) / (len(window) + len(own))
+            if dice < least:
+                continue
+            found = (name, i, min(i + len(w), len(words)), dice)
+            if not kept or i >= kept[-1][2]:
+                kept.append(found)
+            elif dice > kept[-1][3]:
+                kept[-1] = found
+        out += kept
+    return sorted(out)
+
+
+def test_passages_equal_brute_force(docs):
+    """Recurring bigrams, two copies of a passage, copies side by side, and damaged ones."""
+    rng = random.Random(8)
+    templates = [("rep", "a b a b c d e f g h"), ("plain", "one two three four five six"), ("twice", "x y x y x y z w"), ("pair", "q r")]
+    texts = ["a b a b " + "a b a b c d e f g h", "one two three four five six and one two three four five six", ("one two three four five six " * 3).strip()]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            words = rng.choice(templates)[1].split()
+            for _ in range(rng.randint(0, 2)):
+                words[rng.randrange(len(words))] = rng.choice(["a", "b", "one", "x", "junk"])
+            parts.append(" ".join(words) if rng.random() < 0.7 else " ".join(rng.choices("a b c x y one junk".split(), k=5)))
+        texts.append("\n".join(parts))
+    got = {r.doc_id: sorted((p.license, p.start, p.end, p.dice) for p in r.passages) for r in license_scan(docs(*texts), templates, complete=[]).collect()}
+    assert got == {k: brute_passages(t, templates, 0.75) for k, t in enumerate(texts)}
+    assert [p[0] for p in got[0]] == ["rep"] and len([p for p in got[1] if p[0] == "plain"]) == 2 and len(got[2]) == 3
+
+
+def test_filters_above_the_scan_do_not_repeat_it(spark, docs):
+    """Words and matches are computed once a row, also where a filter reads a result."""
+    plan = plan_text(license_scan(docs("a b")).where("n_matches > 0").select("doc_id", "n_matches"))
+    assert plan.split("== Initial Plan ==")[0].count("split(") <= 2

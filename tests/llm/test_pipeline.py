@@ -13,7 +13,7 @@ from tripmill.llm.queries import REGISTRY
 def test_every_operator_is_registered():
     names = set(contract.queries())
     assert set(REGISTRY) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY if n.startswith("op")) == list(range(1, 14))
     assert set(ORACLES) <= names
 
 

@@ -75,6 +75,29 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "passages")
 
 
+@register
+def license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of the licence scan: notices and complete texts inside documents, a row each."""
+    from pyspark.sql import functions as F
+
+    from tripmill.llm.license_scan import license_scan
+
+    found = license_scan(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.inline("passages"))
+
+
+@register
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of decontamination: items near which a document comes, and the words of the matches."""
+    from pyspark.sql import functions as F
+
+    from tripmill.llm.decontaminate import decontaminate
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.size("near_items") > 0)
+    return found.select("doc_id", "contaminated", F.array_join("near_items", ",").alias("items"), F.inline("near_spans"))
+
+
 @register
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmill.llm.html_extract import extract

@@ -35,7 +35,7 @@ LENGTH = 400
 GRAM = 32
 #: Distances from a start to its anchor that share a block.
 CLASS = 128
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 MAX_SEGMENTS = 4096
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
