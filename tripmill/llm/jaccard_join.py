@@ -38,7 +38,7 @@ from tripmill.llm.words import Words
 
 SHINGLE = 5
 #: The list of frequent tokens holds at most this many; it is the only thing broadcast unmeasured.
-MAX_FREQUENT = 1 << 22
+MAX_FREQUENT = 1 << 20
 LEAST_FREQUENT = 16
 #: Tokens of unsettled frequent lists are combined in pairs where no member has more of them.
 MAX_COMBINED = 48
@@ -140,6 +140,27 @@ def _frequent(blocks: DataFrame, n_tokens: int) -> tuple[np.ndarray, np.ndarray]
     return tokens[order], ranks[order]
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Bytes of numbers by significance: sorted or small numbers then have long runs of equal bytes."""
+    return np.ascontiguousarray(numbers.view("u1").reshape(-1, numbers.itemsize).T).tobytes()
+
+
+def _from_planes(raw: memoryview, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, "u1").reshape(size, -1).T).view(kind).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Keys as a table of the different ones and a place in it for each."""
+    table, places = np.unique(keys, return_inverse=True)
+    return np.int64(len(table)).tobytes() + table.tobytes() + _planes(places.astype("<u4"))
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    n = int(np.frombuffer(raw, "i8", 1)[0])
+    return np.frombuffer(raw, "i8", n, 8)[_from_planes(memoryview(raw)[8 + 8 * n :], "<u4")]
+
+
 _SETS_DDL = "doc_id long, n long, key long, range int, tokens binary, counts binary"
 _POSTINGS_DDL = "kind int, range int, tokens binary, keys binary, n long, frequent int"
 
@@ -205,7 +226,7 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
                 at = np.searchsorted(tokens, np.arange(1, 1 << bits, dtype="u8") << np.uint64(64 - bits)) if bits else []
                 for r, (t, k) in enumerate(zip(np.split(tokens, at), np.split(keys, at), strict=True)):
                     if len(t):
-                        rows.append((0, r, t.tobytes(), k.tobytes()))
+                        rows.append((0, r, _planes(t), _packed_keys(k)))
             if sizes:
                 # sizes beside keys, as in the other kinds
                 columns = np.array(sizes, "i8")
@@ -249,8 +270,8 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
 
 def _rare_lists(frame: pd.DataFrame) -> pd.DataFrame:
     """Lists of at least two classes, each once with the number of tokens that have it."""
-    tokens = np.concatenate([np.frombuffer(t, "u8") for t in frame["tokens"]])
-    keys = np.concatenate([np.frombuffer(k, "i8") for k in frame["keys"]])
+    tokens = np.concatenate([_from_planes(t, "u8") for t in frame["tokens"]])
+    keys = np.concatenate([_unpacked_keys(k) for k in frame["keys"]])
     order = np.lexsort((keys, tokens))
     tokens, keys = tokens[order], keys[order]
     fresh = np.r_[True, (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])]

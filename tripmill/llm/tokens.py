@@ -22,8 +22,8 @@ import pyarrow as pa
 
 from tripmill.llm.spans import equal, firsts, hashes, in_eights, utf8
 
-MAX_PIECES = 3_000_000
-MAX_BYTES = 64 << 20
+MAX_PIECES = 1_500_000
+MAX_BYTES = 32 << 20
 #: Pieces that are encoded as one text.
 _JOINED = 2000
 
