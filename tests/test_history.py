@@ -1,12 +1,24 @@
 from __future__ import annotations
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
+from itertools import permutations
 
 import pytest
-
-from tripmill.operators.history import dim_as_of, dim_current, open_versions, scd2_check
-from tripmill.plans.trip_build import read_history, refresh_history
+from conftest import plan_text
+
+from tripmill.operators.history import (
+    at_version,
+    dim_as_of,
+    dim_current,
+    history_of_changes,
+    history_schema,
+    open_versions,
+    scd2_check,
+)
+from tripmill.plans.trip_build import read_history, refresh_changes, refresh_history
 from tripmill.schemas import VENDORS
+from tripmill.sources import read_table
 
 T1, T2, T3 = (datetime(2024, m, 1) for m in (1, 2, 3))
 TRACKED = ["vendor_name", "status"]
@@ -85,3 +97,127 @@ def test_stored_history(spark, vendors, tmp_path):
         (1, "active", T2, datetime.max),
         (1, "suspended", T1, T2),
     ]
+
+
+# ---------------------------------------------------------------- changes in any order
+
+CHANGES = "vendor_id int, vendor_name string, status string, at timestamp_ntz"
+
+
+@pytest.fixture
+def changes(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), CHANGES)
+
+
+def by_hand(rows) -> list[tuple]:
+    """Versions of observations, key by key in order of time."""
+    best: dict = {}
+    for key, name, status, at in rows:
+        value = ((name is not None, name or ""), (status is not None, status or ""))
+        best[key, at] = max(best.get((key, at), value), value)
+    out = []
+    for key in {k for k, _ in best}:
+        times = sorted(at for k, at in best if k == key)
+        kept = [t for i, t in enumerate(times) if i == 0 or best[key, t] != best[key, times[i - 1]]]
+        for i, t in enumerate(kept):
+            value = [v if known else None for known, v in best[key, t]]
+            out.append((key, *value, t, kept[i + 1] if i + 1 < len(kept) else None))
+    return sorted(out, key=repr)
+
+
+def as_rows(history) -> list[tuple]:
+    columns = ["vendor_id", "vendor_name", "status", "dbt_valid_from", "dbt_valid_to"]
+    return sorted((tuple(r) for r in history.select(*columns).collect()), key=repr)
+
+
+def random_changes(n: int, seed: int) -> list[tuple]:
+    rng = random.Random(seed)
+    return [
+        (rng.choice([1, 1, 1, 2, 3, None]), rng.choice(["A", "B"]), rng.choice(["x", "y", None]),
+         T1 + timedelta(days=rng.randrange(120), hours=rng.choice([0, 12])))
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_history_of_changes_equals_brute_force(changes, seed):
+    rows = random_changes(150, seed)
+    assert as_rows(history_of_changes(changes(*rows), "vendor_id", TRACKED, "at")) == by_hand(rows)
+
+
+def test_late_change_between_two_equal_observations(changes):
+    rows = [(1, "A", "x", T1), (1, "A", "x", T3), (1, "A", "y", T2)]
+    assert as_rows(history_of_changes(changes(*rows), "vendor_id", TRACKED, "at")) == [
+        (1, "A", "x", T1, T2), (1, "A", "x", T3, None), (1, "A", "y", T2, T3)
+    ]
+
+
+def test_history_of_no_changes_and_of_a_change_without_time(changes):
+    assert history_of_changes(changes(), "vendor_id", TRACKED, "at").count() == 0
+    with pytest.raises(Exception, match="a change without at"):
+        history_of_changes(changes((1, "A", "x", None)), "vendor_id", TRACKED, "at").collect()
+
+
+def test_batches_in_any_order_give_one_history(spark, changes, tmp_path):
+    rows = random_changes(40, 9)
+    batches = [rows[:15], rows[15:25], rows[25:]]
+    for i, order in enumerate(permutations(range(3))):
+        if i % 2:
+            continue
+        paths = [str(tmp_path / f"{name}{i}") for name in ("observations", "history")]
+        for b in (*order, order[0]):
+            refresh_changes(spark, changes(*batches[b]), *paths, "vendor_id", TRACKED, "at", buckets=2)
+        stored = read_table(spark, paths[1], history_schema(VENDORS))
+        assert as_rows(stored) == by_hand(rows)
+
+
+def test_untouched_key_buckets_keep_their_files(spark, changes, tmp_path):
+    paths = [str(tmp_path / name) for name in ("observations", "history")]
+    refresh_changes(spark, changes(*[(k, "A", "x", T1) for k in range(20)]), *paths, "vendor_id", TRACKED, "at", 8)
+    files = lambda: set(read_table(spark, paths[1], history_schema(VENDORS)).inputFiles())
+    before = files()
+    refresh_changes(spark, changes((3, "A", "y", T2)), *paths, "vendor_id", TRACKED, "at", 8)
+    kept = before & files()
+    assert kept and len({f.split("/")[-2] for f in before - kept}) == 1
+
+
+# ---------------------------------------------------------------- facts at their version
+
+
+@pytest.fixture
+def trips_at(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), "trip int, vendor_id int, at timestamp_ntz, status string")
+
+
+@pytest.mark.parametrize("bucket", ["day", "month"])
+def test_facts_at_their_version(changes, trips_at, bucket):
+    rows = [r for r in random_changes(60, 4) if r[0] is not None]
+    history = history_of_changes(changes(*rows), "vendor_id", TRACKED, "at")
+    trips = [
+        (i, (1, 2, 3, 4, None)[i % 5], T1 + timedelta(hours=12 * (i * 7 % 300) - 24), "own") for i in range(200)
+    ] + [(200, 1, None, "own")]
+    got = {r["trip"]: r for r in at_version(trips_at(*trips), history, "vendor_id", "at", ["status"], bucket).collect()}
+    assert len(got) == len(trips)
+    versions = by_hand(rows)
+    for trip, vendor, at, status in trips:
+        valid = [
+            (v[2], v[3]) for v in versions
+            if at is not None and v[0] == vendor and v[3] <= at and (v[4] is None or at < v[4])
+        ]
+        assert [(got[trip]["version_status"], got[trip]["version_from"])] == (valid or [(None, None)])
+        assert got[trip]["status"] == status
+
+
+def test_facts_at_version_join_by_key_and_bucket(changes, trips_at):
+    history = history_of_changes(changes((1, "A", "x", T1)), "vendor_id", TRACKED, "at")
+    plan = plan_text(at_version(trips_at((1, 1, T2, "own")), history, "vendor_id", "at", ["status"]))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_no_facts_and_no_versions(changes, trips_at):
+    history = history_of_changes(changes(), "vendor_id", TRACKED, "at")
+    assert at_version(trips_at(), history, "vendor_id", "at", ["status"]).count() == 0
+    some = at_version(trips_at((1, 1, T2, "own")), history, "vendor_id", "at", ["status"])
+    assert some.first()["version_from"] is None
+    with pytest.raises(ValueError, match="bucket"):
+        at_version(trips_at(), history, "vendor_id", "at", ["status"], "week")

@@ -7,8 +7,17 @@ from conftest import same_rows, values
 from pyspark.sql import functions as F
 
 from tripmill.operators.enrich import core_trips, fact_trips
+from tripmill.operators.kpi import cumulative_of_partials, cumulative_trips, daily_partials, kpis_of_partials, trip_kpis
 from tripmill.operators.slicing import new_since, slice_by_time, slice_day
-from tripmill.plans.trip_build import BY_DAY, CORE_ORDER, FACT_ORDER, refresh_core, refresh_fact
+from tripmill.plans.trip_build import (
+    BY_DAY,
+    CORE_ORDER,
+    FACT_ORDER,
+    read_mark,
+    refresh_core,
+    refresh_fact,
+    refresh_partials,
+)
 from tripmill.sinks import sync_schema, upsert
 from tripmill.sources import read_table
 
@@ -213,3 +222,76 @@ def test_arrivals_are_utc_in_every_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert abs((here - there).total_seconds()) < 600
+
+
+# ---------------------------------------------------------------- kept marks
+
+
+def test_kept_mark_reads_no_stored_trip(spark, staged, zones, tmp_path, core_table):
+    path, marks = str(tmp_path / "core"), str(tmp_path / "marks")
+    assert read_mark(spark, marks) is None
+    refresh_core(staged(submission(FIRST, 5, 1.0)), zones, path, marks=marks)
+    assert read_mark(spark, marks) == FIRST
+    # a stored trip of a later arrival would move a mark that is asked of the table
+    later = submission(THIRD, 5, 9.0, vendorid=2, pickup_datetime=datetime(2024, 1, 9))
+    BY_DAY.add_to(core_trips(staged({**later, "dropoff_datetime": datetime(2024, 1, 9, 1)}), zones)).write.mode(
+        "append").partitionBy(*BY_DAY.columns).parquet(path)
+    both = staged(submission(FIRST, 5, 1.0), submission(SECOND, 5, 2.0, vendorid=3))
+    refresh_core(both, zones, path, marks=marks)
+    assert values(core_table(path), "total_amount") == [1.0, 2.0, 9.0]
+    assert read_mark(spark, marks) == SECOND
+
+
+def test_kept_mark_survives_an_empty_batch_and_rows_without_arrival(spark, staged, zones, tmp_path, core_table):
+    path, marks = str(tmp_path / "core"), str(tmp_path / "marks")
+    rows = staged(submission(SECOND, 5, 1.0))
+    refresh_core(rows, zones, path, marks=marks)
+    assert refresh_core(rows, zones, path, marks=marks) == 0
+    refresh_core(staged(submission(None, 5, 3.0, vendorid=4)), zones, path, marks=marks)
+    assert values(core_table(path), "total_amount") == [1.0, 3.0]
+    assert read_mark(spark, marks) == SECOND
+
+
+# ---------------------------------------------------------------- kept partials
+
+
+def day_trips(day: int, arrived: datetime, *amounts: float) -> list[dict]:
+    start = datetime(2024, 1, day, 8)
+    return [
+        submission(arrived, 5, a, pickup_datetime=start, dropoff_datetime=start + timedelta(minutes=7), pulocationid=i)
+        for i, a in enumerate(amounts)
+    ]
+
+
+def test_partials_follow_late_trips_and_leave_other_days(spark, staged, zones, tmp_path):
+    path = str(tmp_path / "partials")
+    first = [*day_trips(4, FIRST, 1.0, 2.0), *day_trips(5, FIRST, 3.0)]
+    late = day_trips(4, SECOND, 10.0)
+    facts = lambda rows: BY_DAY.add_to(fact_trips(core_trips(staged(*rows), zones)))
+    schema = daily_partials(facts(first), BY_DAY.columns).schema
+    refresh_partials(facts(first), staged(*first), path)
+    before = {f for f in read_table(spark, path, schema).inputFiles() if "2024-01-05" in f}
+    # the late trip replaces one of the first two
+    refresh_partials(facts([*first, *late]), staged(*late), path)
+    refresh_partials(facts([*first, *late]), staged(*late), path)
+    stored = read_table(spark, path, schema)
+    assert before and before <= set(stored.inputFiles())
+    trips = facts([*first, *late])
+    assert same_rows(kpis_of_partials(stored), trip_kpis(trips))
+    assert same_rows(kpis_of_partials(stored, ["cab_type"]), trip_kpis(trips, ["cab_type"]))
+    assert same_rows(cumulative_of_partials(stored), cumulative_trips(trips, "day"))
+
+
+def test_partials_of_a_day_without_trips_are_gone(spark, staged, zones, tmp_path):
+    path = str(tmp_path / "partials")
+    rows = [*day_trips(4, FIRST, 1.0), *day_trips(5, FIRST, 3.0)]
+    facts = BY_DAY.add_to(fact_trips(core_trips(staged(*rows), zones)))
+    refresh_partials(facts, staged(*rows), path)
+    refresh_partials(facts.where("pickup_date <> '2024-01-04'"), staged(*rows[:1]), path)
+    stored = read_table(spark, path, daily_partials(facts, BY_DAY.columns).schema)
+    assert [(str(r["pickup_date_key"]), r["trip_count"]) for r in stored.collect()] == [("2024-01-05", 1)]
+
+
+def test_figures_of_no_partials(staged, zones):
+    facts = fact_trips(core_trips(staged({}), zones)).limit(0)
+    assert same_rows(kpis_of_partials(daily_partials(facts)), trip_kpis(facts))

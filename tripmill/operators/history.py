@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.functions import snapshot_id, utc_now
+from tripmill.functions import snapshot_id, truncate, utc_now
 from tripmill.schemas import struct
 
 # The history columns added to the tracked row.
@@ -89,6 +89,95 @@ def scd2_check(
     return closed.unionByName(live)
 
 
+def _with_neighbour(rows: DataFrame, key: str, at: str, value: str, ahead: bool) -> DataFrame:
+    """``rows`` with ``_near``: ``value`` of the key's row before, or behind if ``ahead``, in order of ``at``.
+
+    Rows are sorted within a key and month, and the months of a key, one row each, within the key.
+    So a key with very many changes is spread over as many tasks as it has months.
+    """
+    step, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
+    month = truncate(F.col(at), "month")
+    boxed = rows.withColumns({"_month": month, "_value": F.struct(value)})
+    months = boxed.groupBy(key, "_month").agg(edge("_value", at).alias("_edge"))
+    across = Window.partitionBy(key).orderBy("_month")
+    edges = months.select(
+        F.col(key).alias("_edge_key"), F.col("_month").alias("_edge_month"), step("_edge").over(across).alias("_edge")
+    )
+    within = Window.partitionBy(key, "_month").orderBy(at)
+    inner = boxed.withColumn("_inner", step("_value").over(within))
+    same = F.col(key).eqNullSafe(F.col("_edge_key")) & (F.col("_month") == F.col("_edge_month"))
+    near = F.coalesce("_inner", "_edge")
+    return inner.join(edges, same).select(*rows.columns, near[value].alias("_near"), near.isNotNull().alias("_has_near"))
+
+
+def history_of_changes(changes: DataFrame, key: str, tracked: Sequence[str], at: str) -> DataFrame:
+    """History from all observations of rows: ``key``, ``tracked`` columns, and ``at``, when they held.
+
+    The order of the rows does not matter. An observation equal to the one before it in time opens no
+    version. Of several at one moment the greatest in order of ``tracked`` counts (NULL is least). A
+    NULL key is a key like any other; an observation without a time is an error.
+    """
+    known = F.coalesce(F.col(at), F.raise_error(F.lit(f"a change without {at}")).cast("timestamp_ntz"))
+    rows = (
+        changes.select(F.col(key), known.alias("_at"), F.struct(*tracked).alias("_row"))
+        .groupBy(key, "_at").agg(F.max("_row").alias("_row"))
+    )
+    opening = _with_neighbour(rows, key, "_at", "_row", ahead=False).where(
+        ~(F.col("_has_near") & F.col("_row").eqNullSafe(F.col("_near")))
+    ).select(key, "_at", "_row")
+    closed = _with_neighbour(opening, key, "_at", "_at", ahead=True)
+    return closed.select(
+        F.col(key),
+        *[F.col("_row")[c].alias(c) for c in tracked],
+        snapshot_id(F.col(key), F.col("_at")).alias("dbt_scd_id"),
+        F.col("_at").alias("dbt_valid_from"),
+        F.col("_near").alias("dbt_valid_to"),
+        F.col("_at").alias("dbt_updated_at"),
+    )
+
+
+# Widths of the buckets in which facts and versions meet.
+VERSION_BUCKETS = {"day": "INTERVAL 1 DAY", "month": "INTERVAL 1 MONTH"}
+
+
+def at_version(
+    facts: DataFrame, history: DataFrame, key: str, at: str, columns: Sequence[str], bucket: str = "day"
+) -> DataFrame:
+    """``facts`` with the ``columns`` of the version that was valid at ``at``, and its ``version_from``.
+
+    A version is laid into each day (or month) that it covers within the time of the facts, so both meet
+    by key and bucket: an equi-join, which Spark broadcasts by measured size or shuffles, splitting hot
+    pairs. ``version_*`` columns are NULL where no version was valid, or key or time is NULL. Versions
+    of a key must not overlap, as histories here never do. Buckets should be about as long as versions last.
+    """
+    if bucket not in VERSION_BUCKETS:
+        raise ValueError(f"unknown bucket {bucket!r}")
+    names = {c: f"version_{c}" for c in columns}
+    first, last = facts.agg(F.min(at), F.max(at)).first()
+    start, end = F.col("dbt_valid_from"), F.col("dbt_valid_to")
+    low, high = (F.lit(str(v) if v else None).cast("timestamp_ntz") for v in (first, last))
+    relevant = history.where((start <= high) & (end.isNull() | ((end > low) & (end > start))))
+    covered = F.sequence(
+        truncate(F.greatest(start, low), bucket).cast("date"),
+        truncate(F.least(F.coalesce(end, high), high), bucket).cast("date"),
+        F.expr(VERSION_BUCKETS[bucket]),
+    )
+    versions = relevant.select(
+        F.col(key).alias("_version_key"),
+        start.alias("version_from"),
+        end.alias("_version_to"),
+        *[F.col(c).alias(n) for c, n in names.items()],
+        F.explode(covered).alias("_version_bucket"),
+    )
+    valid = (
+        (F.col(key) == F.col("_version_key"))
+        & (truncate(F.col(at), bucket).cast("date") == F.col("_version_bucket"))
+        & (F.col("version_from") <= F.col(at))
+        & (F.col("_version_to").isNull() | (F.col(at) < F.col("_version_to")))
+    )
+    return facts.join(versions, valid, "left").select(*[facts[c] for c in facts.columns], "version_from", *names.values())
+
+
 def dim_current(history: DataFrame) -> DataFrame:
     """Open versions with plain names for the validity columns."""
     return _renamed(history.where(F.col("dbt_valid_to").isNull()))

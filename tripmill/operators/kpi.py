@@ -21,6 +21,38 @@ def trip_kpis(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def daily_partials(fact: DataFrame, by: Sequence[str] = ("cab_type",)) -> DataFrame:
+    """Figures of a pickup day that add up over days and groups; ``fact`` may be any part made of whole days."""
+    minutes = F.col("trip_duration_minutes")
+    return fact.groupBy(*dict.fromkeys([*by, "pickup_date_key"])).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum("fare_amount").alias("total_fare_revenue"),
+        F.sum("total_amount").alias("total_amount"),
+        F.sum(minutes).alias("trip_minutes"),
+        F.count(minutes).alias("timed_trips"),
+        F.sum("passenger_count").alias("passengers_carried"),
+    )
+
+
+def kpis_of_partials(partials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The figures of ``trip_kpis`` from daily partials instead of trips."""
+    return partials.groupBy(*by).agg(
+        F.coalesce(F.sum("trip_count"), F.lit(0)).alias("trip_count"),
+        F.sum("total_fare_revenue").alias("total_fare_revenue"),
+        F.sum("total_amount").alias("total_amount"),
+        (F.sum("trip_minutes") / F.nullif(F.sum("timed_trips"), F.lit(0))).alias("avg_trip_minutes"),
+        F.sum("passengers_carried").alias("passengers_carried"),
+    )
+
+
+def cumulative_of_partials(partials: DataFrame) -> DataFrame:
+    """The running totals of ``cumulative_trips`` by day from daily partials."""
+    days = partials.groupBy("cab_type", F.col("pickup_date_key").cast("timestamp_ntz").alias("bucket")).agg(
+        F.sum("trip_count").alias("trips")
+    )
+    return _running(days)
+
+
 # Parts of a pickup time that periods are compared by; each has few values.
 BUCKETS = {"hour_of_day": F.hour, "day_of_week": F.dayofweek, "month_of_year": F.month}
 
@@ -71,6 +103,10 @@ def cumulative_trips(fact: DataFrame, bucket: str = "hour") -> DataFrame:
     counts = fact.groupBy(
         "cab_type", truncate(F.col("pickup_datetime"), bucket).alias("bucket")
     ).agg(F.count(F.lit(1)).alias("trips"))
+    return _running(counts)
+
+
+def _running(counts: DataFrame) -> DataFrame:
     so_far = (
         Window.partitionBy("cab_type")
         .orderBy("bucket")

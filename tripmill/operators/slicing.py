@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import half_open
@@ -67,5 +67,12 @@ def new_since(
         return df
     start = F.lit(BEFORE_ALL_DATA).cast("timestamp_ntz")
     mark = target.agg(F.coalesce(F.max(column), start)).scalar()
+    return arrived_after(df, mark, column, inclusive)
+
+
+def arrived_after(
+    df: DataFrame, mark: Column, column: str = "ingestion_ts", inclusive: bool = False
+) -> DataFrame:
+    """Rows that arrived after a mark (``inclusive``: or at it), and those without an arrival time."""
     newer = F.col(column) >= mark if inclusive else F.col(column) > mark
     return df.where(newer | F.col(column).isNull())

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.functions import truncate
+from tripmill.functions import surrogate_key, truncate, utc_now
 from tripmill.operators.enrich import (
     CORE_COLUMNS,
     FACT_COLUMNS,
@@ -19,10 +19,13 @@ from tripmill.operators.enrich import (
     core_trips,
     fact_trips,
 )
-from tripmill.operators.history import history_schema, scd2_check
-from tripmill.operators.slicing import new_since
+from tripmill.operators.history import history_of_changes, history_schema, scd2_check
+from tripmill.operators.kpi import daily_partials
+from tripmill.operators.slicing import arrived_after, new_since
 from tripmill.schemas import struct
 from tripmill.sinks import land, upsert
+from tripmill.sinks.tables import written_copy
+from tripmill.sinks.upsert import touched_partitions
 from tripmill.sources import path_exists, read_table
 
 
@@ -65,6 +68,40 @@ def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return read_table(spark, path, schema) if path_exists(spark, path) else None
 
 
+# Arrival marks: one row for each refresh, written after its data.
+MARKS = struct(mark="timestamp_ntz", noted_at="timestamp_ntz")
+
+
+def read_mark(spark: SparkSession, marks: str) -> datetime | None:
+    """The latest arrival that a refresh has stored; None before the first."""
+    stored = _existing(spark, marks, MARKS)
+    return None if stored is None else stored.agg(F.max("mark")).first()[0]
+
+
+def _refresh(
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    inclusive: bool,
+    marks: str | None,
+    store: Callable[[DataFrame], int],
+) -> int:
+    """Store what arrived since the mark, which is asked of the table or, with ``marks``, kept beside it.
+
+    A kept mark is the latest arrival that the reading tasks of the write have seen; it is written
+    after the data, so a refresh that breaks off reads the same rows again.
+    """
+    if marks is None:
+        return store(new_since(source, _existing(spark, path, ARRIVALS), inclusive=inclusive))
+    mark, seen = read_mark(spark, marks), Observation()
+    if mark is not None:
+        source = arrived_after(source, F.lit(str(mark)).cast("timestamp_ntz"), inclusive=inclusive)
+    rows = store(source.observe(seen, F.max("ingestion_ts").alias("mark")))
+    latest = F.lit(str(seen.get["mark"]) if seen.get.get("mark") else None)
+    spark.range(1).select(latest.cast("timestamp_ntz").alias("mark"), utc_now().alias("noted_at")).write.mode("append").parquet(marks)
+    return rows
+
+
 def refresh_core(
     staged: DataFrame,
     zones: DataFrame,
@@ -72,28 +109,46 @@ def refresh_core(
     grain: Grain = BY_DAY,
     resolve: str = "incoming",
     inclusive: bool = False,
+    marks: str | None = None,
 ) -> int:
     """Add newly arrived trips to the core table; everything on the first run.
 
     ``resolve="incoming"`` replaces a stored trip by a later submission even if
     that one has the older dropoff; ``"latest"`` compares the two, and should go
-    with ``inclusive``, which reads the newest batch again.
+    with ``inclusive``, which reads the newest batch again. ``marks`` names a folder that keeps the
+    arrival mark, so that no stored trip is read for it; arrivals that the quality rules reject count too.
     """
     spark = staged.sparkSession
     lookup = checked_lookup(zones, "location_id")
-    arrived = new_since(staged, _existing(spark, path, ARRIVALS), inclusive=inclusive)
-    rows = grain.add_to(core_trips(arrived, lookup))
-    return upsert(spark, path, rows, "trip_id", grain.columns, resolve, CORE_ORDER)
+
+    def store(arrived: DataFrame) -> int:
+        rows = grain.add_to(core_trips(arrived, lookup))
+        return upsert(spark, path, rows, "trip_id", grain.columns, resolve, CORE_ORDER)
+
+    return _refresh(spark, staged, path, inclusive, marks, store)
 
 
 def refresh_fact(
-    core: DataFrame, path: str, grain: Grain = BY_DAY, inclusive: bool = False
+    core: DataFrame, path: str, grain: Grain = BY_DAY, inclusive: bool = False, marks: str | None = None
 ) -> int:
     """Add the core rows that arrived since the last refresh to the fact table."""
     spark = core.sparkSession
-    arrived = new_since(core, _existing(spark, path, ARRIVALS), inclusive=inclusive)
-    rows = grain.add_to(fact_trips(arrived))
-    return upsert(spark, path, rows, "trip_id", grain.columns)
+
+    def store(arrived: DataFrame) -> int:
+        return upsert(spark, path, grain.add_to(fact_trips(arrived)), "trip_id", grain.columns)
+
+    return _refresh(spark, core, path, inclusive, marks, store)
+
+
+def refresh_partials(fact: DataFrame, changed: DataFrame, path: str, grain: Grain = BY_DAY) -> int:
+    """Daily partials of the partitions that ``changed`` trips belong to, replaced from the stored facts.
+
+    ``fact`` holds the grain's columns. Only touched partitions are read, so late trips cost their own
+    days (or months); a partition without trips left loses its partials. Running again changes nothing.
+    """
+    touched = written_copy(grain.add_to(changed).select(*grain.columns).distinct(), "touched-partials")
+    partials = daily_partials(touched_partitions(fact, touched, grain.columns), grain.columns)
+    return land(partials, path, grain.columns, replaces=touched)
 
 
 def _versioned(source: T.StructType) -> T.StructType:
@@ -124,6 +179,37 @@ def refresh_history(
     return read_history(spark, path, incoming.schema)
 
 
+# Parts of a table of changes; a batch rewrites those that its keys fall into.
+KEY_BUCKETS = 64
+
+
+def refresh_changes(
+    spark: SparkSession,
+    changes: DataFrame,
+    observations: str,
+    path: str,
+    key: str,
+    tracked: Sequence[str],
+    at: str,
+    buckets: int = KEY_BUCKETS,
+) -> int:
+    """Take changes in any order of time into the stored observations, and rebuild the history they touch.
+
+    Batches may come late, twice, or in any order: the history is the same. Observations are kept with
+    those that changed nothing, because a change that arrives late may lie before them.
+    Returns the versions of the rebuilt key buckets.
+    """
+    bucket = F.pmod(F.xxhash64(F.col(key), F.col(key).isNull()), F.lit(buckets)).cast("int")
+    rows = written_copy(
+        changes.select(key, *tracked, at).withColumns({"observation_id": surrogate_key(key, at), "key_bucket": bucket}),
+        "changes",
+    )
+    upsert(spark, observations, rows, "observation_id", ["key_bucket"], "latest", list(tracked))
+    stored = touched_partitions(read_table(spark, observations, rows.schema), rows, ["key_bucket"])
+    history = history_of_changes(stored, key, tracked, at)
+    return land(history.withColumn("key_bucket", bucket), path, ["key_bucket"])
+
+
 def read_history(spark: SparkSession, path: str, source: T.StructType) -> DataFrame:
     """Newest stored version of a history."""
     stored = read_table(spark, path, _versioned(source))

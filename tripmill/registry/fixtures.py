@@ -133,6 +133,19 @@ def changed_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.unionByName(new)
 
 
+def vendor_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One observation of a vendor per lineitem, in three batches that follow no order of time."""
+    lines = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "CAST(l_suppkey AS INT) AS vendor_id",
+        "concat('vendor ', CAST(l_suppkey AS STRING)) AS vendor_name",
+        "CASE l_returnflag WHEN 'A' THEN 'active' WHEN 'R' THEN 'suspended' END AS status",
+        "o_orderdate + INTERVAL '1' MINUTE * (l_orderkey % 1440) AS changed_at",
+        "CAST(l_partkey % 3 AS INT) AS batch",
+    )
+
+
 def trip_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cab types and days that have trips."""
     trips = lake_trips(spark, sf_dir)

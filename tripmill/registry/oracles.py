@@ -531,6 +531,34 @@ SELECT {_PLAIN} FROM history WHERE dbt_valid_from <= TIMESTAMP '2024-03-01 00:00
   AND (dbt_valid_to IS NULL OR dbt_valid_to > TIMESTAMP '2024-03-01 00:00:00')"""
 ORACLES["dim_vendor"] = f"{_HISTORY} SELECT {_PLAIN} FROM history WHERE dbt_valid_to IS NULL"
 
+# observations in order of time; those that change nothing open no version
+_CHANGES = """
+changes AS (
+  SELECT CAST(l_suppkey AS INTEGER) AS vendor_id, 'vendor ' || CAST(l_suppkey AS VARCHAR) AS vendor_name,
+    o_orderdate + to_minutes(CAST(l_orderkey % 1440 AS INTEGER)) AS changed_at,
+    max(CASE l_returnflag WHEN 'A' THEN 'active' WHEN 'R' THEN 'suspended' END) AS status
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3
+),
+opening AS (
+  SELECT vendor_id, vendor_name, status, changed_at FROM changes
+  WINDOW w AS (PARTITION BY vendor_id ORDER BY changed_at)
+  QUALIFY row_number() OVER w = 1 OR status IS DISTINCT FROM lag(status) OVER w
+),
+changed AS (
+  SELECT vendor_id, vendor_name, status,
+    md5(concat_ws('|', CAST(vendor_id AS VARCHAR), CAST(changed_at AS VARCHAR))) AS dbt_scd_id,
+    changed_at AS dbt_valid_from,
+    lead(changed_at) OVER (PARTITION BY vendor_id ORDER BY changed_at) AS dbt_valid_to,
+    changed_at AS dbt_updated_at
+  FROM opening
+)"""
+ORACLES["scd2_out_of_order"] = f"{_with(_CHANGES)} SELECT * FROM changed"
+ORACLES["fact_at_version"] = f"""{_FACT},{_CHANGES}
+SELECT trip_id, f.vendor_id, pickup_datetime, total_amount,
+  dbt_valid_from AS version_from, v.status AS version_status
+FROM fact f LEFT JOIN changed v ON v.vendor_id = f.vendor_id AND pickup_datetime >= dbt_valid_from
+  AND (dbt_valid_to IS NULL OR pickup_datetime < dbt_valid_to)"""
+
 # ---------------------------------------------------------------- checks
 
 
@@ -646,6 +674,9 @@ _KPIS = """count(*) AS trip_count, round(sum(fare_amount), 2) AS total_fare_reve
   round(sum(total_amount), 2) AS total_amount,
   round(avg(trip_duration_minutes), 2) AS avg_trip_minutes,
   CAST(sum(passenger_count) AS BIGINT) AS passengers_carried"""
+ORACLES["kpis_by_increment"] = f"""{_FACT}
+SELECT cab_type, pickup_date_key, {_KPIS.replace(", 2)", ", 6)")} FROM fact
+GROUP BY cab_type, pickup_date_key"""
 ORACLES["trip_kpis_total"] = f"{_FACT} SELECT {_KPIS} FROM fact"
 ORACLES["trip_kpis_by_cab"] = f"""{_FACT}
 SELECT cab_type, time_of_day, {_KPIS} FROM fact GROUP BY cab_type, time_of_day"""
@@ -697,6 +728,10 @@ SELECT date_trunc('minute', ts) AS window_start,
   date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end, event_type,
   count(*) AS trips FROM events GROUP BY ALL"""
 
+ORACLES["cumulative_by_increment"] = ORACLES["cumulative_trips_by_day"]
+ORACLES["core_by_marks"] = ORACLES["upsert_latest"]
+ORACLES["arrival_marks"] = f"{_STG} SELECT DISTINCT ingestion_ts AS mark FROM stg"
+
 # ---------------------------------------------------------------- streams
 
 ORACLES["stream_clean"] = ORACLES["quality_filter_trips"]
