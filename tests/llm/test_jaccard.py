@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from support import docs, sample, sampled  # noqa: F401
@@ -86,6 +87,42 @@ def test_contained_texts_equal_brute_force(docs):
     assert result(jaccard_components(docs(*texts))) == expected
 
 
+def test_sketches_never_rule_out_a_link():
+    """What sketches say two sets differ by is at most what they differ by, also where counts are cut at 255."""
+    rng = np.random.default_rng(3)
+    for n in (2, 3, 15, 33, 64, 500, 5000):
+        for share in (0.0, 0.5, 0.8, 0.95, 1.0):
+            a = np.unique(rng.integers(0, 1 << 63, n, "u8"))
+            own = a[: int(share * len(a))]
+            b = np.unique(np.r_[own, rng.integers(0, 1 << 63, int(n * 1.3) - len(own), "u8")])
+            for x, y in ((a, b), (a << np.uint64(8), b << np.uint64(8))):
+                x, y = np.unique(x), np.unique(y)
+                differ = len(np.setxor1d(x, y))
+                assert jaccard_join._differ(jaccard_join._sketch(x), jaccard_join._sketch(y)) <= differ
+    far = [np.unique(rng.integers(0, 1 << 63, 1000, "u8")) for _ in range(2)]
+    assert jaccard_join._differ(*map(jaccard_join._sketch, far)) > 2000 / 7
+
+
+def test_texts_that_share_a_passage_equal_brute_force(docs):
+    """Lists mixed of near copies and of texts that share half of their words: pairs beyond the stars."""
+    rng = random.Random(11)
+    passages = [[f"s{p}x{i}" for i in range(60)] for p in range(3)]
+    texts = []
+    for k in range(60):
+        own = [f"o{k}x{i}" for i in range(rng.randint(8, 60))]
+        texts.append(" ".join(rng.choice(passages) + own))
+        if k % 4 == 0:
+            texts.append(" ".join([*texts[-1].split(), f"more{k}"]))
+    assert result(jaccard_components(docs(*texts))) == brute(list(enumerate(texts)))
+
+
+def test_repeated_ids_and_texts(docs):
+    text = " ".join(f"w{i}" for i in range(50))
+    near = text + " end"
+    got = result(jaccard_components(docs((4, text), (4, text), (4, text), (2, near), (2, near), (9, "another text of six words here"))))
+    assert got == {4: (46, 2), 2: (47, 2), 9: (2, 9)}
+
+
 def test_awkward_rows(docs):
     assert jaccard_components(docs()).count() == 0
     rows = docs((5, "a b c d e f"), (3, "A b c d e f"), (3, "A b c d e f"), (1, None), (2, " "), (None, "a b c d e f"), (9, "a"), (8, "A"))

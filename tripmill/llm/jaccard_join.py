@@ -17,6 +17,9 @@ A document's set holds the hashes of its distinct five-word shingles. Equal sets
 * Bounds before verification. Of two sets, the one whose prefix ends first shares only tokens that
   are in both prefixes, or behind its own. So its prefix tokens that no other class has in its prefix
   cannot be shared with the other one; the other's own may be, behind the first one's prefix.
+* Sketches before verification. Tokens of a set are counted by bucket. The counts of two sets differ by no
+  more than the sets do, so pairs whose counts differ too much cannot link. A sketch is a small part
+  of its set, and the sets of pairs that it rules out are neither built nor moved.
 * Verification compares whole sets.
 """
 
@@ -161,6 +164,24 @@ def _unpacked_keys(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "i8", n, 8)[_from_planes(memoryview(raw)[8 + 8 * n :], "<u4")]
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """Tokens by bucket, two to four a bucket on average; a count of 255 stands for any above it."""
+    buckets = _buckets(len(tokens))
+    return np.minimum(np.bincount((tokens & np.uint64(buckets - 1)).astype("i8"), minlength=buckets), 255).astype("u1")
+
+
+def _buckets(n: int) -> int:
+    return max(16, 1 << (max(n // 2, 1).bit_length() - 1))
+
+
+def _differ(a: np.ndarray, b: np.ndarray) -> int:
+    """How many tokens are in one of two sets only, at least."""
+    if len(a) > len(b):
+        a, b = b, a
+    folded = np.minimum(b.reshape(-1, len(a)).sum(axis=0, dtype="i8"), 255)
+    return int(np.abs(folded - a).sum())
+
+
 _SETS_DDL = "doc_id long, n long, key long, range int, tokens binary, counts binary"
 _POSTINGS_DDL = "kind int, range int, tokens binary, keys binary, n long, frequent int"
 
@@ -200,13 +221,14 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 
 def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: int) -> DataFrame:
-    """Packed postings of extended prefixes: kind 0 rare by hash range, 1 frequent, 2 sizes."""
+    """Packed postings of extended prefixes: kind 0 rare by hash range, 1 frequent, 2 sizes, 3 sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         rare: list[tuple[np.ndarray, int]] = []
         often: list[tuple[np.ndarray, int]] = []
         sizes: list[tuple[int, int, int, int]] = []
+        sketches: list[np.ndarray] = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -231,7 +253,8 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
                 # sizes beside keys, as in the other kinds
                 columns = np.array(sizes, "i8")
                 rows.append((2, 0, columns[:, 1:].astype("<i8").tobytes(), columns[:, 0].tobytes()))
-            for part in (rare, often, sizes):
+                rows.append((3, 0, columns[:, 1].astype("<i8").tobytes() + np.concatenate(sketches).tobytes(), columns[:, 0].tobytes()))
+            for part in (rare, often, sizes, sketches):
                 part.clear()
             if rows:
                 kinds, ranges, tokens, keys = zip(*rows, strict=True)
@@ -259,6 +282,7 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
                 # a prefix with frequent tokens holds all rare ones of its set
                 end = LAST if len(last) else int((alone[-1] ^ _SIGN).astype("i8"))
                 sizes.append((key, n, len(last), end))
+                sketches.append(_sketch(tokens))
                 held += length
             if held >= 2_000_000:
                 yield from flush()
@@ -299,6 +323,41 @@ def _unpacked(blocks: DataFrame, ddl: str, values: int) -> DataFrame:
     return blocks.select("tokens", "keys").mapInArrow(run, ddl)
 
 
+def _sketches(blocks: DataFrame) -> DataFrame:
+    """Each key with its set's size and sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, k in zip(batch.column("tokens").to_pylist(), batch.column("keys").to_pylist(), strict=True):
+                keys = np.frombuffer(k, "i8")
+                sizes = np.frombuffer(t, "<i8", len(keys))
+                ends = 8 * len(keys) + np.cumsum([_buckets(n) for n in sizes.tolist()])
+                parts = [t[a:b] for a, b in zip([8 * len(keys), *ends[:-1].tolist()], ends.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(sizes), pa.array(parts, pa.binary())], names=["key", "n", "sketch"]
+                )
+
+    return blocks.select("tokens", "keys").mapInArrow(run, "key long, n long, sketch binary")
+
+
+def _may_link(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) without those whose sketches show that they differ too much."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    own = stored(sketches.join(wanted, "key", "left_semi").dropDuplicates(["key"]), "jaccard-sketches")
+    sides = [own.select(F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in ("a", "b")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(name).to_pylist() for name in ("na", "nb", "sa", "sb")}
+            keep = []
+            for na, nb, sa, sb in zip(*columns.values(), strict=True):
+                both = (na + nb - _differ(np.frombuffer(sa, "u1"), np.frombuffer(sb, "u1"))) // 2
+                keep.append(100 * both >= 75 * (na + nb - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a long, b long")
+
+
 def _within(a: str, b: str):
     """Whether all that a shares with b is among what ``most`` counts of a.
 
@@ -346,7 +405,8 @@ def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
         "jaccard-ends",
     )
     wanted = ends.select(F.col("rep").alias("doc_id"), "key")
-    texts = docs.join(sized_broadcast(wanted, 32, ends.count()), "doc_id").select("key", "text")
+    n_ends = ends.count()
+    texts = docs.join(sized_broadcast(wanted, 32, n_ends), "doc_id").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
@@ -359,7 +419,10 @@ def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
                     names=["key", "tokens"],
                 )
 
-    sets = stored(texts.mapInArrow(run, "key long, tokens array<long>").dropDuplicates(["key"]), "jaccard-sets")
+    sets = stored(texts.mapInArrow(run, "key long, tokens array<long>"), "jaccard-sets")
+    if sets.count() > n_ends:
+        # rows that repeat both doc_id and text
+        sets = stored(sets.dropDuplicates(["key"]), "jaccard-distinct-sets")
     left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
@@ -497,6 +560,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     pairs = apart(rest, ["list"]).unionByName(apart(single, ["token"])).unionByName(apart(combined, ["t1", "t2"]))
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = stored(pairs.distinct().join(known, ["a", "b"], "left_anti"), "jaccard-pairs")
+    pairs = stored(_may_link(pairs, _sketches(postings.where("kind = 3"))), "jaccard-able-pairs")
     more = _linked(_compared(pairs, docs, classes))
     final = stored(components(stored(links.unionByName(more), "jaccard-links")), "jaccard-labels")
 
