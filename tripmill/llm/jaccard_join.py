@@ -129,7 +129,7 @@ def _frequent(blocks: DataFrame, n_tokens: int) -> tuple[np.ndarray, np.ndarray]
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         total = Summary(MAX_FREQUENT)
         for t, c in zip(frame["tokens"], frame["counts"], strict=True):
-            total.add(np.frombuffer(t, "u8"), np.frombuffer(c, "<i4").astype("i8"))
+            total.add(_from_planes(t, "u8"), _from_planes(c, "<i4").astype("i8"))
         total.settle()
         keep = total.counts >= least
         return pd.DataFrame({"tokens": [total.tokens[keep].tobytes()], "counts": [total.counts[keep].astype("<i4").tobytes()]})
@@ -213,7 +213,7 @@ def _sets(docs: DataFrame) -> DataFrame:
         parts = list(zip(np.split(summary.tokens, at), np.split(summary.counts, at), strict=True))
         yield pa.RecordBatch.from_arrays(
             [none(16, pa.int64()), none(16, pa.int64()), none(16, pa.int64()), pa.array(range(16), pa.int32()),
-             pa.array([t.tobytes() for t, _ in parts], pa.binary()), pa.array([c.astype("<i4").tobytes() for _, c in parts], pa.binary())],
+             pa.array([_planes(t) for t, _ in parts], pa.binary()), pa.array([_planes(c.astype("<i4")) for _, c in parts], pa.binary())],
             names=["doc_id", "n", "key", "range", "tokens", "counts"],
         )
 
@@ -426,9 +426,11 @@ def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
+    # few classes are pivots: only their sets are needed on that side
+    left = left.join(pairs.select("a").distinct(), "a", "left_semi")
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
+        pairs.join(right, "b")
+        .join(left, "a")
         .select("a", "b", both.alias("both"), (F.size("ta") + F.size("tb") - both).alias("union"))
     )
 
