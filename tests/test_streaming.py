@@ -169,3 +169,21 @@ def test_late_rows_go_aside(lake):
     in_time, late = split_late(rows, "2 HOURS")
     assert (in_time.count(), late.count()) == (1, 2)
     assert same_rows(rows, in_time.unionByName(late))
+
+
+def test_event_files_are_bounded_and_compressed(spark, monkeypatch):
+    """More events give more files, not bigger ones, and still few micro-batches."""
+    from conftest import SF_DIR
+
+    from tripmill.registry import fixtures, queries
+
+    monkeypatch.setattr(fixtures, "_kept", {})
+    monkeypatch.setattr(queries, "EVENTS_PER_FILE", 400)
+    files = spark.read.text(queries.trip_events(spark, SF_DIR)).inputFiles()
+    events = fixtures.table(spark, SF_DIR, "lineitem").count()
+    assert len(files) >= events // 400 > queries.MICRO_BATCHES
+    assert all(f.endswith(".gz") for f in files)
+    batches = []
+    stream = queries._event_stream(spark, SF_DIR).select("vendorid").writeStream.trigger(availableNow=True)
+    stream.foreachBatch(lambda batch, _: batches.append(batch.count())).start().awaitTermination()
+    assert sum(batches) == events and 1 < len(batches) <= queries.MICRO_BATCHES
