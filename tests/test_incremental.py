@@ -295,3 +295,49 @@ def test_partials_of_a_day_without_trips_are_gone(spark, staged, zones, tmp_path
 def test_figures_of_no_partials(staged, zones):
     facts = fact_trips(core_trips(staged({}), zones)).limit(0)
     assert same_rows(kpis_of_partials(daily_partials(facts)), trip_kpis(facts))
+
+
+def test_an_upsert_shuffles_no_stored_row_whose_key_is_single(spark, tmp_path, monkeypatch):
+    """Stored rows stay in the tasks that read them; only the batch and repeated keys are dealt anew."""
+    import importlib
+
+    module, path, landed = importlib.import_module("tripmill.sinks.upsert"), str(tmp_path / "t"), []
+    real = module.land
+
+    def land(df, *args, settled=None, **kwargs):
+        landed.append((df.count(), 0 if settled is None else settled.count()))
+        assert settled is None or "rebalance" not in settled._jdf.queryExecution().logical().toString().lower()
+        return real(df, *args, settled=settled, **kwargs)
+
+    monkeypatch.setattr(module, "land", land)
+    rows = lambda first, last, n: spark.range(first, last).selectExpr("id AS k", "id % 3 AS p", f"{n} AS n")
+    upsert(spark, path, rows(0, 90, 1), "k", ["p"])
+    # of the batch's 20 rows ten replace a stored one each, which therefore is not settled
+    for resolve in ("incoming", "latest"):
+        assert upsert(spark, path, rows(80, 100, 2), "k", ["p"], resolve, ["n"]) >= 100
+    assert landed == [(90, 0), (20, 80), (20, 80)]
+    stored = read_table(spark, path, "k long, p long, n int")
+    assert sorted((r.k, r.n) for r in stored.collect()) == [(k, 1 if k < 80 else 2) for k in range(100)]
+
+
+@pytest.mark.parametrize("resolve", ["incoming", "latest"])
+def test_rows_without_key_and_repeated_keys_of_a_batch(spark, tmp_path, resolve):
+    path, schema = str(tmp_path / "t"), "k string, p string, n int"
+    for rows in ([(None, "a", 1), (None, "a", 2), ("x", "a", 1), ("x", "a", 3)], [(None, "a", 4), ("x", "a", 2), ("y", "a", 1), ("y", "a", 0)]):
+        upsert(spark, path, spark.createDataFrame(rows, schema), "k", ["p"], resolve, ["n"])
+    got = sorted((r.k or "", r.n) for r in read_table(spark, path, schema).collect())
+    # a row without a key never equals another when the incoming row wins, as before
+    kept = [("", 2), ("", 4), ("x", 2)] if resolve == "incoming" else [("", 4), ("x", 3)]
+    assert got == [*kept, ("y", 1)]
+
+
+def test_many_files_of_a_partition_are_gathered(spark, tmp_path, monkeypatch):
+    import importlib
+
+    monkeypatch.setattr(importlib.import_module("tripmill.sinks.upsert"), "MAX_FILES_A_PARTITION", 2)
+    path = str(tmp_path / "t")
+    for n in range(6):
+        upsert(spark, path, spark.createDataFrame([(n, "a")], "k int, p string"), "k", ["p"])
+    table = read_table(spark, path, "k int, p string")
+    assert sorted(r.k for r in table.collect()) == list(range(6))
+    assert len(table.inputFiles()) <= 3
