@@ -6,7 +6,9 @@ from itertools import permutations
 
 import pytest
 from conftest import plan_text
+from pyspark.sql import functions as F
 
+from tripmill.operators import history as history_module
 from tripmill.operators.history import (
     at_version,
     dim_as_of,
@@ -14,8 +16,10 @@ from tripmill.operators.history import (
     history_of_changes,
     history_schema,
     open_versions,
+    ordered_changes,
     scd2_check,
 )
+from tripmill.plans import trip_build
 from tripmill.plans.trip_build import read_history, refresh_changes, refresh_history
 from tripmill.schemas import VENDORS
 from tripmill.sources import read_table
@@ -181,9 +185,50 @@ def test_untouched_key_buckets_keep_their_files(spark, changes, tmp_path):
     assert kept and len({f.split("/")[-2] for f in before - kept}) == 1
 
 
+def test_whole_changes_are_shuffled_once(spark, changes):
+    """Then come the months only, one row each: their exchanges are by key, and back by group."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = changes(*random_changes(20, 1))
+        plan = plan_text(ordered_changes(rows, "vendor_id", TRACKED, "at", F.col("status") == "x"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    whole = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert ["ReusedExchange" in line for line in whole] == [False, True]
+
+
+def test_a_batch_without_news_rewrites_no_history_and_a_broken_refresh_is_mended(spark, changes, tmp_path, monkeypatch):
+    paths = [str(tmp_path / name) for name in ("observations", "history")]
+    rows = [(k, "A", "x", T1) for k in range(12)]
+    refresh_changes(spark, changes(*rows), *paths, "vendor_id", TRACKED, "at", 4)
+    files = lambda: set(read_table(spark, paths[1], history_schema(VENDORS)).inputFiles())
+    before = files()
+    assert refresh_changes(spark, changes(*rows[:5]), *paths, "vendor_id", TRACKED, "at", 4) == 0
+    assert files() == before
+
+    late = (3, "A", "y", T2)
+    with monkeypatch.context() as broken:
+        broken.setattr(trip_build, "history_of_ordered", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh_changes(spark, changes(late), *paths, "vendor_id", TRACKED, "at", 4)
+    refresh_changes(spark, changes(rows[7]), *paths, "vendor_id", TRACKED, "at", 4)
+    assert as_rows(read_table(spark, paths[1], history_schema(VENDORS))) == by_hand([*rows, late])
+
+
 # ---------------------------------------------------------------- facts at their version
 
 
+def test_versions_of_keys_without_facts_are_not_laid_into_days(spark, changes, trips_at, monkeypatch):
+    copies = {}
+    keep = history_module.written_copy
+    monkeypatch.setattr(history_module, "written_copy", lambda df, label: copies.setdefault(label, keep(df, label)))
+    rows = [(k, "A", "x", T1) for k in range(1, 40)]
+    history = history_of_changes(changes(*rows), "vendor_id", TRACKED, "at")
+    trips = [(1, 1, T1, "own"), (2, 1, T1 + timedelta(days=9), "own"), (3, 2, T1, "own")]
+    assert at_version(trips_at(*trips), history, "vendor_id", "at", ["status"]).count() == 3
+    assert copies["versions-of-facts"].count() == 10 + 1
+
+
 @pytest.fixture
 def trips_at(spark):
     return lambda *rows: spark.createDataFrame(list(rows), "trip int, vendor_id int, at timestamp_ntz, status string")

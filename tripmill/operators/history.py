@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tripmill.functions import snapshot_id, truncate, utc_now
 from tripmill.schemas import struct
+from tripmill.sinks.tables import written_copy
 
 # The history columns added to the tracked row.
 HISTORY_COLUMNS = ("dbt_scd_id", "dbt_valid_from", "dbt_valid_to", "dbt_updated_at")
@@ -89,25 +90,68 @@ def scd2_check(
     return closed.unionByName(live)
 
 
-def _with_neighbour(rows: DataFrame, key: str, at: str, value: str, ahead: bool) -> DataFrame:
-    """``rows`` with ``_near``: ``value`` of the key's row before, or behind if ``ahead``, in order of ``at``.
+def ordered_changes(
+    changes: DataFrame, key: str, tracked: Sequence[str], at: str, known: Column | None = None
+) -> DataFrame:
+    """One row for each key and moment of ``changes``: ``key``, ``tracked``, ``at``, and what becomes of it.
 
-    Rows are sorted within a key and month, and the months of a key, one row each, within the key.
-    So a key with very many changes is spread over as many tasks as it has months.
+    ``opens_version`` tells if it differs from the observation before it; ``version_to`` is when the next
+    one opens; ``is_news`` if the rows that are ``known`` already do not hold it alike. Whole rows are shuffled once, by key and month, so a key with very many changes is spread
+    over as many tasks as it has months. The months of a key, one row each, then tell what comes before and after.
     """
-    step, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
-    month = truncate(F.col(at), "month")
-    boxed = rows.withColumns({"_month": month, "_value": F.struct(value)})
-    months = boxed.groupBy(key, "_month").agg(edge("_value", at).alias("_edge"))
-    across = Window.partitionBy(key).orderBy("_month")
-    edges = months.select(
-        F.col(key).alias("_edge_key"), F.col("_month").alias("_edge_month"), step("_edge").over(across).alias("_edge")
+    moment = F.coalesce(F.col(at), F.raise_error(F.lit(f"a change without {at}")).cast("timestamp_ntz"))
+    # a struct is never NULL, so all steps below meet by one column, also where the key is NULL
+    group = F.struct(F.col(key).alias("key"), truncate(moment, "month").alias("month"))
+    old = F.lit(False) if known is None else known
+    rows = (
+        changes.select(group.alias("_group"), moment.alias("_at"), F.struct(*tracked).alias("_row"), old.alias("_old"))
+        .repartition("_group")
+        .groupBy("_group", "_at")
+        .agg(F.max("_row").alias("_row"), F.max(F.when(F.col("_old"), F.col("_row"))).alias("_old"))
+        .withColumn("_news", ~F.col("_row").eqNullSafe(F.col("_old"))).drop("_old")
+    )
+    before = F.lag("_row").over(Window.partitionBy("_group").orderBy("_at"))
+    # open for the first row of a month, which its month cannot tell
+    rows = rows.withColumn("_opens", F.when(before.isNotNull(), ~F.col("_row").eqNullSafe(before))).withColumn(
+        "_next", F.expr("lead(IF(_opens, _at, NULL)) IGNORE NULLS OVER (PARTITION BY _group ORDER BY _at)")
+    )
+    months = rows.groupBy("_group").agg(
+        F.min("_at").alias("_first_at"),
+        F.min_by("_row", "_at").alias("_first"),
+        F.max_by("_row", "_at").alias("_last"),
+        F.max(F.when(F.col("_opens").isNull(), F.col("_next"))).alias("_later"),
+        F.max("_news").alias("_month_news"),
+    ).withColumns({"_key": F.col("_group")["key"], "_month": F.col("_group")["month"]})
+    last = F.lag("_last").over(Window.partitionBy("_key").orderBy("_month"))
+    edges = months.withColumn("_edge_opens", ~F.col("_first").eqNullSafe(last)).withColumn(
+        "_opening", F.when(F.col("_edge_opens"), F.col("_first_at")).otherwise(F.col("_later"))
+    ).select(
+        F.col("_group").alias("_edge_group"),
+        "_edge_opens",
+        "_month_news",
+        F.expr("lead(_opening) IGNORE NULLS OVER (PARTITION BY _key ORDER BY _month)").alias("_following"),
+    )
+    return rows.join(edges, F.col("_group") == F.col("_edge_group")).select(
+        F.col("_group")["key"].alias(key),
+        *[F.col("_row")[c].alias(c) for c in tracked],
+        F.col("_at").alias(at),
+        F.coalesce("_opens", "_edge_opens").alias("opens_version"),
+        F.coalesce("_next", "_following").alias("version_to"),
+        # rows and months read the same columns, so that Spark shuffles them once for both
+        (F.col("_news") & F.col("_month_news")).alias("is_news"),
+    )
+
+
+def history_of_ordered(ordered: DataFrame, key: str, tracked: Sequence[str], at: str) -> DataFrame:
+    """History from the result of :func:`ordered_changes`, row by row."""
+    return ordered.where("opens_version").select(
+        key,
+        *tracked,
+        snapshot_id(F.col(key), F.col(at)).alias("dbt_scd_id"),
+        F.col(at).alias("dbt_valid_from"),
+        F.col("version_to").alias("dbt_valid_to"),
+        F.col(at).alias("dbt_updated_at"),
     )
-    within = Window.partitionBy(key, "_month").orderBy(at)
-    inner = boxed.withColumn("_inner", step("_value").over(within))
-    same = F.col(key).eqNullSafe(F.col("_edge_key")) & (F.col("_month") == F.col("_edge_month"))
-    near = F.coalesce("_inner", "_edge")
-    return inner.join(edges, same).select(*rows.columns, near[value].alias("_near"), near.isNotNull().alias("_has_near"))
 
 
 def history_of_changes(changes: DataFrame, key: str, tracked: Sequence[str], at: str) -> DataFrame:
@@ -117,23 +161,7 @@ def history_of_changes(changes: DataFrame, key: str, tracked: Sequence[str], at:
     version. Of several at one moment the greatest in order of ``tracked`` counts (NULL is least). A
     NULL key is a key like any other; an observation without a time is an error.
     """
-    known = F.coalesce(F.col(at), F.raise_error(F.lit(f"a change without {at}")).cast("timestamp_ntz"))
-    rows = (
-        changes.select(F.col(key), known.alias("_at"), F.struct(*tracked).alias("_row"))
-        .groupBy(key, "_at").agg(F.max("_row").alias("_row"))
-    )
-    opening = _with_neighbour(rows, key, "_at", "_row", ahead=False).where(
-        ~(F.col("_has_near") & F.col("_row").eqNullSafe(F.col("_near")))
-    ).select(key, "_at", "_row")
-    closed = _with_neighbour(opening, key, "_at", "_at", ahead=True)
-    return closed.select(
-        F.col(key),
-        *[F.col("_row")[c].alias(c) for c in tracked],
-        snapshot_id(F.col(key), F.col("_at")).alias("dbt_scd_id"),
-        F.col("_at").alias("dbt_valid_from"),
-        F.col("_near").alias("dbt_valid_to"),
-        F.col("_at").alias("dbt_updated_at"),
-    )
+    return history_of_ordered(ordered_changes(changes, key, tracked, at), key, tracked, at)
 
 
 # Widths of the buckets in which facts and versions meet.
@@ -145,29 +173,37 @@ def at_version(
 ) -> DataFrame:
     """``facts`` with the ``columns`` of the version that was valid at ``at``, and its ``version_from``.
 
-    A version is laid into each day (or month) that it covers within the time of the facts, so both meet
+    A version is laid into each day (or month) that it covers within the time of its key's facts, so both meet
     by key and bucket: an equi-join, which Spark broadcasts by measured size or shuffles, splitting hot
-    pairs. ``version_*`` columns are NULL where no version was valid, or key or time is NULL. Versions
+    pairs. Keys without facts are left out first. Facts are written once, as they are read twice. ``version_*`` columns are NULL where no version was valid, or key or time is NULL. Versions
     of a key must not overlap, as histories here never do. Buckets should be about as long as versions last.
     """
     if bucket not in VERSION_BUCKETS:
         raise ValueError(f"unknown bucket {bucket!r}")
     names = {c: f"version_{c}" for c in columns}
-    first, last = facts.agg(F.min(at), F.max(at)).first()
-    start, end = F.col("dbt_valid_from"), F.col("dbt_valid_to")
-    low, high = (F.lit(str(v) if v else None).cast("timestamp_ntz") for v in (first, last))
-    relevant = history.where((start <= high) & (end.isNull() | ((end > low) & (end > start))))
+    facts = written_copy(facts, "facts-at-version")
+    spans = written_copy(
+        facts.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+        .groupBy(F.col(key).alias("_span_key")).agg(F.min(at).alias("_low"), F.max(at).alias("_high")),
+        "facts-at-version-spans",
+    )
+    start, end, low, high = (F.col(c) for c in ("dbt_valid_from", "dbt_valid_to", "_low", "_high"))
+    # only versions of keys that have facts, within the time of those
+    wanted = (F.col(key) == F.col("_span_key")) & (start <= high) & (end.isNull() | ((end > low) & (end > start)))
     covered = F.sequence(
         truncate(F.greatest(start, low), bucket).cast("date"),
         truncate(F.least(F.coalesce(end, high), high), bucket).cast("date"),
         F.expr(VERSION_BUCKETS[bucket]),
     )
-    versions = relevant.select(
-        F.col(key).alias("_version_key"),
-        start.alias("version_from"),
-        end.alias("_version_to"),
-        *[F.col(c).alias(n) for c, n in names.items()],
-        F.explode(covered).alias("_version_bucket"),
+    versions = written_copy(
+        history.join(spans, wanted).select(
+            F.col(key).alias("_version_key"),
+            start.alias("version_from"),
+            end.alias("_version_to"),
+            *[F.col(c).alias(n) for c, n in names.items()],
+            F.explode(covered).alias("_version_bucket"),
+        ),
+        "versions-of-facts",
     )
     valid = (
         (F.col(key) == F.col("_version_key"))
