@@ -10,6 +10,7 @@ from tripmill.operators.ledger import read_ledger, store_reset
 from tripmill.plans import backfill as backfill_plan
 from tripmill.plans.backfill import backfill, split_own_day
 from tripmill.plans.trip_build import BY_DAY
+from tripmill.registry import queries
 from tripmill.schemas import LAKE_TRIPS, SLICE_REQUESTS
 from tripmill.sinks import land, landing, plan_write, promote, register_view
 from tripmill.sources import (
@@ -353,3 +354,29 @@ def test_landed_days_come_from_the_folders(spark, lake, paths):
     land(BY_DAY.add_to(trips_on(lake, 1, 3)), paths["table"], BY_DAY.columns)
     days = landed_days(spark, paths["table"])
     assert values(days, "day") == [date(2024, 1, 1), date(2024, 1, 1) + timedelta(days=2)]
+
+
+def test_copies_of_the_lake_are_landed_where_they_are_read(spark, tmp_path, monkeypatch):
+    """The lake has the partitions of its copies, so only its own landing may shuffle."""
+    day = "TIMESTAMP_NTZ '1997-03-05 00:00:00' + INTERVAL '1' DAY * (id * 40)"
+    tables = {
+        "lineitem": "id AS l_orderkey, id + 5 AS l_partkey, id % 2 AS l_suppkey, CAST(id % 5 + 1 AS INT) AS l_linenumber, 5D AS l_quantity,"
+        " 3000D AS l_extendedprice, 0.1D AS l_discount, 0.1D AS l_tax, CASE id % 2 WHEN 0 THEN 'A' ELSE 'N' END AS l_returnflag, 'O' AS l_linestatus",
+        "orders": f"id AS o_orderkey, id AS o_custkey, {day} AS o_orderdate",
+        "customer": "id AS c_custkey, 1 AS c_nationkey",
+        "supplier": "id AS s_suppkey, 2 AS s_nationkey",
+    }
+    for name, columns in tables.items():
+        spark.range(12).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    shuffled = []
+
+    def watched(df, path, partition_by, plan=None, **more):
+        if not (plan and plan.clustered):
+            shuffled.append(path.rsplit("/", 1)[1].split("-")[0])
+        return land(df, path, partition_by, plan, **more)
+
+    monkeypatch.setattr(queries, "land", watched)
+    monkeypatch.setattr(landing, "land", watched)
+    assert queries.REGISTRY["promote_roundtrip"](spark, str(tmp_path)).count() == 12
+    queries.REGISTRY["drift_rows"](spark, str(tmp_path)).collect()
+    assert shuffled == ["lake"]
