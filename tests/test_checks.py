@@ -25,6 +25,7 @@ from tripmill.operators.profile import load_profile, null_profile, sample_rows,
 from tripmill.plans.models import register_models
 from tripmill.plans.suites import SUITES
 from tripmill.plans.validation import validate
+from tripmill.registry import queries
 from tripmill.schemas import VENDORS, ZONES
 
 
@@ -155,3 +156,20 @@ def test_models_answer_sql(spark, lake):
         " JOIN stg_vendor v ON v.vendor_id = f.vendor_id WHERE v.status = 'active'"
     )
     assert joined.count() == 1
+
+
+def test_the_suite_of_all_models_lands_no_trips_but_the_core(spark, tmp_path, monkeypatch):
+    tables = {
+        "lineitem": ["id AS l_orderkey", "id + 5 AS l_partkey", "id AS l_suppkey", "CAST(id AS INT) AS l_linenumber", "5D AS l_quantity",
+                     "3000D AS l_extendedprice", "0.1D AS l_discount", "0.1D AS l_tax", "'A' AS l_returnflag", "'O' AS l_linestatus"],
+        "orders": ["id AS o_orderkey", "id AS o_custkey", "TIMESTAMP_NTZ '1997-03-05 00:00:00' AS o_orderdate"],
+        "customer": ["id AS c_custkey", "1 AS c_nationkey"],
+        "supplier": ["id AS s_suppkey", "'S' AS s_name", "2 AS s_nationkey"],
+        "nation": ["CAST(id AS INT) AS n_nationkey", "'N' AS n_name", "0 AS n_regionkey"],
+        "region": ["CAST(id AS INT) AS r_regionkey", "'R' AS r_name"],
+    }
+    for name, columns in tables.items():
+        spark.range(5).selectExpr(*columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(queries, "landed_lake", lambda *_: pytest.fail("the lake was landed"))
+    monkeypatch.setattr(queries, "_core_table", lambda spark, sf_dir, _: queries.core(spark, sf_dir))
+    assert "failures" in queries.REGISTRY["check_suite"](spark, str(tmp_path)).columns
