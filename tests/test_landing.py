@@ -130,6 +130,29 @@ def test_clustered_source_lands_without_shuffle_and_small_files_with(lake):
     assert "REBALANCE_PARTITIONS_BY_COL" in small._jdf.queryExecution().executedPlan().toString()
 
 
+def test_derived_columns_are_not_shuffled_before_landing(spark, tmp_path):
+    from tripmill.registry import fixtures
+    from tripmill.sinks.landing import spread
+
+    tables = {
+        "lineitem": "(1,1,1,1,5.0,9000.0,0.1,0.1,'A','O'),(1,2,2,2,6.0,9100.0,0.1,0.1,'N','F'),(2,3,9,1,6.0,1.0,0.1,0.1,'R','F')"
+        " AS t(l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus)",
+        "orders": "(1,7,timestamp_ntz'1997-03-01 00:00:00'),(2,7,NULL) AS t(o_orderkey,o_custkey,o_orderdate)",
+        "customer": "(7,3) AS t(c_custkey,c_nationkey)",
+        "supplier": "(1,4),(2,5),(9,NULL) AS t(s_suppkey,s_nationkey)",
+    }
+    for name, rows in tables.items():
+        spark.sql(f"SELECT * FROM VALUES {rows}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    trips = fixtures.lake_trips(spark, str(tmp_path), together=True)
+    assert same_rows(trips, fixtures.lake_trips(spark, str(tmp_path)))
+    plan = queries.TOGETHER
+    assert spread(trips, ["cab_type"], plan) is trips
+    text = trips._jdf.queryExecution().optimizedPlan().toString()
+    above, below = text.split("RebalancePartitions")
+    assert "tip_amount" in above and "tip_amount" not in below
+    assert land(trips, str(tmp_path / "out"), ["cab_type"], plan) == 3
+
+
 def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     """One cab type holds most rows: AQE splits it, the others stay whole."""
     rows = spark.range(0, 400_000, numPartitions=16).selectExpr(
