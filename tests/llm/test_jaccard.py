@@ -149,3 +149,18 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == expected
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_common_tokens_bound_what_is_shared(docs):
+    """Counts equal brute force, in whatever blocks and ranges; only words of other classes count."""
+    texts = near_copies(5, 6, 4) + [f"{' '.join(f'x{k}-{i}' for i in range(20))} a passage that many of the texts hold" for k in range(6)]
+    texts = sorted(set(texts))
+    rows = docs(*texts).repartition(3)
+    sizes = jaccard_join._sets(rows.select("doc_id", "text")).where("range is null").select("doc_id", "n", "key")
+    classes = sizes.selectExpr("key", "doc_id AS rep", "n")
+    got = jaccard_join._common_tokens(classes.select("key"), rows, classes).join(classes, "key").collect()
+    sets = [shingles(t) for t in texts]
+    expected = {
+        k: n for k, own in enumerate(sets) if (n := len(own & frozenset().union(*(o for j, o in enumerate(sets) if j != k))))
+    }
+    assert {r.rep: r.common for r in got if r.common} == expected

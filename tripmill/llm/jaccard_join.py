@@ -17,6 +17,8 @@ A document's set holds the hashes of its distinct five-word shingles. Equal sets
 * Bounds before verification. Of two sets, the one whose prefix ends first shares only tokens that
   are in both prefixes, or behind its own. So its prefix tokens that no other class has in its prefix
   cannot be shared with the other one; the other's own may be, behind the first one's prefix.
+* Common tokens. Members that stay unsettled are looked at once more: a token that no other of them
+  (or of their pivots) has cannot be shared, so members with too few of the others have no partner.
 * Sketches before verification. Tokens of a set are counted by bucket. The counts of two sets differ by no
   more than the sets do, so pairs whose counts differ too much cannot link. A sketch is a small part
   of its set, and the sets of pairs that it rules out are neither built nor moved.
@@ -26,6 +28,7 @@ A document's set holds the hashes of its distinct five-word shingles. Equal sets
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -358,6 +361,78 @@ def _may_link(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a long, b long")
 
 
+def _common_tokens(keys: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """How many tokens of each class (key, common) some other of these classes has, at least.
+
+    Tokens are cut to 40 bits here; equal ones, and rows that repeat a doc_id and its text, make counts
+    greater, never smaller. A token of many classes is one posting for each block of sets that holds it.
+    """
+    wanted = stored(keys.distinct().join(classes, "key").select(F.col("rep").alias("doc_id"), "key", "n"), "jaccard-unsettled")
+    rows, n_tokens = wanted.agg(F.count(F.lit(1)), F.sum("n")).first()
+    bits = max(3, int(np.ceil(np.log2(max((n_tokens or 0) / (5 * RANGE_POSTINGS), 1)))))
+    texts = docs.join(sized_broadcast(wanted.drop("n"), 32, rows), "doc_id").select("key", "text")
+
+    ddl = "range int, tokens binary, keys binary, many binary, counted binary, counts binary"
+    names = [part.split()[0] for part in ddl.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, int]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            tokens = np.concatenate([t for t, _ in held]) >> np.uint64(24)
+            of = np.repeat(np.array([k for _, k in held], "i8"), [len(t) for t, _ in held])
+            held.clear()
+            order = np.argsort(tokens, kind="stable")
+            tokens, of = tokens[order], of[order]
+            first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+            size = np.diff(np.r_[first, len(tokens)])
+            alone = np.repeat(size == 1, size)
+            # those that classes of this block share are counted here, and told to the other blocks
+            counted, counts = np.unique(of[~alone], return_counts=True)
+            single, many = tokens[alone], tokens[first[size > 1]]
+            limits = np.arange(1, 1 << bits, dtype="u8") << np.uint64(40 - bits)
+            parts = zip(
+                np.split(single, np.searchsorted(single, limits)), np.split(of[alone], np.searchsorted(single, limits)),
+                np.split(many, np.searchsorted(many, limits)), strict=True,
+            )
+            # the block's own counts go to any range, by the keys
+            places = counted & ((1 << bits) - 1)
+            out = []
+            for r, (t, k, m) in enumerate(parts):
+                own = places == r
+                if len(t) or len(m) or own.any():
+                    out.append((r, _planes(t), _packed_keys(k), _planes(m), counted[own].tobytes(), counts[own].astype("<i8").tobytes()))
+            columns = zip(*out, strict=True)
+            kinds = (pa.int32(), *[pa.binary()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+        n = 0
+        for batch in in_slices(batches):
+            for key, tokens in zip(batch.column("key").to_pylist(), shingle_sets(batch.column("text")), strict=True):
+                # rows of one doc_id may differ in text; the class has the text of its key
+                if _key(tokens) == key:
+                    held.append((tokens, key))
+                    n += len(tokens)
+            if n >= 2_000_000:
+                yield from flush()
+                n = 0
+        if held:
+            yield from flush()
+
+    def count(frame: pd.DataFrame) -> pd.DataFrame:
+        tokens = np.concatenate([_from_planes(t, "u8") for t in frame["tokens"]])
+        of = np.concatenate([_unpacked_keys(k) for k in frame["keys"]])
+        many = np.unique(np.concatenate([_from_planes(m, "u8") for m in frame["many"]]))
+        found, at, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        shared = (times > 1) | np.isin(found, many)
+        keys, counts = np.unique(of[shared[at]], return_counts=True)
+        inside = [np.frombuffer(b"".join(frame[c]), "i8") for c in ("counted", "counts")]
+        return pd.DataFrame({"key": np.concatenate([keys, inside[0]]), "common": np.concatenate([counts, inside[1]])})
+
+    found = texts.mapInArrow(run, ddl).groupBy("range").applyInPandas(count, "key long, common long")
+    return stored(found.groupBy("key").agg(F.sum("common").alias("common")), "jaccard-common")
+
+
 def _within(a: str, b: str):
     """Whether all that a shares with b is among what ``most`` counts of a.
 
@@ -390,12 +465,16 @@ def _beyond_pivot(a: str, b: str):
     """
     need = F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * 3 / 7)
     outside = [
-        F.when(_within(x, y) & (F.col(f"{x}.end") <= F.col(f"{x}.pivot_end")), F.col(f"{x}.most")).otherwise(F.col(f"{x}.n"))
+        F.least(
+            F.when(_within(x, y) & (F.col(f"{x}.end") <= F.col(f"{x}.pivot_end")), F.col(f"{x}.most")).otherwise(F.col(f"{x}.n")),
+            F.col(f"{x}.common"),
+        )
         - F.col(f"{x}.shared")
         for x, y in ((a, b), (b, a))
     ]
     at_most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared")) + F.greatest(F.least(*outside), F.lit(0))
-    return ~F.col(f"{a}.pivot").eqNullSafe(F.col(f"{b}.pivot")) | F.col(f"{a}.pivot").isNull() | (need <= at_most)
+    apart = ~F.col(f"{a}.pivot").eqNullSafe(F.col(f"{b}.pivot")) | F.col(f"{a}.pivot").isNull()
+    return (need <= F.least(F.col(f"{a}.common"), F.col(f"{b}.common"))) & (apart | (need <= at_most))
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -525,7 +604,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         paired among themselves.
         """
         largest = frame.groupBy(*on).agg(F.max("label").alias("largest"), F.min("label").alias("other")).where("largest <> other")
-        member = F.struct("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared")
+        member = F.struct("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common")
         a = frame.join(largest, on).where("label <> largest").select(*on, member.alias("a"))
         b = frame.select(*on, member.alias("b"))
         return (
@@ -535,6 +614,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     rest = stored(unsettled(members, "list"), "jaccard-rest")
     rest_often = stored(unsettled(often, "token"), "jaccard-rest-frequent")
+    keys = [f.select(F.col(c).alias("key")).where("key is not null") for f in (rest, rest_often) for c in ("key", "pivot")]
+    common = _common_tokens(reduce(DataFrame.unionByName, keys), docs, classes)
+    rest, rest_often = (f.join(common, "key").where(F.col("common") >= least) for f in (rest, rest_often))
+    rest, rest_often = stored(rest, "jaccard-rest-able"), stored(rest_often, "jaccard-rest-frequent-able")
     # Pairs without a common rare token have frequent ones in both prefixes, so most bounds both.
     # The smallest partner in a member's lists bounds how much it must share. What it may then
     # miss of its tokens that others have bounds how early it shares two of them.
@@ -554,10 +637,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     tokens = F.array_sort(F.collect_set("token"))
     combined = (
         rest_often.where(F.col("most_mine") <= MAX_COMBINED)
-        .groupBy("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared").agg(tokens.alias("t"))
+        .groupBy("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common").agg(tokens.alias("t"))
         .withColumn("t1", F.explode("t"))
         .withColumn("t2", F.explode("t")).where("t1 < t2")
-        .select("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "t1", "t2")
+        .select("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common", "t1", "t2")
     )
     pairs = apart(rest, ["list"]).unionByName(apart(single, ["token"])).unionByName(apart(combined, ["t1", "t2"]))
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
