@@ -164,3 +164,36 @@ def test_common_tokens_bound_what_is_shared(docs):
         k: n for k, own in enumerate(sets) if (n := len(own & frozenset().union(*(o for j, o in enumerate(sets) if j != k))))
     }
     assert {r.rep: r.common for r in got if r.common} == expected
+
+
+def test_part_of_the_tokens_bounds_what_is_shared(docs, monkeypatch):
+    """Looked up in part, in blocks of few tokens, counts are at least those of brute force and at most the set."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", 50)
+    texts = sorted({*near_copies(5, 6, 4), *(" ".join(f"x{k}-{i}" for i in range(200)) for k in range(5))})
+    rows = docs(*texts).repartition(3)
+    sizes = jaccard_join._sets(rows.select("doc_id", "text")).where("range is null").select("doc_id", "n", "key")
+    classes = sizes.selectExpr("key", "doc_id AS rep", "n")
+    sets = [shingles(t) for t in texts]
+    exact = [len(own & frozenset().union(*(o for j, o in enumerate(sets) if j != k))) for k, own in enumerate(sets)]
+    for share in (24, 64):
+        got = {r.rep: r.common for r in jaccard_join._common_tokens(classes.select("key"), rows, classes, share).join(classes, "key").collect()}
+        assert all(exact[k] <= got[k] <= len(sets[k]) for k in range(len(sets)))
+        assert share < 64 or [got[k] for k in range(len(sets))] == exact
+        # a text of its own alone is ruled out by a part of its tokens
+        assert all(got[k] < 0.75 * len(s) for k, s in enumerate(sets) if len(s) == 196)
+
+
+def test_sets_that_sketches_rule_out_are_not_sent(docs, monkeypatch):
+    """Texts that share a passage and little else meet in stars, but their sets are never compared."""
+    compared, real = [], jaccard_join._compared
+
+    def watched(pairs, *rest):
+        compared.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_compared", watched)
+    passage = [f"s{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"o{k}x{i}" for i in range(400)]) for k in range(12)]
+    texts += [f"{t} and more" for t in texts[:3]]
+    assert result(jaccard_components(docs(*texts))) == brute(list(enumerate(texts)))
+    assert sum(compared) <= 6

@@ -50,6 +50,10 @@ LEAST_FREQUENT = 16
 MAX_COMBINED = 48
 #: Rare postings that one task groups.
 RANGE_POSTINGS = 400_000
+#: Tokens that a task holds before it sorts them.
+BLOCK_TOKENS = 1_000_000
+#: 64ths of the hashes by which members are ruled out before all of their tokens are looked up.
+FIRST_SHARE = 24
 
 #: Where a prefix ends that has frequent tokens; rare ones are placed by their hash.
 LAST = (1 << 63) - 1
@@ -108,7 +112,7 @@ class Summary:
     def add(self, tokens: np.ndarray, counts: np.ndarray | None = None) -> None:
         self.waiting.append((tokens, np.ones(len(tokens), "i8") if counts is None else counts))
         self.held += len(tokens)
-        if self.held >= 2 * self.limit:
+        if self.held >= self.limit:
             self.settle()
 
     def settle(self) -> None:
@@ -159,12 +163,12 @@ def _from_planes(raw: memoryview, kind: str) -> np.ndarray:
 def _packed_keys(keys: np.ndarray) -> bytes:
     """Keys as a table of the different ones and a place in it for each."""
     table, places = np.unique(keys, return_inverse=True)
-    return np.int64(len(table)).tobytes() + table.tobytes() + _planes(places.astype("<u4"))
+    return np.int64(len(table)).tobytes() + _planes(table) + _planes(places.astype("<u4"))
 
 
 def _unpacked_keys(raw: bytes) -> np.ndarray:
     n = int(np.frombuffer(raw, "i8", 1)[0])
-    return np.frombuffer(raw, "i8", n, 8)[_from_planes(memoryview(raw)[8 + 8 * n :], "<u4")]
+    return _from_planes(memoryview(raw)[8 : 8 + 8 * n], "i8")[_from_planes(memoryview(raw)[8 + 8 * n :], "<u4")]
 
 
 def _sketch(tokens: np.ndarray) -> np.ndarray:
@@ -287,7 +291,7 @@ def _postings(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray, bits: in
                 sizes.append((key, n, len(last), end))
                 sketches.append(_sketch(tokens))
                 held += length
-            if held >= 2_000_000:
+            if held >= BLOCK_TOKENS:
                 yield from flush()
                 held = 0
         yield from flush()
@@ -361,78 +365,110 @@ def _may_link(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(run, "a long, b long")
 
 
-def _common_tokens(keys: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """How many tokens of each class (key, common) some other of these classes has, at least.
+def _common_tokens(keys: DataFrame, docs: DataFrame, classes: DataFrame, share: int = 64) -> DataFrame:
+    """How many tokens of each class (key, common) some other of these classes has, at most.
 
-    Tokens are cut to 40 bits here; equal ones, and rows that repeat a doc_id and its text, make counts
-    greater, never smaller. A token of many classes is one posting for each block of sets that holds it.
+    Only tokens of the lowest ``share`` 64ths of hashes are looked up, the others count as common. Tokens are
+    cut to 40 bits here; equal ones, and rows that repeat a doc_id and its text, make counts greater, never
+    smaller. A token of many classes is one posting for each block of sets that holds it. Postings name
+    classes by their places in the block, whose table of keys travels once.
     """
     wanted = stored(keys.distinct().join(classes, "key").select(F.col("rep").alias("doc_id"), "key", "n"), "jaccard-unsettled")
     rows, n_tokens = wanted.agg(F.count(F.lit(1)), F.sum("n")).first()
-    bits = max(3, int(np.ceil(np.log2(max((n_tokens or 0) / (5 * RANGE_POSTINGS), 1)))))
+    bits = max(3, int(np.ceil(np.log2(max((n_tokens or 0) * share / 64 / (3 * RANGE_POSTINGS), 1)))))
     texts = docs.join(sized_broadcast(wanted.drop("n"), 32, rows), "doc_id").select("key", "text")
-
-    ddl = "range int, tokens binary, keys binary, many binary, counted binary, counts binary"
-    names = [part.split()[0] for part in ddl.split(", ")]
+    top = np.uint64(share << 34)
+    limits = ((np.arange(1, 1 << bits, dtype="u8") * top) >> np.uint64(bits)).astype("u8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, int]] = []
+        held: list[tuple[np.ndarray, int, int]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            tokens = np.concatenate([t for t, _ in held]) >> np.uint64(24)
-            of = np.repeat(np.array([k for _, k in held], "i8"), [len(t) for t, _ in held])
-            held.clear()
+            tokens = np.concatenate([t for t, _, _ in held])
+            of = np.repeat(np.arange(len(held), dtype="<u4"), [len(t) for t, _, _ in held])
             order = np.argsort(tokens, kind="stable")
             tokens, of = tokens[order], of[order]
-            first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+            first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else np.empty(0, "i8")
             size = np.diff(np.r_[first, len(tokens)])
             alone = np.repeat(size == 1, size)
             # those that classes of this block share are counted here, and told to the other blocks
-            counted, counts = np.unique(of[~alone], return_counts=True)
+            counted = np.array([rest for _, _, rest in held], "i8") + np.bincount(of[~alone], minlength=len(held))
+            table = np.array([k for _, k, _ in held], "i8").tobytes() + counted.astype("i8").tobytes()
+            held.clear()
+            # named by its content: a task that runs again with its rows in another order makes other blocks
+            block = int(np.array(xxhash.xxh3_64_intdigest(table), "u8").astype("i8"))
             single, many = tokens[alone], tokens[first[size > 1]]
-            limits = np.arange(1, 1 << bits, dtype="u8") << np.uint64(40 - bits)
-            parts = zip(
-                np.split(single, np.searchsorted(single, limits)), np.split(of[alone], np.searchsorted(single, limits)),
-                np.split(many, np.searchsorted(many, limits)), strict=True,
-            )
-            # the block's own counts go to any range, by the keys
-            places = counted & ((1 << bits) - 1)
-            out = []
-            for r, (t, k, m) in enumerate(parts):
-                own = places == r
-                if len(t) or len(m) or own.any():
-                    out.append((r, _planes(t), _packed_keys(k), _planes(m), counted[own].tobytes(), counts[own].astype("<i8").tobytes()))
+            at = np.searchsorted(single, limits)
+            parts = zip(np.split(single, at), np.split(of[alone], at), np.split(many, np.searchsorted(many, limits)), strict=True)
+            out = [(r, block, _planes(t), _planes(k), _planes(m), None) for r, (t, k, m) in enumerate(parts) if len(t) or len(m)]
+            # the table goes by any range
+            out.append((block & ((1 << bits) - 1), block, None, None, None, table))
             columns = zip(*out, strict=True)
-            kinds = (pa.int32(), *[pa.binary()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["range", "block", "tokens", "places", "many", "table"]
+            )
 
         n = 0
         for batch in in_slices(batches):
             for key, tokens in zip(batch.column("key").to_pylist(), shingle_sets(batch.column("text")), strict=True):
                 # rows of one doc_id may differ in text; the class has the text of its key
                 if _key(tokens) == key:
-                    held.append((tokens, key))
-                    n += len(tokens)
-            if n >= 2_000_000:
-                yield from flush()
-                n = 0
+                    cut = tokens >> np.uint64(24)
+                    cut = cut[: np.searchsorted(cut, top)].copy()
+                    held.append((cut, key, len(tokens) - len(cut)))
+                    n += len(cut)
+                if n >= BLOCK_TOKENS:
+                    yield from flush()
+                    n = 0
         if held:
             yield from flush()
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.concatenate([_from_planes(t, "u8") for t in frame["tokens"]])
-        of = np.concatenate([_unpacked_keys(k) for k in frame["keys"]])
-        many = np.unique(np.concatenate([_from_planes(m, "u8") for m in frame["many"]]))
-        found, at, times = np.unique(tokens, return_inverse=True, return_counts=True)
-        shared = (times > 1) | np.isin(found, many)
-        keys, counts = np.unique(of[shared[at]], return_counts=True)
-        inside = [np.frombuffer(b"".join(frame[c]), "i8") for c in ("counted", "counts")]
-        return pd.DataFrame({"key": np.concatenate([keys, inside[0]]), "common": np.concatenate([counts, inside[1]])})
-
-    found = texts.mapInArrow(run, ddl).groupBy("range").applyInPandas(count, "key long, common long")
+        tables = frame[frame["table"].notna()]
+        frame = frame[frame["table"].isna()]
+        parts = [_from_planes(t, "u8") for t in frame["tokens"]]
+        tokens = np.concatenate([*parts, np.empty(0, "u8")])
+        many = np.unique(np.concatenate([*(_from_planes(m, "u8") for m in frame["many"]), np.empty(0, "u8")]))
+        order = np.argsort(tokens, kind="stable")
+        found = tokens[order]
+        same = found[1:] == found[:-1]
+        shared = np.empty(len(tokens), bool)
+        shared[order] = np.r_[False, same][: len(found)] | np.r_[same, False][: len(found)]
+        shared |= _isin(tokens, many)
+        out, at = [], 0
+        for block, t, places in zip(frame["block"], parts, frame["places"], strict=True):
+            own, times = np.unique(_from_planes(places, "<u4")[shared[at : at + len(t)]], return_counts=True)
+            at += len(t)
+            if len(own):
+                out.append((block, _planes(own), _planes(times.astype("<u4")), None))
+        out += [(block, None, None, table) for block, table in zip(tables["block"], tables["table"], strict=True)]
+        return pd.DataFrame(out, columns=["block", "places", "counts", "table"])
+
+    def total(frame: pd.DataFrame) -> pd.DataFrame:
+        tables = frame[frame["table"].notna()]["table"]
+        if not len(tables):
+            raise RuntimeError("a block of tokens was made again while it was counted")
+        # equal tables are blocks of repeated rows: their counts may be too great, which does no harm
+        keys, common = np.frombuffer(tables.iloc[0], "i8").reshape(2, -1).copy()
+        counts = frame[frame["table"].isna()]
+        for places, times in zip(counts["places"], counts["counts"], strict=True):
+            np.add.at(common, _from_planes(places, "<u4"), _from_planes(times, "<u4"))
+        return pd.DataFrame({"key": keys, "common": common})
+
+    ddl = "range int, block long, tokens binary, places binary, many binary, table binary"
+    counts = texts.mapInArrow(run, ddl).groupBy("range").applyInPandas(count, "block long, places binary, counts binary, table binary")
+    found = counts.groupBy("block").applyInPandas(total, "key long, common long")
     return stored(found.groupBy("key").agg(F.sum("common").alias("common")), "jaccard-common")
 
 
+def _isin(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
 def _within(a: str, b: str):
     """Whether all that a shares with b is among what ``most`` counts of a.
 
@@ -479,39 +515,32 @@ def _beyond_pivot(a: str, b: str):
 
 def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes with the sizes of intersection and union of their whole sets."""
-    ends = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(classes, "key").select("key", "rep", "n"),
-        "jaccard-ends",
-    )
-    wanted = ends.select(F.col("rep").alias("doc_id"), "key")
-    n_ends = ends.count()
-    texts = docs.join(sized_broadcast(wanted, 32, n_ends), "doc_id").select("key", "text")
+    # each class with those that it is sent to, and whether others are sent to it
+    sides = pairs.select(F.col("b").alias("key"), F.col("a").alias("to")).unionByName(pairs.select(F.col("a").alias("key"), F.lit(None).cast("long").alias("to")))
+    ends = sides.groupBy("key").agg(F.collect_set("to").alias("to"), F.max(F.col("to").isNull()).alias("pivot"))
+    ends = stored(ends.join(classes, "key").select(F.col("rep").alias("doc_id"), "key", "to", "pivot"), "jaccard-ends")
+    n_ends, n_pairs = ends.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("to")), F.lit(0))).first()
+    texts = docs.join(sized_broadcast(ends, 48, n_ends + n_pairs), "doc_id").select("key", "to", "pivot", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             keys, sets = batch.column("key").to_pylist(), shingle_sets(batch.column("text"))
             # rows of one doc_id may differ in text; the class has the text of its key
-            own = [(k, s) for k, s in zip(keys, sets, strict=True) if _key(s) == k]
+            own = [i for i, (k, s) in enumerate(zip(keys, sets, strict=True)) if _key(s) == k]
             if own:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in own], pa.int64()), pa.array([s.view("i8") for _, s in own], pa.list_(pa.int64()))],
-                    names=["key", "tokens"],
-                )
+                tokens = pa.array([sets[i].view("i8") for i in own], pa.list_(pa.int64()))
+                kept = batch.select(["key", "to", "pivot"]).take(pa.array(own))
+                yield pa.RecordBatch.from_arrays([*kept.columns, tokens], names=["key", "to", "pivot", "tokens"])
 
-    sets = stored(texts.mapInArrow(run, "key long, tokens array<long>"), "jaccard-sets")
+    sets = stored(texts.mapInArrow(run, "key long, to array<long>, pivot boolean, tokens array<long>"), "jaccard-sets")
     if sets.count() > n_ends:
         # rows that repeat both doc_id and text
         sets = stored(sets.dropDuplicates(["key"]), "jaccard-distinct-sets")
-    left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
     # few classes are pivots: only their sets are needed on that side
-    left = left.join(pairs.select("a").distinct(), "a", "left_semi")
-    return (
-        pairs.join(right, "b")
-        .join(left, "a")
-        .select("a", "b", both.alias("both"), (F.size("ta") + F.size("tb") - both).alias("union"))
-    )
+    left = sets.where("pivot").select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
+    right = sets.select(F.explode("to").alias("a"), F.col("key").alias("b"), F.col("tokens").alias("tb"))
+    both = F.size(F.array_intersect("ta", "tb"))
+    return right.join(left, "a").select("a", "b", both.alias("both"), (F.size("ta") + F.size("tb") - both).alias("union"))
 
 
 def _linked(compared: DataFrame) -> DataFrame:
@@ -572,7 +601,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         )
 
     stars = stored(star(members, "list").unionByName(star(often, "token")).distinct(), "jaccard-stars")
-    compared = stored(_compared(stars, docs, classes), "jaccard-stars-compared")
+    sketches = _sketches(postings.where("kind = 3"))
+    able = stored(_may_link(stars, sketches), "jaccard-able-stars")
+    compared = stored(_compared(able, docs, classes), "jaccard-stars-compared")
     links = _linked(compared)
     labels = components(links)
     labels = stored(labels.join(labels.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"), "jaccard-star-labels")
@@ -595,7 +626,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             frame["*"], F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("component", "key").alias("id")).alias("label")
         )
         mixed = labelled.groupBy(group).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(group)
-        return labelled.join(mixed, group).join(pivots, "key", "left")
+        return labelled.join(mixed, group)
 
     def apart(frame: DataFrame, on: list[str]) -> DataFrame:
         """Pairs of a list's members that are in different components and may link.
@@ -614,9 +645,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     rest = stored(unsettled(members, "list"), "jaccard-rest")
     rest_often = stored(unsettled(often, "token"), "jaccard-rest-frequent")
-    keys = [f.select(F.col(c).alias("key")).where("key is not null") for f in (rest, rest_often) for c in ("key", "pivot")]
-    common = _common_tokens(reduce(DataFrame.unionByName, keys), docs, classes)
-    rest, rest_often = (f.join(common, "key").where(F.col("common") >= least) for f in (rest, rest_often))
+    who = reduce(DataFrame.unionByName, [f.select("key", "n") for f in (rest, rest_often)]).distinct()
+    who = stored(who.join(pivots, "key", "left"), "jaccard-unsettled-members")
+    # A part of the tokens rules out most members. The others are counted again, among themselves and with
+    # all tokens; pivots stay, as what is shared with them is taken off what is common.
+    for share in (FIRST_SHARE, 64):
+        keys = who.select("key").unionByName(who.where("pivot is not null").select(F.col("pivot").alias("key")))
+        common = _common_tokens(keys, docs, classes, share)
+        who = stored(who.drop("common").join(common, "key").where(F.col("common") >= least), "jaccard-able-members")
+    rest, rest_often = (f.join(who.drop("n"), "key") for f in (rest, rest_often))
     rest, rest_often = stored(rest, "jaccard-rest-able"), stored(rest_often, "jaccard-rest-frequent-able")
     # Pairs without a common rare token have frequent ones in both prefixes, so most bounds both.
     # The smallest partner in a member's lists bounds how much it must share. What it may then
@@ -635,17 +672,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest_often = stored(rest_often.join(widest, "token"), "jaccard-rest-early")
     single = rest_often.where(F.col("most_mine") > MAX_COMBINED)
     tokens = F.array_sort(F.collect_set("token"))
-    combined = (
-        rest_often.where(F.col("most_mine") <= MAX_COMBINED)
-        .groupBy("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common").agg(tokens.alias("t"))
-        .withColumn("t1", F.explode("t"))
-        .withColumn("t2", F.explode("t")).where("t1 < t2")
-        .select("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common", "t1", "t2")
-    )
-    pairs = apart(rest, ["list"]).unionByName(apart(single, ["token"])).unionByName(apart(combined, ["t1", "t2"]))
+    member = ["key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common"]
+    sets = rest_often.where(F.col("most_mine") <= MAX_COMBINED).groupBy(*member).agg(tokens.alias("t"))
+    # each two once, as a hash: a pair of tokens that shares it with another only adds candidates
+    both = F.flatten(F.transform("t", lambda x: F.transform(F.filter("t", lambda y: y > x), lambda y: F.xxhash64(x, y))))
+    combined = stored(sets.select(*member, F.explode(both).alias("two")), "jaccard-combined")
+    pairs = apart(rest, ["list"]).unionByName(apart(single, ["token"])).unionByName(apart(combined, ["two"]))
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = stored(pairs.distinct().join(known, ["a", "b"], "left_anti"), "jaccard-pairs")
-    pairs = stored(_may_link(pairs, _sketches(postings.where("kind = 3"))), "jaccard-able-pairs")
+    pairs = stored(_may_link(pairs, sketches), "jaccard-able-pairs")
     more = _linked(_compared(pairs, docs, classes))
     final = stored(components(stored(links.unionByName(more), "jaccard-links")), "jaccard-labels")
 
