@@ -5,12 +5,14 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from support import docs, sample, sampled  # noqa: F401
 from tripmill.llm import jaccard_join
 from tripmill.llm.components import components
 from tripmill.llm.jaccard_join import jaccard_components, one_of_each
+from tripmill.llm.words import Words
 
 
 def shingles(text):
@@ -197,3 +199,77 @@ def test_sets_that_sketches_rule_out_are_not_sent(docs, monkeypatch):
     texts += [f"{t} and more" for t in texts[:3]]
     assert result(jaccard_components(docs(*texts))) == brute(list(enumerate(texts)))
     assert sum(compared) <= 6
+
+
+MEMBERS = (
+    "group long, key long, n long, most long, end long, label struct<size: long, id: long>, "
+    "pivot long, pivot_end long, shared long, common long"
+)
+
+
+def members(spark, groups):
+    """Members of groups; keys below 10 are one component of five, the others stand alone."""
+    rows = [
+        (group, key, 100, 100, jaccard_join.LAST, (5, 1) if key < 10 else (1, key), None, None, None, 100)
+        for group, keys in groups.items() for key in keys
+    ]
+    return spark.createDataFrame(rows, MEMBERS)
+
+
+@pytest.mark.parametrize("pairs_a_task", [1_000_000, 4])
+def test_pairs_of_a_family_are_looked_at_once(spark, monkeypatch, pairs_a_task):
+    """Many tokens that much the same members hold give each pair once, in parts of few pairs."""
+    monkeypatch.setattr(jaccard_join, "PAIRS_A_TASK", pairs_a_task)
+    family = {t: {1, 2, 3, 4, 5, 11, 12, 13} - {t % 5 + 1} for t in range(20)}
+    # texts of other families that share a token with this component each: they are not brought together
+    apart = {100 + t: {1, 20 + t} for t in range(4)}
+    expected = {
+        (min(a, b), max(a, b))
+        for groups in (family,) for keys in groups.values() for a in keys for b in keys if a > 10 and a != b
+    } | {(1, 20 + t) for t in range(4)}
+    alone = [jaccard_join._units(members(spark, g))[1] for g in (family, apart)]
+    assert alone == [8 * 3, 4 * 2]
+    found = [tuple(r) for r in jaccard_join._apart(members(spark, family)).collect()]
+    found += [tuple(r) for r in jaccard_join._apart(members(spark, apart)).collect()]
+    assert sorted(found) == sorted(expected)
+
+
+def test_pairs_in_parts_equal_brute_force(docs, monkeypatch):
+    """Families with members that link to few of them, cut into parts of three pairs."""
+    monkeypatch.setattr(jaccard_join, "PAIRS_A_TASK", 3)
+    monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", 3)
+    monkeypatch.setattr(jaccard_join, "MAX_COMBINED", 2)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(50):
+        words = list(base)
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"e{rng.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    assert result(jaccard_components(docs(*texts))) == brute(list(enumerate(texts)))
+
+
+def test_words_are_hashed_once_a_slice(monkeypatch):
+    """Hashing costs the distinct words, and one step an occurrence."""
+    hashed, real = [], jaccard_join._final
+
+    def counting(h):
+        hashed.append(len(h))
+        return real(h)
+
+    monkeypatch.setattr(jaccard_join, "_final", counting)
+    texts = [" ".join(f"w{i % 7}" for i in range(1000))] * 3 + ["", "one two", None]
+    sets = jaccard_join.shingle_sets(pa.array(texts))
+    assert [len(s) for s in sets] == [7, 7, 7, 0, 1, 0]
+    assert all((s[1:] > s[:-1]).all() for s in sets)
+    assert sum(hashed) <= 3000 + 5 * 9
+
+
+def test_words_end_at_ascii_white_space_only():
+    odd = ["".join(map(chr, range(1, 400))), " a\x0bb\x0c c\x1cd\x85e\xa0f\u2003g\u3000h \r\n\t", "", None, "  ", "x"]
+    words = Words(pa.array(odd))
+    got = [[] for _ in odd]
+    for word, row in zip(words.ids, words.row, strict=True):
+        got[row].append(words.unique[word].as_py())
+    assert got == [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in odd]

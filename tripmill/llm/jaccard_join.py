@@ -13,7 +13,7 @@ A document's set holds the hashes of its distinct five-word shingles. Equal sets
 * Settling. Within a list, members are first compared with one pivot, the one with most tokens
   that others share. Lists whose members are then in one component need no more comparisons; only
   members of different components are paired afterwards. So a group of near copies costs a star and
-  not its square.
+  not its square. Lists with the same largest component are paired as one where that is less work.
 * Bounds before verification. Of two sets, the one whose prefix ends first shares only tokens that
   are in both prefixes, or behind its own. So its prefix tokens that no other class has in its prefix
   cannot be shared with the other one; the other's own may be, behind the first one's prefix.
@@ -55,6 +55,12 @@ BLOCK_TOKENS = 1_000_000
 #: 64ths of the hashes by which members are ruled out before all of their tokens are looked up.
 FIRST_SHARE = 24
 
+#: Pairs of members that one task looks at, and the most tasks that these are dealt to.
+PAIRS_A_TASK = 1_000_000
+MAX_PAIR_TASKS = 10_000
+#: What is known of a member that is not settled.
+MEMBER = ("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common")
+
 #: Where a prefix ends that has frequent tokens; rare ones are placed by their hash.
 LAST = (1 << 63) - 1
 _SIGN = np.uint64(1 << 63)
@@ -70,21 +76,23 @@ def _final(h: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; the words of a shorter one are one shingle."""
     words = Words(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
-    each = np.array([xxhash.xxh3_64_intdigest(w) for w in words.unique.to_pylist()], "u8")
-    code = each[words.ids] if len(each) else np.empty(0, "u8")
-    n = len(code) - SHINGLE + 1
-    hashes = np.zeros(max(n, 0), "u8")
-    for k in range(SHINGLE):
-        hashes += _final(code[k : k + max(n, 0)] + _ODD[k]) * _ODD[k] if n > 0 else 0
+    unique = words.unique.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    each = np.array([xxhash.xxh3_64_intdigest(w) for w in unique], "u8")
+    n = max(len(words.ids) - SHINGLE + 1, 0)
+    hashes = np.zeros(n, "u8")
+    for k in range(SHINGLE if n else 0):
+        # what a word adds at a place of a shingle is found once a word, not once an occurrence
+        hashes += (_final(each + _ODD[k]) * _ODD[k])[words.ids[k : k + n]]
     hashes = _final(hashes)
     ends = np.cumsum(words.counts)
     out = []
     for count, end in zip(words.counts.tolist(), ends.tolist(), strict=True):
         begin = end - count
         if count >= SHINGLE:
-            out.append(np.unique(hashes[begin : end - SHINGLE + 1]))
+            found = np.sort(hashes[begin : end - SHINGLE + 1])
+            out.append(found[np.r_[True, found[1:] != found[:-1]]])
         elif count:
-            out.append(np.array([xxhash.xxh3_64_intdigest(code[begin:end].tobytes(), seed=count)], "u8"))
+            out.append(np.array([xxhash.xxh3_64_intdigest(each[words.ids[begin:end]].tobytes(), seed=count)], "u8"))
         else:
             out.append(np.empty(0, "u8"))
     return out
@@ -110,7 +118,11 @@ class Summary:
         self.held = 0
 
     def add(self, tokens: np.ndarray, counts: np.ndarray | None = None) -> None:
-        self.waiting.append((tokens, np.ones(len(tokens), "i8") if counts is None else counts))
+        if counts is None:
+            tokens = np.sort(tokens)
+            first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else np.empty(0, "i8")
+            tokens, counts = tokens[first], np.diff(np.r_[first, len(tokens)])
+        self.waiting.append((tokens, counts))
         self.held += len(tokens)
         if self.held >= self.limit:
             self.settle()
@@ -208,7 +220,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                     seen.add(key)
                     fresh.append(tokens)
             if fresh:
-                summary.add(*np.unique(np.concatenate(fresh), return_counts=True))
+                summary.add(np.concatenate(fresh))
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
@@ -513,6 +525,49 @@ def _beyond_pivot(a: str, b: str):
     return (need <= F.least(F.col(f"{a}.common"), F.col(f"{b}.common"))) & (apart | (need <= at_most))
 
 
+def _units(frame: DataFrame) -> tuple[DataFrame, int]:
+    """Members of mixed groups by unit, with the unit's parts; how many pairs the units have.
+
+    Groups that have the same largest component are one unit where that gives fewer pairs than they
+    give one by one: most tokens of a family are held by much the same members. ``parts`` says into how
+    many parts a unit's members outside its largest component are cut, so that none has too many pairs.
+    """
+    largest = frame.groupBy("group").agg(F.max("label").alias("largest"), F.min("label").alias("other")).where("largest <> other")
+    mixed = frame.join(largest.drop("other"), "group").withColumn("outside", F.col("label") != F.col("largest"))
+    mixed = stored(mixed, "jaccard-mixed")
+    n, o = F.count(F.lit(1)), F.count(F.when(F.col("outside"), 1))
+    alone = mixed.groupBy("largest", "group").agg((n * o).alias("pairs")).groupBy("largest").agg(F.sum("pairs").alias("alone"))
+    together = mixed.select("largest", "key", "outside").distinct().groupBy("largest").agg((n * o).alias("together"))
+    merged = stored(alone.join(together, "largest").select("largest", (F.col("together") <= F.col("alone")).alias("merged")), "jaccard-merged")
+    # a group's own name and its component's may be equal numbers, and are told apart
+    unit = F.when(F.col("merged"), F.struct(F.lit(True).alias("merged"), F.col("largest.id").alias("id"))).otherwise(
+        F.struct(F.lit(False).alias("merged"), F.col("group").alias("id"))
+    )
+    named = stored(mixed.join(merged, "largest").select(unit.alias("unit"), *MEMBER, "outside").distinct(), "jaccard-units")
+    parts = F.least(F.ceil(n * o / PAIRS_A_TASK), o)
+    sizes = stored(named.groupBy("unit").agg((n * o).alias("pairs"), parts.alias("parts")), "jaccard-unit-sizes")
+    return named.join(sizes.select("unit", "parts"), "unit"), sizes.agg(F.sum("pairs")).first()[0] or 0
+
+
+def _apart(frame: DataFrame) -> DataFrame:
+    """Pairs of members (of ``MEMBER``) of a ``group`` that are in different components and may link.
+
+    One of them is outside the group's largest component, so its members are not paired among
+    themselves. Tasks get pairs in equal numbers, not rows: few rows may have very many pairs.
+    """
+    members, n_pairs = _units(frame)
+    tasks = max(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(n_pairs // PAIRS_A_TASK, MAX_PAIR_TASKS))
+    member = F.struct(*MEMBER, "outside")
+    a = members.where("outside").select("unit", F.pmod(F.xxhash64("key"), "parts").alias("part"), member.alias("a"))
+    b = members.select("unit", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), member.alias("b"))
+    once = ~F.col("b.outside") | (F.col("a.key") < F.col("b.key"))
+    return (
+        a.repartition(tasks, "unit", "part").join(b.repartition(tasks, "unit", "part"), ["unit", "part"])
+        .where((F.col("a.label.id") != F.col("b.label.id")) & once & _fits("a", "b") & _beyond_pivot("a", "b"))
+        .select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b"))
+    )
+
+
 def _compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes with the sizes of intersection and union of their whole sets."""
     # each class with those that it is sent to, and whether others are sent to it
@@ -628,21 +683,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         mixed = labelled.groupBy(group).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(group)
         return labelled.join(mixed, group)
 
-    def apart(frame: DataFrame, on: list[str]) -> DataFrame:
-        """Pairs of a list's members that are in different components and may link.
-
-        One of them is outside the list's largest component, so its members are not
-        paired among themselves.
-        """
-        largest = frame.groupBy(*on).agg(F.max("label").alias("largest"), F.min("label").alias("other")).where("largest <> other")
-        member = F.struct("key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common")
-        a = frame.join(largest, on).where("label <> largest").select(*on, member.alias("a"))
-        b = frame.select(*on, member.alias("b"))
-        return (
-            a.join(b, on).where((F.col("a.label.id") != F.col("b.label.id")) & _fits("a", "b") & _beyond_pivot("a", "b"))
-            .select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b"))
-        )
-
     rest = stored(unsettled(members, "list"), "jaccard-rest")
     rest_often = stored(unsettled(often, "token"), "jaccard-rest-frequent")
     who = reduce(DataFrame.unionByName, [f.select("key", "n") for f in (rest, rest_often)]).distinct()
@@ -672,12 +712,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rest_often = stored(rest_often.join(widest, "token"), "jaccard-rest-early")
     single = rest_often.where(F.col("most_mine") > MAX_COMBINED)
     tokens = F.array_sort(F.collect_set("token"))
-    member = ["key", "n", "most", "end", "label", "pivot", "pivot_end", "shared", "common"]
-    sets = rest_often.where(F.col("most_mine") <= MAX_COMBINED).groupBy(*member).agg(tokens.alias("t"))
+    sets = rest_often.where(F.col("most_mine") <= MAX_COMBINED).groupBy(*MEMBER).agg(tokens.alias("t"))
     # each two once, as a hash: a pair of tokens that shares it with another only adds candidates
     both = F.flatten(F.transform("t", lambda x: F.transform(F.filter("t", lambda y: y > x), lambda y: F.xxhash64(x, y))))
-    combined = stored(sets.select(*member, F.explode(both).alias("two")), "jaccard-combined")
-    pairs = apart(rest, ["list"]).unionByName(apart(single, ["token"])).unionByName(apart(combined, ["two"]))
+    combined = stored(sets.select(*MEMBER, F.explode(both).alias("two")), "jaccard-combined")
+    groups = ((rest, "list"), (single, "token"), (combined, "two"))
+    pairs = _apart(reduce(DataFrame.unionByName, [f.select(F.col(on).alias("group"), *MEMBER) for f, on in groups]))
     known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = stored(pairs.distinct().join(known, ["a", "b"], "left_anti"), "jaccard-pairs")
     pairs = stored(_may_link(pairs, sketches), "jaccard-able-pairs")

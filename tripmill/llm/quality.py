@@ -81,7 +81,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def word_features(unique: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each word, and (word, bucket) pairs of its own and its character n-grams' features."""
-    words = [w.encode() for w in unique.to_pylist()]
+    words = unique.cast(pa.binary()).to_numpy(zero_copy_only=False)
     hashes = np.array([zlib.crc32(w) | zlib.crc32(w, 0x5BD1E995) << 32 for w in words], "u8")
     owner, bucket = [np.arange(len(words))], [_mix(hashes)]
     # words between markers, one after another in one buffer

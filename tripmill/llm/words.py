@@ -15,7 +15,8 @@ class Words:
 
     def __init__(self, texts: pa.Array) -> None:
         texts = pc.fill_null(texts, "")
-        parts = pc.split_pattern_regex(texts, SPACE + "+")
+        # splits at SPACE
+        parts = pc.ascii_split_whitespace(texts)
         flat = parts.flatten()
         row = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
         full = pc.not_equal(flat, "")
