@@ -1,16 +1,19 @@
 from __future__ import annotations
 
+import sys
 from datetime import datetime, timedelta
 
 import pytest
 from conftest import same_rows, values
+from pyspark.sql import functions as F
 
 from tripmill.functions import surrogate_key
 from tripmill.functions.keys import TRIP_KEY
-from tripmill.operators.enrich import core_trips, fact_trips
+from tripmill.operators.enrich import core_submissions, core_trips, fact_trips
 from tripmill.operators.quality import quality_filter, quarantine
 from tripmill.operators.staging import stage_trips
 from tripmill.plans.trip_build import BY_DAY, FACT_ORDER
+from tripmill.sinks.landing import TARGET_FILE_BYTES, LandingPlan
 from tripmill.sources import read_events_stream, read_table
 from tripmill.streaming import (
     fold_deltas,
@@ -27,6 +30,7 @@ from tripmill.streaming import (
     trips_per_minute,
 )
 
+trips, upserts = (sys.modules[f"tripmill.{name}"] for name in ("streaming.trips", "sinks.upsert"))
 START = datetime(2024, 1, 5, 8)
 
 
@@ -160,6 +164,50 @@ def test_folded_deltas_equal_full_load(spark, lake, zones, paths):
     assert fold_deltas(spark, deltas, expected.schema, paths["table"], "trip_id", BY_DAY.columns, FACT_ORDER) == 0
 
 
+@pytest.mark.parametrize("files, dealt", [(8, [2, 3]), (1, [5, 6])])
+def test_gathered_deltas_are_folded_where_they_are_read(spark, lake, zones, paths, monkeypatch, files, dealt):
+    """Only rows whose key is there twice are dealt by partition again, unless many batches were stored."""
+    monkeypatch.setattr(trips, "MAX_FILES_A_PARTITION", files)
+    monkeypatch.setattr(upserts, "MAX_FILES_A_PARTITION", 8)
+    landed, real = [], upserts.land
+
+    def land(df, *args, **kwargs):
+        landed.append(df.count())
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(upserts, "land", land)
+    rounds = [
+        [[at(0), at(5, vendorid=2), at(9)], [at(0, total_amount=2.0), at(7), at(5, vendorid=2, total_amount=3.0)], [at(11)]],
+        [[at(0, dropoff_datetime=START + timedelta(minutes=50)), at(21)], [at(7, total_amount=8.0), at(9, total_amount=0.5), at(22), at(23)]],
+    ]
+    deltas, sent = paths["table"] + "-deltas", []
+    for k, files_sent in enumerate(rounds):
+        for rows in files_sent:
+            send(lake(*rows).coalesce(1), paths)
+            sent += rows
+        stream, _ = stream_stage(read_events_stream(spark, paths["events"], max_files_per_trigger=1))
+        stream_deltas(
+            stream, lambda batch: BY_DAY.add_to(fact_trips(core_submissions(BY_DAY.gather(batch), zones))),
+            deltas, paths["checkpoint"], LandingPlan(None, TARGET_FILE_BYTES, together=True),
+        )
+        expected = BY_DAY.add_to(fact_trips(core_trips(stage_trips(lake(*sent)), zones)))
+        fold_deltas(spark, deltas, expected.schema, paths["table"], "trip_id", BY_DAY.columns, FACT_ORDER, gathered=True)
+        assert same_rows(read_table(spark, paths["table"], expected.schema), expected)
+        # of the second round three keys are stored already
+        assert landed.pop() == dealt[k]
+    assert not landed
+
+
+def test_gathered_rows_lie_together(spark, lake, zones, paths):
+    """A batch's rows are brought together before anything is derived from them."""
+    rows = stage_trips(lake(*[at(60 * 24 * (k % 5), vendorid=k % 2 + 1, total_amount=float(k + 1)) for k in range(60)])).repartition(6)
+    fact = BY_DAY.add_to(fact_trips(core_submissions(BY_DAY.gather(rows), zones)))
+    tasks = fact.select("pickup_date", F.spark_partition_id().alias("task")).distinct()
+    assert tasks.count() == tasks.select("pickup_date").distinct().count() == 5
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "trip_id" not in plan[plan.index("Rebalance"):]
+
+
 def test_late_rows_go_aside(lake):
     rows = lake(
         at(0, ingestion_ts=START + timedelta(hours=1)),
