@@ -341,3 +341,37 @@ def test_many_files_of_a_partition_are_gathered(spark, tmp_path, monkeypatch):
     table = read_table(spark, path, "k int, p string")
     assert sorted(r.k for r in table.collect()) == list(range(6))
     assert len(table.inputFiles()) <= 3
+
+
+@pytest.mark.parametrize("resolve", ["incoming", "latest"])
+@pytest.mark.parametrize("bitmap_bytes", [32 << 20, 4096])
+def test_many_repeated_keys_shuffle_no_single_row(spark, tmp_path, monkeypatch, resolve, bitmap_bytes):
+    """Beyond the hashes that are broadcast a bitmap of them is; a full one only passes more rows as repeated."""
+    import importlib
+
+    module, path = importlib.import_module("tripmill.sinks.upsert"), str(tmp_path / "t")
+    monkeypatch.setattr(module, "MAX_BROADCAST_HASHES", 2)
+    monkeypatch.setattr(module, "MAX_BITMAP_BYTES", bitmap_bytes)
+    splits, real = [], module._splitter
+
+    def splitter(frames, key):
+        split = real(frames, key)
+
+        def watched(df):
+            single, several = split(df)
+            assert "Exchange hashpartitioning" not in single._jdf.queryExecution().executedPlan().toString()
+            splits.append((df.count(), single.count(), several.count()))
+            return single, several
+
+        return watched
+
+    monkeypatch.setattr(module, "_splitter", splitter)
+    rows = lambda first, last, n: spark.range(first, last).selectExpr("IF(id = 7, NULL, id) AS k", "id % 3 AS p", f"{n} AS n")
+    upsert(spark, path, rows(0, 3000, 1).unionByName(rows(10, 40, 2)), "k", ["p"], resolve, ["n"])
+    upsert(spark, path, rows(1000, 4000, 3), "k", ["p"], resolve, ["n"])
+    stored = read_table(spark, path, "k long, p long, n int").where("k IS NOT NULL").collect()
+    expected = {k: 3 if k >= 1000 else 2 if 10 <= k < 40 else 1 for k in range(4000) if k != 7}
+    assert {r.k: r.n for r in stored} == expected and len(stored) == len(expected)
+    assert all(total == single + several for total, single, several in splits)
+    # the first load has 60 rows of repeated keys
+    assert 60 <= splits[0][2] < 80 and splits[2][2] >= 2000

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions import minute_boundaries
 from tripmill.functions.keys import TRIP_KEY
+from tripmill.operators.bitmaps import BITS_A_BITMAP, BITS_A_KEY, key_bitmaps, marked
 from tripmill.sinks.tables import written_copy
 
 # Copies of the statistics, and parts a group of submissions is cut into.
@@ -41,24 +42,8 @@ def submission_statistics(staged: DataFrame, keys: Sequence[str] = TRIP_KEY) ->
     )
 
 
-# Bits of the bitmap for each repeated key, and the size beyond which there is none.
-BITS_A_KEY = 16
+# Size of the bitmap beyond which there is none.
 MAX_BITMAP_BYTES = 32 << 20
-BITS_A_BITMAP = 8 * 4096
-
-
-def _place(keys: Sequence[str], bits: int):
-    return F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
-
-
-def key_bitmaps(repeated: DataFrame, keys: Sequence[str], bits: int) -> DataFrame:
-    """(bucket, bitmap): a bit for the hash of each key, in bitmaps of 4 KiB."""
-    place = _place(keys, bits)
-    return (
-        repeated.select(F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_bit"))
-        .groupBy("_bucket")
-        .agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
-    )
 
 
 def maybe_repeated(staged: DataFrame, statistics: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,13 +55,8 @@ def maybe_repeated(staged: DataFrame, statistics: DataFrame, keys: Sequence[str]
     bits = max(1, -(-statistics.count() * BITS_A_KEY // BITS_A_BITMAP)) * BITS_A_BITMAP
     if bits // 8 > MAX_BITMAP_BYTES:
         return staged
-    place = _place(keys, bits)
-    bit = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.getbit(byte, (bit % 8).cast("int")) == 1
-    # bound before the join, so that the hash is made once a row
-    marked = staged.withColumn("_bucket", F.bitmap_bucket_number(place))
-    return marked.join(F.broadcast(key_bitmaps(statistics, keys, bits)), "_bucket").where(is_set).select(*staged.columns)
+    bitmaps = key_bitmaps(statistics, F.xxhash64(*keys), bits)
+    return marked(staged, F.xxhash64(*keys), bitmaps, bits, "inner").where("_marked").select(*staged.columns)
 
 
 def duplicate_report(
