@@ -10,6 +10,7 @@ import pytest
 
 from support import docs, sample, sampled  # noqa: F401
 from tripmill.llm import jaccard_join
+from tripmill.llm.common import in_slices
 from tripmill.llm.components import components
 from tripmill.llm.jaccard_join import jaccard_components, one_of_each
 from tripmill.llm.words import Words
@@ -273,3 +274,18 @@ def test_words_end_at_ascii_white_space_only():
     for word, row in zip(words.ids, words.row, strict=True):
         got[row].append(words.unique[word].as_py())
     assert got == [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in odd]
+
+
+def test_a_task_gives_back_what_arrow_keeps(monkeypatch):
+    """Workers wait for later stages; the memory of a pass is not to stay with them."""
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    batch = pa.RecordBatch.from_pydict({"text": ["a"] * 1100})
+    slices = in_slices(iter([batch, batch]))
+    assert [next(slices).num_rows for _ in range(6)] == [512, 512, 76] * 2 and not released
+    assert next(slices, None) is None and released == [True]
